@@ -212,7 +212,7 @@ def last_by_group(
     hot: HotKeys = NO_HOT_KEYS,
     domain: str = "",
 ) -> DataFrame:
-    """Add the boolean ``value`` of the last row of each (key, boolean ``group``)."""
+    """Add the ``value`` (never NULL) of the last row of each (key, boolean ``group``)."""
     if not hot.has(domain):
         # Both groups of a key are read off one window, so the sort is shared with other
         # operators on the same key and order.
@@ -223,8 +223,7 @@ def last_by_group(
         )
 
         def last_where(condition: Column) -> Column:
-            picked = F.when(condition, F.struct(F.col(value).alias("v")))
-            return F.last(picked, ignorenulls=True).over(whole)["v"]
+            return F.last(F.when(condition, F.col(value)), ignorenulls=True).over(whole)
 
         return df.withColumn(
             out,

@@ -183,7 +183,7 @@ def _day_totals() -> dict:
 def invoice_level_totals(classified: DataFrame) -> DataFrame:
     """Amounts per invoice and local update day."""
     return classified.groupBy("invoice_id", FPA, "record_updated_date_pt").agg(
-        *[agg.alias(name) for name, agg in _day_totals().items()]
+        *[agg.cast(AMOUNT).alias(name) for name, agg in _day_totals().items()]
     )
 
 
@@ -199,7 +199,7 @@ def line_item_bookings(classified: DataFrame, hot: HotKeys) -> DataFrame:
         rows, ["invoice_id", "record_updated_date_pt"], totals, hot, "invoice", "invoice_id"
     )
     has_day = F.col("invoice_id").isNotNull() & F.col("record_updated_date_pt").isNotNull()
-    rows = rows.withColumns({name: F.when(has_day, F.col(name)) for name in totals})
+    rows = rows.withColumns({name: F.when(has_day, F.col(name).cast(AMOUNT)) for name in totals})
 
     after, cancelled = F.col("is_after_fpa_date"), F.col("is_cancelled")
     initial, counted = F.col("is_initial_line_item"), F.col("is_counted_in_initial_gbnf")
@@ -245,10 +245,11 @@ def line_item_bookings(classified: DataFrame, hot: HotKeys) -> DataFrame:
         return F.sum(value).cast(AMOUNT).alias(name)
 
     return booked.groupBy(*BOOKING_KEYS).agg(
-        F.sum(F.when(~after, F.col("initial_invoice_cancelled_amount"))).alias(
-            "initial_invoice_cancelled_amount"
+        amount_sum(
+            F.when(~after, F.col("initial_invoice_cancelled_amount")),
+            "initial_invoice_cancelled_amount",
         ),
-        F.sum(F.when(~after, F.col("initial_invoice_amount"))).alias("initial_invoice_amount"),
+        amount_sum(F.when(~after, F.col("initial_invoice_amount")), "initial_invoice_amount"),
         # Rows of one later booking share the day, hence the total.
         F.max(F.when(after, day_cancelled)).alias("cancelled_invoice_amount"),
         F.max(F.when(after, day_added)).alias("additional_invoice_amount"),

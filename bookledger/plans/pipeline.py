@@ -7,13 +7,13 @@ stages and kept as tables: the classified discounts and the filled bookings.
 from __future__ import annotations
 
 from datetime import datetime
-from functools import cached_property, reduce
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bookledger.config import BookingsConfig
-from bookledger.functions import AMOUNT, surrogate_key, timestamp_text
+from bookledger.functions import surrogate_key, timestamp_text
 from bookledger.operators.ordered import fill_nearest
 from bookledger.operators.skew import lookup
 from bookledger.plans import allocation, checks, credits, discounts, lines, payments, volume
@@ -44,7 +44,6 @@ BOOKING_COLUMNS = [
     "gb",
     "nb",
 ]
-LEDGER_COLUMNS = [c for c in BOOKING_COLUMNS if c != "is_after_fpa_date"]
 DIMENSIONS = ["subscription_id", "user_id", "workspace_id", "price_point_id"]
 LINEAGE = [
     "cart_price_point_id",
@@ -233,11 +232,13 @@ class BookingsPipeline:
 
     @cached_property
     def allocate_initial_invoice_discounts(self) -> DataFrame:
-        return self._allocated.filter(~F.col("is_after_fpa_date")).drop("is_after_fpa_date")
+        rows = self._allocated.filter(~F.col("is_after_fpa_date"))
+        return allocation.with_metrics(rows).drop("is_after_fpa_date")
 
     @cached_property
     def allocate_additional_invoice_discounts(self) -> DataFrame:
-        return self._allocated.filter("is_after_fpa_date").drop("is_after_fpa_date")
+        rows = self._allocated.filter("is_after_fpa_date")
+        return allocation.with_metrics(rows).drop("is_after_fpa_date")
 
     # -- credits ---------------------------------------------------------------------------
 
@@ -255,23 +256,18 @@ class BookingsPipeline:
     # -- the ledger ------------------------------------------------------------------------
 
     @cached_property
-    def all_bookings(self) -> DataFrame:
-        # No discount is spread to filing fees: with and without fees is the same.
-        spread = self._allocated.withColumns(
-            {
-                "initial_gb": F.col("initial_gbnf"),
-                "gb": F.col("gbnf"),
-                "nb": F.col("nbnf"),
-            }
+    def _union(self) -> DataFrame:
+        return volume.union_of_bookings(
+            [self._kept_bookings, self.store_credit_bookings], self._allocated
         )
-        parts = [self._kept_bookings, spread, self.store_credit_bookings]
-        amounts = {c: F.col(c).cast(allocation.EXACT) for c in volume.SUMMED}
-        parts = [p.select(*LEDGER_COLUMNS).withColumns(amounts) for p in parts]
-        return reduce(DataFrame.unionByName, parts)
+
+    @cached_property
+    def all_bookings(self) -> DataFrame:
+        return volume.all_bookings(self._union)
 
     @cached_property
     def bookings_grouped(self) -> DataFrame:
-        return volume.bookings_grouped(self.all_bookings, self.hot)
+        return volume.bookings_grouped(self._union, self.hot)
 
     @cached_property
     def volume_eligibility(self) -> DataFrame:
@@ -361,4 +357,4 @@ class BookingsPipeline:
         )
 
 
-__all__ = ["AMOUNT", "BOOKING_COLUMNS", "BookingsPipeline", "LINEAGE"]
+__all__ = ["BOOKING_COLUMNS", "BookingsPipeline", "LINEAGE"]

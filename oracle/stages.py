@@ -138,7 +138,8 @@ SELECT *, CAST(record_started_at_pt AS DATE) AS record_started_date_pt,
     WHEN CAST(record_expires_at_pt AS DATE) > CAST(record_started_at_pt AS DATE)
       THEN CAST(record_expires_at_pt AS DATE) - 1
     ELSE CAST(record_started_at_pt AS DATE) END AS record_expires_date_pt,
-  amount * CASE WHEN is_filing_fee IS TRUE THEN 0 ELSE 1 END AS extended_price_without_ff,
+  CAST(amount * CASE WHEN is_filing_fee IS TRUE THEN 0 ELSE 1 END AS DECIMAL(15,2))
+    AS extended_price_without_ff,
   coalesce(line_item_created_at_pt <= invoice_cutoff_at_pt, FALSE) AS is_initial_line_item,
   coalesce(record_started_at_pt <= invoice_cutoff_at_pt
     AND (record_expires_at_pt IS NULL OR record_expires_at_pt >= invoice_cutoff_at_pt), FALSE)
@@ -328,7 +329,8 @@ GROUP BY 1, 2, 3, 4
     "additional_invoice_discounts": f"""
 SELECT invoice_id, {PAID}, discount_hist_updated_at_pt, discount_apply_type_id,
   gbnf_discount_amount, nbnf_discount_amount,
-  {share("unsigned", "sum(unsigned) OVER (PARTITION BY invoice_id)")} AS share_of_additional
+  CAST({share("unsigned", "sum(unsigned) OVER (PARTITION BY invoice_id)")} AS {SHARE})
+    AS share_of_additional
 FROM (
   SELECT invoice_id, paid_at_pt AS {PAID}, discount_hist_updated_at_pt, discount_apply_type_id,
     {total("discount_amount", "is_cancelled AND is_initial_discount")} AS gbnf_discount_amount,
