@@ -5,6 +5,7 @@ from bookledger.functions.columns import (
     greatest_strict,
     order_rank,
     signed,
+    sum_money,
     surrogate_key,
     timestamp_text,
     to_local,
@@ -18,6 +19,7 @@ __all__ = [
     "greatest_strict",
     "order_rank",
     "signed",
+    "sum_money",
     "surrogate_key",
     "timestamp_text",
     "to_local",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -31,6 +33,12 @@ def div0(a: Column, b: Column) -> Column:
     return F.when(a.isNotNull() & (b == 0), F.lit(0).cast(SHARE)).otherwise(ratio)
 
 
+def sum_money(amount: Column) -> Column:
+    """Sum of two-digit money. Adding whole cents is much cheaper than adding decimals."""
+    cents = F.sum((amount * 100).cast("bigint"))
+    return (cents * F.lit(Decimal("0.01"))).cast(AMOUNT)
+
+
 def signed(amount: Column, negative: Column) -> Column:
     """-amount where ``negative`` is true, amount otherwise (also for NULL)."""
     return F.when(negative, -amount).otherwise(amount)

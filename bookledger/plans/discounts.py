@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from bookledger import fixed_values as fv
 from bookledger.config import BookingsConfig
-from bookledger.functions import AMOUNT, div0, signed, to_local, ts
+from bookledger.functions import AMOUNT, div0, signed, sum_money, to_local, ts
 from bookledger.operators.history import add_validity, keep_changes
 from bookledger.operators.skew import HotKeys, co_locate, lookup, total_over
 from bookledger.plans.lines import BOOKING_KEYS, FPA
@@ -168,7 +168,7 @@ def line_item_discounts(
     )
     keys = [k for k in BOOKING_KEYS if k not in dimension_types]
     sums = booked.groupBy(*keys).agg(
-        *[F.sum(c).cast(AMOUNT).alias(c) for c in ("initial", "additional", "gross", "net")]
+        *[sum_money(F.col(c)).alias(c) for c in ("initial", "additional", "gross", "net")]
     )
     return sums.select(
         *keys,
@@ -208,11 +208,11 @@ def invoice_discounts(classified: DataFrame, hot: HotKeys) -> DataFrame:
             "is_after_fpa_date",
         )
         .agg(
-            F.sum(F.when(after, given_back).otherwise(effect))
-            .cast(AMOUNT)
-            .alias("gbnf_discount_amount"),
-            F.sum(effect).cast(AMOUNT).alias("nbnf_discount_amount"),
-            F.sum(F.when(after, amount)).alias("_unsigned"),
+            sum_money(F.when(after, given_back).otherwise(effect)).alias(
+                "gbnf_discount_amount"
+            ),
+            sum_money(effect).alias("nbnf_discount_amount"),
+            sum_money(F.when(after, amount)).alias("_unsigned"),
         )
     )
     grouped = total_over(

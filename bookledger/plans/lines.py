@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from bookledger import fixed_values as fv
 from bookledger.config import BookingsConfig
-from bookledger.functions import AMOUNT, greatest_strict, signed, to_local, ts
+from bookledger.functions import AMOUNT, greatest_strict, signed, sum_money, to_local, ts
 from bookledger.operators.history import add_validity, keep_changes
 from bookledger.operators.skew import HotKeys, co_locate, lookup, total_over
 
@@ -242,7 +242,7 @@ def line_item_bookings(classified: DataFrame, hot: HotKeys) -> DataFrame:
     )
 
     def amount_sum(value, name):
-        return F.sum(value).cast(AMOUNT).alias(name)
+        return sum_money(value).alias(name)
 
     return booked.groupBy(*BOOKING_KEYS).agg(
         amount_sum(
