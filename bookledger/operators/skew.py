@@ -25,6 +25,7 @@ class HotKeys:
 
     def __init__(self, pieces: Mapping[str, Mapping[object, int]] | None = None):
         self.pieces = {d: dict(v) for d, v in (pieces or {}).items() if v}
+        self._tables: dict[tuple, DataFrame] = {}
 
     def has(self, domain: str) -> bool:
         return domain in self.pieces
@@ -39,11 +40,14 @@ class HotKeys:
 
     def table(self, spark: SparkSession, domain: str, key_type: T.DataType) -> DataFrame:
         """(key, pieces); at most ``max_hot_keys`` rows per measured column by construction."""
-        schema = T.StructType(
-            [T.StructField(_KEY, key_type), T.StructField(_PIECES, T.IntegerType(), False)]
-        )
-        rows = list(self.pieces[domain].items())
-        return spark.createDataFrame(rows, schema)
+        known = (id(spark), domain, key_type.simpleString())
+        if known not in self._tables:
+            schema = T.StructType(
+                [T.StructField(_KEY, key_type), T.StructField(_PIECES, T.IntegerType(), False)]
+            )
+            rows = list(self.pieces[domain].items())
+            self._tables[known] = spark.createDataFrame(rows, schema)
+        return self._tables[known]
 
     def tag(self, df: DataFrame, domain: str, key: str) -> DataFrame:
         """Add the number of pieces of each row's key, NULL for an ordinary key."""
