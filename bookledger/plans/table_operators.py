@@ -23,16 +23,13 @@ def _tables(spark: SparkSession, folder: str) -> DriverTables:
 
 
 def keep_changes(spark: SparkSession, folder: str) -> DataFrame:
-    """Order line versions in which the return flag or the price changed."""
+    """Order line versions in which the return flag changed."""
     tables = _tables(spark, folder)
     return history.keep_changes(
         _versions(tables),
         "line_item_id",
         ["updated", "price_point_id"],
-        {
-            "previous_flag": ("l_returnflag", "l_returnflag"),
-            "previous_price": ("price", "price"),
-        },
+        {"previous_flag": ("l_returnflag", "l_returnflag")},
         tables.hot_keys(),
         "line_item",
     )

@@ -4,10 +4,9 @@ OPERATORS = {
     "keep_changes": """
 SELECT * FROM (
   SELECT li AS line_item_id, upd AS updated, part AS price_point_id, ret AS l_returnflag, price,
-    lag(ret) OVER versions AS previous_flag, lag(price) OVER versions AS previous_price
+    lag(ret) OVER versions AS previous_flag
   FROM {in_lines} WINDOW versions AS (PARTITION BY li ORDER BY upd NULLS LAST, part NULLS LAST))
-WHERE previous_flag IS NULL OR previous_price IS NULL
-  OR (previous_flag, previous_price) <> (l_returnflag, price)
+WHERE previous_flag IS NULL OR previous_flag <> l_returnflag
 """,
     "validity_intervals": """
 SELECT li AS line_item_id, upd AS updated, part AS price_point_id, ret AS l_returnflag, price,
