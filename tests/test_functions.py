@@ -1,0 +1,94 @@
+from datetime import datetime
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from bookledger.functions import (
+    div0,
+    greatest_strict,
+    order_rank,
+    signed,
+    sum_money,
+    surrogate_key,
+    timestamp_text,
+    to_local,
+)
+
+
+def value(spark, column):
+    return spark.range(1).select(column.alias("x")).collect()[0]["x"]
+
+
+def money(text):
+    return F.lit(None if text is None else text).cast("decimal(15,2)")
+
+
+@pytest.mark.parametrize("a,b,expected", [
+    ("1", "3", "0.33333333"), ("2", "3", "0.66666667"), ("5", "0", "0"), ("0", "0", "0"),
+    (None, "3", None), ("1", None, None), (None, "0", None), ("-1", "8", "-0.12500000"),
+    ("0.01", "5.12", "0.00195313"),
+])
+def test_div0(spark, a, b, expected):
+    got = value(spark, div0(money(a), money(b)))
+    assert got == (None if expected is None else Decimal(expected))
+
+
+@pytest.mark.parametrize("a,b,expected", [(1, 2, 2), (None, 2, None), (1, None, None)])
+def test_greatest_strict(spark, a, b, expected):
+    number = [F.lit(x).cast("int") for x in (a, b)]
+    assert value(spark, greatest_strict(*number)) == expected
+
+
+@pytest.mark.parametrize("negative,expected", [(True, -5), (False, 5), (None, 5)])
+def test_signed(spark, negative, expected):
+    assert value(spark, signed(F.lit(5), F.lit(negative).cast("boolean"))) == expected
+
+
+def test_sum_money_is_exact_and_skips_null(spark):
+    df = spark.createDataFrame([(Decimal("0.10"),), (None,), (Decimal("-12345678901234.56"),)],
+                               "a decimal(18,2)")
+    assert df.agg(sum_money(F.col("a"))).collect()[0][0] == Decimal("-12345678901234.46")
+    assert df.filter("a IS NULL").agg(sum_money(F.col("a"))).collect()[0][0] is None
+
+
+@pytest.mark.parametrize("utc,local", [
+    (datetime(2024, 1, 1, 8), datetime(2024, 1, 1)),
+    (datetime(2024, 7, 1, 8), datetime(2024, 7, 1, 1)),
+    (datetime(2024, 11, 3, 8, 30), datetime(2024, 11, 3, 1, 30)),
+    (datetime(2024, 11, 3, 9, 30), datetime(2024, 11, 3, 1, 30)),
+])
+def test_to_local_including_the_repeated_hour(spark, utc, local):
+    column = F.lit(utc.isoformat(" ")).cast("timestamp_ntz")
+    assert value(spark, to_local(column, "UTC", "America/Los_Angeles")) == local
+
+
+@pytest.mark.parametrize("text,expected", [
+    ("2024-01-02 03:04:05", "2024-01-02 03:04:05.000"),
+    ("2024-01-02 03:04:05.12", "2024-01-02 03:04:05.120"),
+    ("2024-01-02 03:04:05.123456", "2024-01-02 03:04:05.123"),
+    # This wall clock does not exist in Los Angeles; the text must not change with the zone.
+    ("2024-03-10 02:30:00", "2024-03-10 02:30:00.000"),
+])
+@pytest.mark.parametrize("zone", ["UTC", "America/Los_Angeles"])
+def test_timestamp_text_ignores_the_session_zone(spark, text, expected, zone):
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        column = F.lit(text).cast("timestamp_ntz")
+        assert value(spark, timestamp_text(column)) == expected
+        assert value(spark, timestamp_text(F.lit(None).cast("timestamp_ntz"))) is None
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_surrogate_key_treats_null_as_empty(spark):
+    import hashlib
+
+    got = value(spark, surrogate_key(F.lit(1), F.lit(None).cast("string"), F.lit("x")))
+    assert got == hashlib.md5(b"1--x").hexdigest()
+
+
+def test_order_rank_sorts_null_last(spark):
+    df = spark.createDataFrame([(3,), (None,), (1,)], "v int")
+    got = [r["v"] for r in df.orderBy(order_rank(["v"])).collect()]
+    assert got == [1, 3, None]

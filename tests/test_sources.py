@@ -1,0 +1,91 @@
+import glob
+
+import pytest
+from builders import at, line, payment_hist, pipeline, table
+from pyspark.sql import functions as F
+
+from bookledger.sources import sinks
+from bookledger.sources.contracts import CONTRACTS, check_contract
+from bookledger.sources.inputs import BookingsInputs, read_parquet_inputs
+
+
+def test_contract_reports_missing_columns_and_wrong_types(spark):
+    payments = table(spark, "payment_hist", [payment_hist()])
+    with pytest.raises(ValueError, match="invoice_id"):
+        check_contract("payment_hist", payments.drop("invoice_id"))
+    text = payments.withColumn("transaction_settled_at_utc", F.lit("2024-01-01"))
+    with pytest.raises(TypeError, match="transaction_settled_at_utc"):
+        check_contract("payment_hist", text)
+
+
+def test_contract_accepts_any_id_type_and_drops_other_columns(spark):
+    payments = table(spark, "payment_hist", [payment_hist()]).withColumns(
+        {"invoice_id": F.lit("guid-1"), "more": F.lit(1)}
+    )
+    assert check_contract("payment_hist", payments).columns == list(CONTRACTS["payment_hist"])
+
+
+def test_pipeline_runs_on_text_ids(spark, tmp_path):
+    p = pipeline(spark, payment_hist=[payment_hist()], line_item_hist=[line(1, at(0))])
+    tables = {}
+    for name, contract in CONTRACTS.items():
+        ids = {c: F.col(c).cast("string") for c, k in contract.items() if k == "id"}
+        ids.pop("discount_apply_type_id", None)
+        tables[name] = p.inputs[name].withColumns(ids)
+    inputs = BookingsInputs(tables, p.config)
+    assert type(p)(inputs).line_item_bookings.count() == 1
+
+
+def test_parquet_inputs_measure_their_hot_keys(spark, tmp_path):
+    from bookledger.config import BookingsConfig
+
+    rows = [line(n, at(n), amount=n) for n in range(40)]
+    path = str(tmp_path / "line_item_hist")
+    table(spark, "line_item_hist", rows).write.parquet(path)
+    inputs = read_parquet_inputs(
+        spark, {"line_item_hist": path}, BookingsConfig(max_rows_per_task=10, max_hot_keys=50)
+    )
+    assert inputs.hot_keys.pieces == {
+        "invoice": {1: 4}, "line_item": {11: 4}, "price_point": {5: 4}
+    }
+
+
+def test_bookings_are_written_by_booking_date(spark, tmp_path):
+    p = pipeline(
+        spark, payment_hist=[payment_hist()],
+        line_item_hist=[line(1, at(0)), line(2, at(5), amount=7)],
+    )
+    path = str(tmp_path / "bookings")
+    for _ in range(2):  # the second run replaces the first
+        sinks.write_bookings(p.line_item_bookings, path)
+    assert spark.read.parquet(path).count() == 2
+    days = {f.split("=")[-1] for f in glob.glob(path + "/booking_date_pt=*")}
+    assert days == {"2024-01-09", "2024-01-14"}
+
+
+def test_keeper_writes_below_the_shared_folder(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "_scratch_root", lambda _: str(tmp_path))
+    kept = sinks.Keeper(spark).keep(spark.range(5), "five")
+    assert kept.count() == 5
+    assert glob.glob(str(tmp_path) + "/bookledger-*/five/*.parquet")
+
+
+class FakeSession:
+    """Just the settings that decide where intermediate tables go."""
+
+    def __init__(self, master, folder):
+        self.sparkContext = type("Context", (), {"master": master})
+        self.conf = type("Conf", (), {"get": staticmethod(lambda key, default: folder)})
+
+
+def test_shared_folder_comes_from_the_session():
+    assert sinks._scratch_root(FakeSession("yarn", "s3://shared/x")) == "s3://shared/x"
+    assert sinks._scratch_root(FakeSession("yarn", None)) is None
+    assert sinks._scratch_root(FakeSession("local[2]", None)).startswith("/tmp/run-")
+
+
+def test_keeper_recomputes_on_a_cluster_without_a_shared_folder(spark, monkeypatch):
+    monkeypatch.setattr(sinks, "_scratch_root", lambda _: None)
+    df = spark.range(5)
+    with pytest.warns(UserWarning, match="spark.checkpoint.dir"):
+        assert sinks.Keeper(spark).keep(df, "five") is df
