@@ -63,10 +63,13 @@ def measure_hot_keys(
 ) -> HotKeys:
     """Heavy values of ``columns`` (domain -> column) with more than ``max_rows`` rows.
 
-    One scan of the key columns into a frequent-items sketch of fixed size per task; no
+    A table with no more rows than that has none; for parquet its row count comes from the
+    file footers. Otherwise one scan of the key columns into a frequent-items sketch of fixed size per task; no
     shuffle by key, and only the heavy values reach the driver. The sketch overestimates at
     worst, and a value it misses holds less than about 1 / max_keys of the rows.
     """
+    if df.count() <= max_rows:
+        return HotKeys()
     tracked = max_keys * 10
     heavy = [
         F.expr(

@@ -30,7 +30,7 @@ def keep_changes(spark: SparkSession, folder: str) -> DataFrame:
         "line_item_id",
         ["updated", "price_point_id"],
         {"previous_flag": ("l_returnflag", "l_returnflag")},
-        tables.hot_keys(),
+        tables.hot_keys,
         "line_item",
     )
 
@@ -45,7 +45,7 @@ def validity_intervals(spark: SparkSession, folder: str) -> DataFrame:
         ["price_point_id"],
         "started_at",
         "expires_at",
-        tables.hot_keys(),
+        tables.hot_keys,
         "line_item",
     )
 
@@ -72,7 +72,7 @@ def fill_nearest_non_null(spark: SparkSession, folder: str) -> DataFrame:
 def allocate_by_share(spark: SparkSession, folder: str) -> DataFrame:
     """Each order's total spread over its lines that were not returned, by price."""
     tables = _tables(spark, folder)
-    hot = tables.hot_keys()
+    hot = tables.hot_keys
     lines = tables.lines().select(
         "invoice_id",
         "line_item_id",

@@ -99,7 +99,7 @@ def pipeline(spark, config=None, **rows):
          for p in PRODUCTS],
     )
     tables = {name: table(spark, name, rows.get(name, [])) for name in CONTRACTS}
-    return BookingsPipeline(BookingsInputs(tables, config or BookingsConfig(), NO_HOT_KEYS))
+    return BookingsPipeline(BookingsInputs(spark, tables, config or BookingsConfig(), NO_HOT_KEYS))
 
 
 def rows(df, *columns):

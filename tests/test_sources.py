@@ -32,7 +32,7 @@ def test_pipeline_runs_on_text_ids(spark, tmp_path):
         ids = {c: F.col(c).cast("string") for c, k in contract.items() if k == "id"}
         ids.pop("discount_apply_type_id", None)
         tables[name] = p.inputs[name].withColumns(ids)
-    inputs = BookingsInputs(tables, p.config)
+    inputs = BookingsInputs(spark, tables, p.config)
     assert type(p)(inputs).line_item_bookings.count() == 1
 
 
