@@ -189,6 +189,7 @@ def first_where(
                 for out, c in flags.items()
             }
         )
+    df = hot.keep(df)
     rank = order_rank(order)
     firsts = df.groupBy(key).agg(
         *[F.min(F.when(F.col(c), rank)).alias(f"_first_{out}") for out, c in flags.items()]
@@ -231,5 +232,6 @@ def last_by_group(
                 last_where(~F.col(group))
             ),
         )
+    df = hot.keep(df)
     lasts = df.groupBy(key, group).agg(F.max_by(value, order_rank(order)).alias(out))
     return lookup(df, lasts, [key, group], hot, domain, hot_on=key, null_safe=True)

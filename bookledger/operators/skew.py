@@ -8,7 +8,7 @@ this package ask a ``HotKeys`` first. Without hot keys they use the plain, cheap
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -21,12 +21,26 @@ class HotKeys:
     """Values with too many rows for one task, by key domain (invoice, line item, ...).
 
     ``pieces[domain][value]`` is the number of pieces the rows of the value are cut into.
+    Plans for hot keys read their input more than once; ``keep`` stores it in between, so
+    that a chain of operators does not compute the same rows again and again.
     """
 
-    def __init__(self, pieces: Mapping[str, Mapping[object, int]] | None = None):
+    def __init__(
+        self,
+        pieces: Mapping[str, Mapping[object, int]] | None = None,
+        keep: Callable[[DataFrame], DataFrame] | None = None,
+    ):
         self.pieces = {d: dict(v) for d, v in (pieces or {}).items() if v}
+        self._keep = keep
         self._tables: dict[tuple, DataFrame] = {}
 
+    def keeping(self, keep: Callable[[DataFrame], DataFrame]) -> HotKeys:
+        """The same hot keys, with a place for intermediate results."""
+        return HotKeys(self.pieces, keep)
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        return self._keep(df) if self._keep else df
+
     def has(self, domain: str) -> bool:
         return domain in self.pieces
 
@@ -134,16 +148,20 @@ def total_over(
     hot: HotKeys = NO_HOT_KEYS,
     domain: str = "",
     hot_on: str | None = None,
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """Add aggregates over all rows with the same ``keys``; NULL keys are one group.
 
     Ordinary keys: a window, which needs one shuffle and reads the input once. Hot keys:
-    partial aggregation, then a spread join back.
+    partial aggregation, then a spread join back. ``source`` may name a table with the same
+    rows that is cheaper to read for the aggregation.
     """
     if not hot.has(domain):
         w = Window.partitionBy(*keys)
         return df.withColumns({name: agg.over(w) for name, agg in totals.items()})
-    grouped = df.groupBy(*keys).agg(*[agg.alias(name) for name, agg in totals.items()])
+    if source is None:
+        df = source = hot.keep(df)
+    grouped = source.groupBy(*keys).agg(*[agg.alias(name) for name, agg in totals.items()])
     return lookup(df, grouped, keys, hot, domain, hot_on, null_safe=True)
 
 
@@ -159,7 +177,7 @@ def split_hot(
     df: DataFrame, key: str, hot: HotKeys, domain: str
 ) -> tuple[DataFrame, DataFrame]:
     """(rows of ordinary keys, rows of hot keys)."""
-    tagged = hot.tag(df, domain, key)
+    tagged = hot.tag(hot.keep(df), domain, key)
     ordinary = tagged.filter(F.col(_PIECES).isNull()).drop(_PIECES)
     heavy = tagged.filter(F.col(_PIECES).isNotNull()).drop(_PIECES)
     return ordinary, heavy

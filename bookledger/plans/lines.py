@@ -46,7 +46,6 @@ def line_item_changes(
     versions = line_item_hist.withColumn(
         "record_updated_at_pt", to_local(seen, config.source_zone, config.local_zone)
     )
-    versions = lookup(versions, fpa, ["invoice_id"], hot, "invoice")
     versions = total_over(
         versions,
         ["invoice_id"],
@@ -56,7 +55,9 @@ def line_item_changes(
         },
         hot,
         "invoice",
+        source=line_item_hist,
     )
+    versions = lookup(versions, fpa, ["invoice_id"], hot, "invoice")
     versions = lookup(
         versions,
         price_point.select("price_point_id", "is_filing_fee"),

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from bookledger.config import BookingsConfig
 from bookledger.functions import surrogate_key, timestamp_text
 from bookledger.operators.ordered import fill_nearest
-from bookledger.operators.skew import lookup
+from bookledger.operators.skew import HotKeys, lookup
 from bookledger.plans import allocation, checks, credits, discounts, lines, payments, volume
 from bookledger.plans.lines import FPA
 from bookledger.sources.inputs import BookingsInputs
@@ -71,9 +71,9 @@ class BookingsPipeline:
         self.config: BookingsConfig = inputs.config
         self.keeper = keeper or Keeper(inputs.spark)
 
-    @property
-    def hot(self):
-        return self.inputs.hot_keys
+    @cached_property
+    def hot(self) -> HotKeys:
+        return self.inputs.hot_keys.keeping(self.keeper.keep)
 
     # -- payments --------------------------------------------------------------------------
 
@@ -155,7 +155,7 @@ class BookingsPipeline:
             "is_initial_discount",
             "is_after_fpa_date",
         ]
-        return self.keeper.keep(self.classify_discounts.select(*needed), "discounts")
+        return self.keeper.keep(self.classify_discounts.select(*needed))
 
     def _line_item_discounts(self, classified: DataFrame) -> DataFrame:
         schema = self.inputs["line_item_hist"].schema
@@ -211,7 +211,7 @@ class BookingsPipeline:
 
     @cached_property
     def _kept_bookings(self) -> DataFrame:
-        return self.keeper.keep(self.fill_line_item_dimensions, "bookings")
+        return self.keeper.keep(self.fill_line_item_dimensions)
 
     # -- invoice discounts -----------------------------------------------------------------
 

@@ -51,14 +51,16 @@ class Keeper:
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self._root: str | None = None
+        self._kept = 0
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
+    def keep(self, df: DataFrame) -> DataFrame:
         if self._root is None:
             root = _scratch_root(self.spark)
             if root is None:
                 warnings.warn("spark.checkpoint.dir is not set; recomputing shared stages")
                 return df
             self._root = f"{root}/bookledger-{uuid.uuid4().hex}"
-        path = f"{self._root}/{name}"
+        self._kept += 1
+        path = f"{self._root}/{self._kept:03d}"
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)

@@ -65,9 +65,9 @@ def test_bookings_are_written_by_booking_date(spark, tmp_path):
 
 def test_keeper_writes_below_the_shared_folder(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(sinks, "_scratch_root", lambda _: str(tmp_path))
-    kept = sinks.Keeper(spark).keep(spark.range(5), "five")
+    kept = sinks.Keeper(spark).keep(spark.range(5))
     assert kept.count() == 5
-    assert glob.glob(str(tmp_path) + "/bookledger-*/five/*.parquet")
+    assert glob.glob(str(tmp_path) + "/bookledger-*/001/*.parquet")
 
 
 class FakeSession:
@@ -88,4 +88,4 @@ def test_keeper_recomputes_on_a_cluster_without_a_shared_folder(spark, monkeypat
     monkeypatch.setattr(sinks, "_scratch_root", lambda _: None)
     df = spark.range(5)
     with pytest.warns(UserWarning, match="spark.checkpoint.dir"):
-        assert sinks.Keeper(spark).keep(df, "five") is df
+        assert sinks.Keeper(spark).keep(df) is df
