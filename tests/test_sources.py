@@ -89,3 +89,20 @@ def test_keeper_recomputes_on_a_cluster_without_a_shared_folder(spark, monkeypat
     df = spark.range(5)
     with pytest.warns(UserWarning, match="spark.checkpoint.dir"):
         assert sinks.Keeper(spark).keep(df) is df
+
+
+def test_daily_build_needs_todays_data(spark, tmp_path):
+    from datetime import datetime
+
+    from bookledger.plans.daily import NotReadyError, build_daily
+
+    p = pipeline(
+        spark, payment_hist=[payment_hist()], line_item_hist=[line(1, at(0))],
+        freshness_source=[dict(dtlastupdated=datetime(2024, 1, 30, 1))],
+    )
+    path = str(tmp_path / "bookings")
+    with pytest.raises(NotReadyError):
+        build_daily(p.inputs, datetime(2024, 1, 31, 8, 15), path)
+    failures = build_daily(p.inputs, datetime(2024, 1, 30, 8, 15), path).collect()
+    assert {r["failures"] for r in failures} == {0}
+    assert spark.read.parquet(path).count() == 1
