@@ -20,9 +20,13 @@ def _needed(name: str, seen: list[str]) -> None:
         seen.append(name)
 
 
-def sql(name: str) -> str:
+def sql(name: str, text_of: str | None = None) -> str:
+    """The SQL of a query; ``text_of`` names a timestamp column to show as text."""
+    columns = "*"
+    if text_of:
+        columns += f" REPLACE (strftime({text_of}, '%Y-%m-%d %H:%M:%S.%g') AS {text_of})"
     parts: list[str] = []
     _needed(name, parts)
     names = {p: p for p in _PARTS}
     ctes = [f"{p} AS (\n{_PARTS[p].format(**names).strip()}\n)" for p in parts]
-    return "WITH " + ",\n".join(ctes) + f"\nSELECT * FROM {name}"
+    return "WITH " + ",\n".join(ctes) + f"\nSELECT {columns} FROM {name}"
