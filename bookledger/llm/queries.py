@@ -7,10 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bookledger.llm.bpe import encode_decode, encoding_digests
 from bookledger.llm.common import table
 from bookledger.llm.decontaminate import contamination
 from bookledger.llm.exact_dedup import exact_groups
 from bookledger.llm.secrets import secret_scan
+from bookledger.llm.simhash import near_duplicates
+
+#: The word-level BPE file of the installed public tokenizers.
+TOKENIZER = "word_bpe_49k.json"
+
+
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,11 +40,21 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoding_digests(encode_decode(table(spark, sf_dir, "documents"), tokenizer_path()))
+
+
+def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op2_benchmark_decontamination,
         op4_secret_scan,
         op5_exact_dedup,
+        op7_bpe,
+        op9_simhash_near_dedup,
     )
 }
