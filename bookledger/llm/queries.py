@@ -11,9 +11,14 @@ from bookledger.llm.bpe import encode_decode, encoding_digests
 from bookledger.llm.common import table
 from bookledger.llm.decontaminate import contamination
 from bookledger.llm.exact_dedup import exact_groups
+from bookledger.llm.quality import quality_scores
 from bookledger.llm.secrets import secret_scan
 from bookledger.llm.simhash import near_duplicates
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 #: The word-level BPE file of the installed public tokenizers.
 TOKENIZER = "word_bpe_49k.json"
 
@@ -54,6 +59,7 @@ QUERIES: dict[str, Query] = {
         op2_benchmark_decontamination,
         op4_secret_scan,
         op5_exact_dedup,
+        op6_quality_classifier,
         op7_bpe,
         op9_simhash_near_dedup,
     )
