@@ -11,6 +11,7 @@ from bookledger.llm.bpe import encode_decode, encoding_digests
 from bookledger.llm.common import table
 from bookledger.llm.decontaminate import contamination
 from bookledger.llm.exact_dedup import exact_groups
+from bookledger.llm.html_blocks import extract_text
 from bookledger.llm.quality import quality_scores
 from bookledger.llm.secrets import secret_scan
 from bookledger.llm.simhash import near_duplicates
@@ -53,6 +54,11 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = extract_text(table(spark, sf_dir, "pages"))
+    return text.withColumn("n_chars", F.length("text").cast("long"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -62,5 +68,6 @@ QUERIES: dict[str, Query] = {
         op6_quality_classifier,
         op7_bpe,
         op9_simhash_near_dedup,
+        op10_html_extraction,
     )
 }
