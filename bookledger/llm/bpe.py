@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 import json
 import re
 import unicodedata
@@ -34,7 +33,6 @@ def byte_characters() -> list[str]:
     return [out[b] for b in range(256)]
 
 
-@functools.cache
 def _ranges(kinds: str) -> str:
     """The 16-bit code points of some general categories, as ranges for a character class."""
     out, start = [], None

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 import html
 import re
 from collections.abc import Iterator
@@ -248,9 +247,8 @@ def judge(tree: Leaf | Split, row: np.ndarray) -> bool:
     return tree.keep
 
 
-@functools.cache
 def trained_tree() -> Leaf | Split:
-    """The tree that the labelled table gives; its size is fixed, so each task grows its own."""
+    """The tree that the labelled table gives; both have a fixed, small size."""
     rows, labels = [], []
     for page in PAGES:
         listed = blocks(page)
@@ -275,8 +273,9 @@ def extract_text(pages: DataFrame, page: str = "html", keys: tuple[str, ...] = (
     columns are ignored. Pages are read whole, however long, and no row is moved.
     """
 
+    tree = trained_tree()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree = trained_tree()
         for batch in batches:
             texts = [main_text(p.as_py() or "", tree) for p in batch.column(batch.num_columns - 1)]
             yield pa.RecordBatch.from_arrays(
