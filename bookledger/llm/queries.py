@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 
 from bookledger.llm.bpe import encode_decode, encoding_digests
 from bookledger.llm.chat import format_conversations, read_back
-from bookledger.llm.common import table
+from bookledger.llm.common import shared_folder, table
 from bookledger.llm.decontaminate import contamination
 from bookledger.llm.exact_dedup import exact_groups
 from bookledger.llm.html_blocks import extract_text
 from bookledger.llm.quality import quality_scores
 from bookledger.llm.secrets import secret_scan
 from bookledger.llm.simhash import near_duplicates
+from bookledger.llm.warc import archive_round_trip
 
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -34,6 +35,10 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_round_trip(table(spark, sf_dir, "pages"), shared_folder(spark))
+
+
 def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -73,6 +78,7 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op1_warc,
         op2_benchmark_decontamination,
         op4_secret_scan,
         op5_exact_dedup,
