@@ -16,6 +16,7 @@ from bookledger.llm.html_blocks import extract_text
 from bookledger.llm.quality import quality_scores
 from bookledger.llm.secrets import secret_scan
 from bookledger.llm.simhash import near_duplicates
+from bookledger.llm.unit_dedup import repeated_spans
 from bookledger.llm.warc import archive_round_trip
 
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,6 +44,10 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_spans(table(spark, sf_dir, "documents"))
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan(table(spark, sf_dir, "documents"))
 
@@ -80,6 +85,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         op1_warc,
         op2_benchmark_decontamination,
+        op3_substring_dedup,
         op4_secret_scan,
         op5_exact_dedup,
         op6_quality_classifier,
