@@ -1,0 +1,108 @@
+"""Own merges against the library's, on all kinds of text."""
+
+import functools
+import random
+
+import pytest
+from hypothesis import example, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from bookledger.llm.bpe import Merges, WordBpe, encode_decode, encoding_digests
+from bookledger.llm.queries import tokenizer_path
+
+from . import brute
+
+
+@functools.cache
+def own():
+    return WordBpe(tokenizer_path())
+
+
+@functools.cache
+def library():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(tokenizer_path())
+
+
+def check(text):
+    ids = own().encode(text)
+    expected = library().encode(text, add_special_tokens=False).ids
+    assert ids == expected
+    assert own().decode(ids) == library().decode(expected, skip_special_tokens=False)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(max_size=80))
+@example("")
+@example("a<|endoftext|>b <|startoftext|><|ENDOFTEXT|>")
+@example("ΟΔΥΣΣΕΥΣ İstanbul ſ K ﬁ ½ ①²³ x\u0085y z\u200b q 日本語 don't 'S 'lL \x1c")
+@example("e\u0301 É 🇩🇪👍🏽 \U000323b0 \u1c89 \u0558")
+def test_any_text(text):
+    check(text)
+
+
+@pytest.mark.parametrize("text", ["a" * 3000, "ab" * 2500, "!" * 2000, "漢" * 900, "the quick " * 4000])
+def test_long_words_and_texts(text):
+    check(text)
+
+
+def test_many_texts_and_a_forgotten_cache(monkeypatch):
+    from bookledger.llm import bpe
+
+    monkeypatch.setattr(bpe, "REMEMBERED", 300)
+    rng = random.Random(1)
+    texts = ["".join(rng.choice("abcdeß <|,.'st") for _ in range(rng.randint(0, 200))) for _ in range(200)]
+    tokenizer = WordBpe(tokenizer_path())
+    for i in range(0, 200, 20):
+        offsets, ids = tokenizer.encode_batch(texts[i : i + 20])
+        for k, text in enumerate(texts[i : i + 20]):
+            assert ids[offsets[k] : offsets[k + 1]].tolist() == library().encode(text, add_special_tokens=False).ids
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from("abc"), min_size=1, max_size=33), st.randoms(use_true_random=False))
+def test_segment_tree_merges_the_leftmost_lowest_rank(symbols, rng):
+    """Against merging by search, with random merge tables."""
+    import numpy as np
+
+    vocabulary = {"a": 0, "b": 1, "c": 2}
+    merges = []
+    for _ in range(12):
+        left, right = rng.choice(list(vocabulary)), rng.choice(list(vocabulary))
+        if left + right not in vocabulary:
+            vocabulary[left + right] = len(vocabulary)
+            merges.append((left, right))
+    table = Merges(vocabulary, merges)
+    expected = list(symbols)
+    while True:
+        ranks = [merges.index(p) if p in merges else 99 for p in zip(expected, expected[1:], strict=False)]
+        if not ranks or min(ranks) == 99:
+            break
+        i = ranks.index(min(ranks))
+        expected[i : i + 2] = ["".join(expected[i : i + 2])]
+    width = 1 << (len(symbols) - 1).bit_length()
+    row = np.full((1, width), -1)
+    row[0, : len(symbols)] = [vocabulary[s] for s in symbols]
+    merged = table.apply(row)[0]
+    assert merged[merged >= 0].tolist() == [vocabulary[s] for s in expected]
+
+
+def test_documents(documents):
+    rows = [(1, "Hello wörld's 12"), (2, None), (3, ""), (None, "no id"), (1, "Hello wörld's 12"), (4, "x y " * 30_000)]
+    encoded = encode_decode(documents(rows), tokenizer_path())
+    expected = []
+    for number, text in rows:
+        ids = library().encode(text or "", add_special_tokens=False).ids
+        decoded = library().decode(ids, skip_special_tokens=False)
+        expected.append((number, len(ids), brute.sha(" ".join(map(str, ids))), brute.sha(decoded)))
+    got = [tuple(r) for r in encoding_digests(encoded).collect()]
+    assert sorted(got, key=str) == sorted(expected, key=str)
+    empty = encode_decode(documents(rows).where(F.lit(False)), tokenizer_path())
+    assert empty.collect() == []
+
+
+def test_other_kinds_of_files_are_refused():
+    with pytest.raises((ValueError, KeyError, TypeError)):
+        WordBpe(tokenizer_path("byte_bpe_50k.json"))

@@ -1,0 +1,61 @@
+"""The pipeline's stages one by one, each against plain versions on what it is given."""
+
+import corpus_pipeline
+from bookledger.llm.queries import tokenizer_path
+
+from . import brute
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+def test_stages_against_plain_versions(spark, tmp_path):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    columns = docs.columns
+    items = [tuple(r) for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").select("item_id", "text").collect()]
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{FOLDER}/labels.parquet").collect()}
+    given = {r["doc_id"]: r["text"] for r in docs.collect()}
+    for number, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        path = str(tmp_path / str(number))
+        stage(spark, docs, FOLDER).write.parquet(path)
+        docs = spark.read.parquet(path)
+        pairs = list(given.items())
+        if name == "bpe":
+            break
+        assert docs.columns == columns
+        kept = {r["doc_id"]: r["text"] for r in docs.collect()}
+        assert all(given[d] == t for d, t in kept.items())
+        if name == "quality":
+            wrong = [d for d in given if d in labels and (d in kept) != (labels[d] == 1)]
+            assert len(wrong) <= 0.06 * len(labels)
+        elif name == "exact_dedup":
+            assert set(kept) == {d for d, _, _, stays, _ in brute.exact_groups(pairs) if stays}
+        elif name == "near_dedup":
+            assert set(kept) == {d for d, _, first in brute.near_groups(pairs) if d == first}
+        else:
+            assert set(kept) == {r[0] for r in brute.contamination(pairs, items) if not r[-1]}
+        given = kept
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(tokenizer_path())
+    rows = {r["doc_id"]: r for r in docs.collect()}
+    assert set(rows) == set(given)
+    for doc_id, text in given.items():
+        ids = library.encode(text or "", add_special_tokens=False).ids
+        assert (rows[doc_id]["n_tokens"], rows[doc_id]["ids_sha256"]) == (len(ids), brute.sha(" ".join(map(str, ids))))
+
+
+def test_hard_rows_and_clashing_columns(spark, documents):
+    rows = [(1, None), (2, ""), (None, "no id"), (3, "long " * 50_000), (3, "long " * 50_000), (4, "\t")]
+    docs = documents(rows)
+    # Of the empty texts the longest stays as an exact copy, the smallest id as a near one.
+    expected = ({4, None, 3}, {1, None, 3}, {1, 2, None, 3, 4})
+    for (_, stage), wanted in zip(corpus_pipeline.STAGES[1:4], expected, strict=True):
+        out = stage(spark, docs, FOLDER)
+        assert out.columns == docs.columns
+        assert {r["doc_id"] for r in out.collect()} == wanted
+        assert stage(spark, docs.where("false"), FOLDER).collect() == []
+
+
+def test_stage_names():
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "exact_dedup", "near_dedup", "decontamination", "bpe"]
+    assert corpus_pipeline.ORACLE_SQL is None
