@@ -18,9 +18,13 @@ class BookingsConfig:
     # the allocated amount already covers all of them. True books it once.
     dedupe_initial_allocation: bool = False
 
+    # discount_apply_type_id of each rule, and the products that count as standard shipping.
+    apply_to_products: int = fv.APPLY_TO_PRODUCTS
+    apply_to_everything: int = fv.APPLY_TO_EVERYTHING
+    apply_to_all_but_filing_fees: int = fv.APPLY_TO_ALL_BUT_FILING_FEES
+    apply_to_products_and_standard_shipping: int = fv.APPLY_TO_PRODUCTS_AND_STANDARD_SHIPPING
+    shipping_name_pattern: str = fv.SHIPPING_NAME_PATTERN
+
     # A key with more rows than this is "hot": its rows are cut into pieces of about this
-    # size instead of meeting in one task.
+    # size instead of meeting in one task. It decides on the plan only, never on the result.
     max_rows_per_task: int = 2_000_000
-    # Upper bound of the number of hot keys tracked per key column. Also the proven size
-    # bound of the broadcast table of hot keys.
-    max_hot_keys: int = 10_000

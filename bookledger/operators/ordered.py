@@ -15,6 +15,7 @@ from bookledger.functions import order_rank
 from bookledger.operators.skew import NO_HOT_KEYS, HotKeys, lookup, split_hot
 
 _RUN, _FIRST, _LAST, _EDGE = "_run", "_run_first", "_run_last", "_run_edge"
+_ROW = "_row_number"
 
 
 def _asc(order: list[str]) -> list[Column]:
@@ -61,6 +62,7 @@ def neighbours(
         order,
         {out: wrapped[c] for out, c in previous.items()},
         {out: wrapped[c] for out, c in following.items()},
+        hot.total_pieces(domain),
     )
     outs = [*previous, *following]
     heavy = heavy.withColumns({o: F.col(o)["v"] for o in outs}).drop(*wrapped.values())
@@ -96,7 +98,7 @@ def fill_nearest(
     ordinary, heavy = split_hot(df, key, hot, domain)
     before = {f"_before_{c}": c for c in columns}
     after = {f"_after_{c}": c for c in columns}
-    heavy = _nearest_in_runs(heavy, key, order, before, after)
+    heavy = _nearest_in_runs(heavy, key, order, before, after, hot.total_pieces(domain))
     heavy = filled(
         heavy,
         {c: F.col(f"_before_{c}") for c in columns},
@@ -111,16 +113,18 @@ def _nearest_in_runs(
     order: list[str],
     before: Mapping[str, str],
     after: Mapping[str, str],
+    pieces: int,
 ) -> DataFrame:
     """Nearest earlier / later non-NULL value when one key has too many rows for a task.
 
-    1. Range partitioning by (key, order) cuts each key into runs of consecutive rows.
+    1. Range partitioning by (key, order) cuts each key into runs of consecutive rows, as
+       many as the rows need ``pieces``; twice that, since the ranges come from a sample.
     2. Inside a run the nearest values are found directly.
     3. The first and last row of every run (two per run) meet in one small group per key,
        where each run learns what its neighbours know.
     4. Every run hands that to its rows.
     """
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    partitions = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2 * pieces)
     runs = df.repartitionByRange(
         partitions, F.col(key).asc_nulls_last(), *_asc(order)
     ).withColumn(_RUN, F.spark_partition_id())
@@ -173,15 +177,17 @@ def first_where(
 ) -> DataFrame:
     """For each (output -> condition column): 1 on the key's first row where it holds, else 0.
 
-    The order columns have to tell any two rows of a key apart.
+    One row a key is marked, also where rows are equal in all order columns; which of these is
+    left open.
     """
-    if not hot.has(domain):
+
+    def plain(rows: DataFrame) -> DataFrame:
         so_far = (
             Window.partitionBy(key)
             .orderBy(*_asc(order))
             .rowsBetween(Window.unboundedPreceding, Window.currentRow)
         )
-        return df.withColumns(
+        return rows.withColumns(
             {
                 out: F.when(
                     F.col(c) & (F.count(F.when(F.col(c), 1)).over(so_far) == 1), 1
@@ -189,18 +195,24 @@ def first_where(
                 for out, c in flags.items()
             }
         )
-    df = hot.keep(df)
-    rank = order_rank(order)
-    firsts = df.groupBy(key).agg(
+
+    if not hot.has(domain):
+        return plain(df)
+    # The number tells equal rows apart. It is stored with the rows, so it stays the same.
+    numbered = df.withColumn(_ROW, F.monotonically_increasing_id())
+    ordinary, heavy = split_hot(numbered, key, hot, domain)
+    rank = order_rank([*order, _ROW])
+    firsts = heavy.groupBy(key).agg(
         *[F.min(F.when(F.col(c), rank)).alias(f"_first_{out}") for out, c in flags.items()]
     )
-    joined = lookup(df, firsts, [key], hot, domain, null_safe=True)
-    return joined.withColumns(
+    joined = lookup(heavy, firsts, [key], hot, domain, null_safe=True)
+    marked = joined.withColumns(
         {
             out: F.when(F.col(c) & rank.eqNullSafe(F.col(f"_first_{out}")), 1).otherwise(0)
             for out, c in flags.items()
         }
     ).drop(*[f"_first_{out}" for out in flags])
+    return plain(ordinary).unionByName(marked).drop(_ROW)
 
 
 def last_by_group(
@@ -214,7 +226,8 @@ def last_by_group(
     domain: str = "",
 ) -> DataFrame:
     """Add the ``value`` (never NULL) of the last row of each (key, boolean ``group``)."""
-    if not hot.has(domain):
+
+    def plain(rows: DataFrame) -> DataFrame:
         # Both groups of a key are read off one window, so the sort is shared with other
         # operators on the same key and order.
         whole = (
@@ -226,12 +239,16 @@ def last_by_group(
         def last_where(condition: Column) -> Column:
             return F.last(F.when(condition, F.col(value)), ignorenulls=True).over(whole)
 
-        return df.withColumn(
+        return rows.withColumn(
             out,
             F.when(F.col(group), last_where(F.col(group))).otherwise(
                 last_where(~F.col(group))
             ),
         )
-    df = hot.keep(df)
-    lasts = df.groupBy(key, group).agg(F.max_by(value, order_rank(order)).alias(out))
-    return lookup(df, lasts, [key, group], hot, domain, hot_on=key, null_safe=True)
+
+    if not hot.has(domain):
+        return plain(df)
+    ordinary, heavy = split_hot(df, key, hot, domain)
+    lasts = heavy.groupBy(key, group).agg(F.max_by(value, order_rank(order)).alias(out))
+    joined = lookup(heavy, lasts, [key, group], hot, domain, hot_on=key, null_safe=True)
+    return plain(ordinary).unionByName(joined)

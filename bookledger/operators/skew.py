@@ -7,97 +7,124 @@ this package ask a ``HotKeys`` first. Without hot keys they use the plain, cheap
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Mapping
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 _KEY, _PIECES, _PIECE = "_hot_key", "_hot_pieces", "_hot_piece"
+_ROWS = "_hot_rows"
+
+# A key counts as hot only if it has more than this part of all rows, whatever the row limit. So there are
+# never more hot keys than this, which bounds the list that is broadcast.
+MAX_LISTED = 250_000
 
 
 class HotKeys:
     """Values with too many rows for one task, by key domain (invoice, line item, ...).
 
-    ``pieces[domain][value]`` is the number of pieces the rows of the value are cut into.
-    Plans for hot keys read their input more than once; ``keep`` stores it in between, so
-    that a chain of operators does not compute the same rows again and again.
+    ``tables[domain]`` is a small stored table (value, number of rows). The rows of a value are cut
+    into pieces of at most ``rows_per_piece``. Plans for hot keys read their input more than
+    once; ``keep`` stores it in between, so that a chain of operators does not compute the
+    same rows again and again.
     """
 
     def __init__(
         self,
-        pieces: Mapping[str, Mapping[object, int]] | None = None,
+        tables: Mapping[str, DataFrame] | None = None,
+        rows_per_piece: int = 1,
         keep: Callable[[DataFrame], DataFrame] | None = None,
     ):
-        self.pieces = {d: dict(v) for d, v in (pieces or {}).items() if v}
+        self.tables = dict(tables or {})
+        self.rows_per_piece = rows_per_piece
         self._keep = keep
-        self._tables: dict[tuple, DataFrame] = {}
-
-    def keeping(self, keep: Callable[[DataFrame], DataFrame]) -> HotKeys:
-        """The same hot keys, with a place for intermediate results."""
-        return HotKeys(self.pieces, keep)
 
     def keep(self, df: DataFrame) -> DataFrame:
-        return self._keep(df) if self._keep else df
+        if self._keep is None:
+            raise ValueError("hot keys need a folder for intermediate tables")
+        return self._keep(df)
 
     def has(self, domain: str) -> bool:
-        return domain in self.pieces
+        return domain in self.tables
+
+    def _pieces(self) -> Column:
+        return F.ceil(F.col(_ROWS) / F.lit(self.rows_per_piece)).cast("int")
+
+    def total_pieces(self, domain: str) -> int:
+        """How many tasks the rows of all hot keys need at least."""
+        return self.tables[domain].agg(F.sum(self._pieces())).first()[0]
+
+    def with_domain(self, domain: str, of: str) -> HotKeys:
+        """The same hot keys under one more name."""
+        tables = self.tables | ({domain: self.tables[of]} if of in self.tables else {})
+        return HotKeys(tables, self.rows_per_piece, self._keep)
 
     def merge(self, other: HotKeys) -> HotKeys:
-        merged = {d: dict(v) for d, v in self.pieces.items()}
-        for domain, values in other.pieces.items():
-            into = merged.setdefault(domain, {})
-            for value, n in values.items():
-                into[value] = max(n, into.get(value, 0))
-        return HotKeys(merged)
-
-    def table(self, spark: SparkSession, domain: str, key_type: T.DataType) -> DataFrame:
-        """(key, pieces); at most ``max_hot_keys`` rows per measured column by construction."""
-        known = (id(spark), domain, key_type.simpleString())
-        if known not in self._tables:
-            schema = T.StructType(
-                [T.StructField(_KEY, key_type), T.StructField(_PIECES, T.IntegerType(), False)]
-            )
-            rows = list(self.pieces[domain].items())
-            self._tables[known] = spark.createDataFrame(rows, schema)
-        return self._tables[known]
+        """Hot keys of both; the rows of a value add up."""
+        tables = dict(self.tables)
+        for domain, table in other.tables.items():
+            if domain in tables:
+                both = tables[domain].unionByName(table)
+                table = (self if self._keep else other).keep(
+                    both.groupBy(_KEY).agg(F.sum(_ROWS).alias(_ROWS))
+                )
+            tables[domain] = table
+        limit = self.rows_per_piece if self.tables else other.rows_per_piece
+        return HotKeys(tables, limit, self._keep or other._keep)
 
     def tag(self, df: DataFrame, domain: str, key: str) -> DataFrame:
         """Add the number of pieces of each row's key, NULL for an ordinary key."""
-        table = F.broadcast(self.table(df.sparkSession, domain, df.schema[key].dataType))
-        return df.join(table, F.col(key).eqNullSafe(F.col(_KEY)), "left").drop(_KEY)
+        listed = F.broadcast(self.tables[domain].select(_KEY, self._pieces().alias(_PIECES)))
+        return df.join(listed, F.col(key).eqNullSafe(F.col(_KEY)), "left").drop(_KEY)
 
 
 NO_HOT_KEYS = HotKeys()
 
 
 def measure_hot_keys(
-    df: DataFrame, columns: Mapping[str, str], max_rows: int, max_keys: int
+    sources: Mapping[str, list[tuple[DataFrame, str]]],
+    max_rows: int,
+    keep: Callable[[DataFrame], DataFrame],
+    times: int = 1,
 ) -> HotKeys:
-    """Heavy values of ``columns`` (domain -> column) with more than ``max_rows`` rows.
+    """Values with more than ``max_rows`` rows over all sources of a domain (table, key column).
 
-    A table with no more rows than that has none; for parquet its row count comes from the
-    file footers. Otherwise one scan of the key columns into a frequent-items sketch of fixed size per task; no
-    shuffle by key, and only the heavy values reach the driver. The sketch overestimates at
-    worst, and a value it misses holds less than about 1 / max_keys of the rows.
+    ``times``: how many rows later steps make of a row at most. Tables with too few rows have
+    no hot keys; for parquet their row counts come from the file footers. Otherwise the keys are
+    counted exactly, combined within each task before they are shuffled, and the heavy ones are
+    stored. However many there are, all are found.
     """
-    if df.count() <= max_rows:
-        return HotKeys()
-    tracked = max_keys * 10
-    heavy = [
-        F.expr(
-            f"filter(approx_top_k(`{column}`, {max_keys}, {tracked}), x -> x.count > {max_rows})"
-        ).alias(domain)
-        for domain, column in columns.items()
-    ]
-    row = df.select(*dict.fromkeys(columns.values())).agg(*heavy).first()
-    return HotKeys(
-        {
-            domain: {x["item"]: math.ceil(x["count"] / max_rows) for x in row[domain] or []}
-            for domain in columns
-        }
-    )
+    found = {}
+    for domain, columns in sources.items():
+        total = times * sum(df.count() for df, _ in columns)
+        if total <= max_rows:
+            continue
+        keys = [df.select(F.col(column).alias(_KEY)) for df, column in columns]
+        counts = (
+            reduce(DataFrame.unionByName, keys)
+            .groupBy(_KEY)
+            .agg((F.count(F.lit(1)) * times).alias(_ROWS))
+        )
+        heavy = keep(counts.filter(F.col(_ROWS) > max(max_rows, total // MAX_LISTED)))
+        if not heavy.isEmpty():
+            found[domain] = heavy
+    return HotKeys(found, max_rows, keep)
+
+
+def listed_hot_keys(
+    counts: Mapping[str, DataFrame], max_rows: int, keep: Callable[[DataFrame], DataFrame]
+) -> HotKeys:
+    """Hot keys from counts that are known already: (key, rows) by domain."""
+    found = {}
+    for domain, df in counts.items():
+        key, rows = df.columns
+        table = df.select(F.col(key).alias(_KEY), F.col(rows).cast("long").alias(_ROWS))
+        total = table.agg(F.sum(_ROWS)).first()[0] or 0
+        heavy = keep(table.filter(F.col(_ROWS) > max(max_rows, total // MAX_LISTED)))
+        if not heavy.isEmpty():
+            found[domain] = heavy
+    return HotKeys(found, max_rows, keep)
 
 
 def lookup(
@@ -148,21 +175,24 @@ def total_over(
     hot: HotKeys = NO_HOT_KEYS,
     domain: str = "",
     hot_on: str | None = None,
-    source: DataFrame | None = None,
 ) -> DataFrame:
     """Add aggregates over all rows with the same ``keys``; NULL keys are one group.
 
     Ordinary keys: a window, which needs one shuffle and reads the input once. Hot keys:
-    partial aggregation, then a spread join back. ``source`` may name a table with the same
-    rows that is cheaper to read for the aggregation.
+    partial aggregation, then a spread join back.
     """
-    if not hot.has(domain):
+
+    def plain(rows: DataFrame) -> DataFrame:
         w = Window.partitionBy(*keys)
-        return df.withColumns({name: agg.over(w) for name, agg in totals.items()})
-    if source is None:
-        df = source = hot.keep(df)
-    grouped = source.groupBy(*keys).agg(*[agg.alias(name) for name, agg in totals.items()])
-    return lookup(df, grouped, keys, hot, domain, hot_on, null_safe=True)
+        return rows.withColumns({name: agg.over(w) for name, agg in totals.items()})
+
+    if not hot.has(domain):
+        return plain(df)
+    key = hot_on or keys[0]
+    ordinary, heavy = split_hot(df, key, hot, domain)
+    grouped = heavy.groupBy(*keys).agg(*[agg.alias(name) for name, agg in totals.items()])
+    joined = lookup(heavy, grouped, keys, hot, domain, hot_on, null_safe=True)
+    return plain(ordinary).unionByName(joined)
 
 
 def co_locate(df: DataFrame, key: str, hot: HotKeys, domain: str) -> DataFrame:
@@ -176,7 +206,7 @@ def co_locate(df: DataFrame, key: str, hot: HotKeys, domain: str) -> DataFrame:
 def split_hot(
     df: DataFrame, key: str, hot: HotKeys, domain: str
 ) -> tuple[DataFrame, DataFrame]:
-    """(rows of ordinary keys, rows of hot keys)."""
+    """(rows of ordinary keys, rows of hot keys); both read the stored rows."""
     tagged = hot.tag(hot.keep(df), domain, key)
     ordinary = tagged.filter(F.col(_PIECES).isNull()).drop(_PIECES)
     heavy = tagged.filter(F.col(_PIECES).isNotNull()).drop(_PIECES)

@@ -55,7 +55,6 @@ def line_item_changes(
         },
         hot,
         "invoice",
-        source=line_item_hist,
     )
     versions = lookup(versions, fpa, ["invoice_id"], hot, "invoice")
     versions = lookup(

@@ -1,7 +1,9 @@
 """All stages of the booking ledger, wired together.
 
-Each property is one stage, built when first asked for. Two results are read by several
-stages and kept as tables: the classified discounts and the filled bookings.
+Each property is one stage: a plan, built when first asked for, without running anything. Three
+results are read by several stages: the classified discounts, the filled bookings and the
+discounts on invoices. ``prepare`` is the step that runs jobs: it looks for hot keys and
+stores those results for the stages to come. Without it, stages compute them again.
 """
 
 from __future__ import annotations
@@ -15,11 +17,11 @@ from pyspark.sql import functions as F
 from bookledger.config import BookingsConfig
 from bookledger.functions import surrogate_key, timestamp_text
 from bookledger.operators.ordered import fill_nearest
-from bookledger.operators.skew import HotKeys, lookup
+from bookledger.operators.skew import NO_HOT_KEYS, HotKeys, listed_hot_keys, lookup
 from bookledger.plans import allocation, checks, credits, discounts, lines, payments, volume
 from bookledger.plans.lines import FPA
 from bookledger.sources.inputs import BookingsInputs
-from bookledger.sources.sinks import Keeper
+from bookledger.sources.sinks import Storage
 
 BOOKING_COLUMNS = [
     "invoice_id",
@@ -65,15 +67,61 @@ def fill_order(has_user: str) -> list[str]:
     return ["booking_at_pt", has_user, *volume.BOOKING_ORDER[1:]]
 
 
+# Stages that read line items and their discounts together, and stages that read the filled bookings.
+_READ_DISCOUNTS = ("combined_bookings", "fill_line_item_dimensions")
+_READ_BOOKINGS = (
+    "item_allocation_percentages",
+    "allocate_initial_invoice_discounts",
+    "allocate_additional_invoice_discounts",
+    "all_bookings",
+    "bookings_grouped",
+    "volume_eligibility",
+    "gross_order_item_volume",
+    "gross_order_volume",
+    "line_item_bookings",
+    "bookings_quality",
+)
+_NO_HOT_KEYS_NEEDED = (
+    "first_payment_approved",
+    "third_party_payment_invoices",
+    "data_ready_check",
+)
+
+
 class BookingsPipeline:
-    def __init__(self, inputs: BookingsInputs, keeper: Keeper | None = None):
+    def __init__(self, inputs: BookingsInputs, storage: Storage | None = None):
         self.inputs = inputs
         self.config: BookingsConfig = inputs.config
-        self.keeper = keeper or Keeper(inputs.spark)
-
-    @cached_property
-    def hot(self) -> HotKeys:
-        return self.inputs.hot_keys.keeping(self.keeper.keep)
+        self.storage = storage
+        self.hot: HotKeys = NO_HOT_KEYS
+        self._shared: dict[str, DataFrame] = {}
+
+    def prepare(self, stage: str = "line_item_bookings") -> BookingsPipeline:
+        """Run what ``stage`` wants to be known or stored beforehand; call it before any stage."""
+        if self.storage is None:
+            raise ValueError("preparing a run needs a folder for intermediate tables")
+        keep = self.storage.keep
+        if stage not in _NO_HOT_KEYS_NEEDED:
+            self.hot = self.inputs.measure(keep)
+        if stage in _READ_DISCOUNTS or stage in _READ_BOOKINGS:
+            self._shared["discounts"] = keep(self._discounts)
+        if stage in _READ_BOOKINGS:
+            self._shared["bookings"] = keep(self._filled_bookings)
+            self._shared["invoice_discounts"] = keep(self._discounts_on_invoices)
+            self._find_large_products()
+        return self
+
+    def _find_large_products(self) -> None:
+        """Invoices with few rows in every input may still make many rows when discounts are allocated."""
+        bookings, discounts = self._shared["bookings"], self._shared["invoice_discounts"]
+        limit, keep = self.config.max_rows_per_task, self.storage.keep
+        # Row counts of stored tables come from the file footers.
+        if bookings.count() * discounts.count() <= limit:
+            return
+        invoices, lines = allocation.product_sizes(bookings, discounts)
+        self.hot = self.hot.merge(
+            listed_hot_keys({"invoice": invoices, "line_item": lines}, limit, keep)
+        )
 
     # -- payments --------------------------------------------------------------------------
 
@@ -141,8 +189,8 @@ class BookingsPipeline:
     def classify_discounts(self) -> DataFrame:
         return discounts.classify_discounts(self.discount_intervals)
 
-    @cached_property
-    def _kept_discounts(self) -> DataFrame:
+    @property
+    def _discounts(self) -> DataFrame:
         needed = [
             "invoice_id",
             "line_item_id",
@@ -155,7 +203,8 @@ class BookingsPipeline:
             "is_initial_discount",
             "is_after_fpa_date",
         ]
-        return self.keeper.keep(self.classify_discounts.select(*needed))
+        stored = self._shared.get("discounts")
+        return stored if stored is not None else self.classify_discounts.select(*needed)
 
     def _line_item_discounts(self, classified: DataFrame) -> DataFrame:
         schema = self.inputs["line_item_hist"].schema
@@ -171,9 +220,14 @@ class BookingsPipeline:
     def additional_line_item_discounts(self) -> DataFrame:
         return self._line_item_discounts(self.classify_discounts).filter("is_after_fpa_date")
 
-    @cached_property
+    @property
+    def _discounts_on_invoices(self) -> DataFrame:
+        return discounts.invoice_discounts(self._discounts, self.hot)
+
+    @property
     def _invoice_discounts(self) -> DataFrame:
-        return discounts.invoice_discounts(self._kept_discounts, self.hot)
+        stored = self._shared.get("invoice_discounts")
+        return stored if stored is not None else self._discounts_on_invoices
 
     @cached_property
     def initial_invoice_discounts(self) -> DataFrame:
@@ -190,11 +244,15 @@ class BookingsPipeline:
     @cached_property
     def combined_bookings(self) -> DataFrame:
         on_lines = self._line_item_bookings.select(*BOOKING_COLUMNS)
-        on_discounts = self._line_item_discounts(self._kept_discounts)
+        on_discounts = self._line_item_discounts(self._discounts)
         return on_lines.unionByName(on_discounts.select(*BOOKING_COLUMNS))
 
     @cached_property
     def fill_line_item_dimensions(self) -> DataFrame:
+        return self._filled_bookings
+
+    @cached_property
+    def _filled_bookings(self) -> DataFrame:
         rows = self.combined_bookings.withColumn("_no_user", F.col("user_id").isNull())
         # The order reads columns that get filled, so it works on copies.
         ordered = {f"_by_{c}": F.col(c) for c in DIMENSIONS}
@@ -209,18 +267,20 @@ class BookingsPipeline:
         )
         return filled.select(*BOOKING_COLUMNS)
 
-    @cached_property
-    def _kept_bookings(self) -> DataFrame:
-        return self.keeper.keep(self.fill_line_item_dimensions)
+    @property
+    def _bookings(self) -> DataFrame:
+        stored = self._shared.get("bookings")
+        return stored if stored is not None else self._filled_bookings
 
     # -- invoice discounts -----------------------------------------------------------------
 
     @cached_property
     def item_allocation_percentages(self) -> DataFrame:
         return allocation.item_allocation_percentages(
-            self._kept_bookings,
+            self._bookings,
             self._invoice_discounts,
             self.inputs["product_price_point"],
+            self.config,
             self.hot,
         )
 
@@ -258,7 +318,7 @@ class BookingsPipeline:
     @cached_property
     def _union(self) -> DataFrame:
         return volume.union_of_bookings(
-            [self._kept_bookings, self.store_credit_bookings], self._allocated
+            [self._bookings, self.store_credit_bookings], self._allocated
         )
 
     @cached_property
@@ -352,8 +412,12 @@ class BookingsPipeline:
 
     @cached_property
     def bookings_quality(self) -> DataFrame:
+        return self.quality_of(self.line_item_bookings)
+
+    def quality_of(self, bookings: DataFrame) -> DataFrame:
+        """The quality checks for bookings that may have been written already."""
         return checks.bookings_quality(
-            self.inputs, self.line_item_bookings, self._allocated, self._invoice_discounts
+            self.inputs, bookings, self._allocated, self._invoice_discounts, self.config
         )
 
 

@@ -10,6 +10,7 @@ from bookledger.functions import surrogate_key, timestamp_text
 from bookledger.operators import allocation, history, ordered
 from bookledger.operators.skew import lookup, measure_hot_keys
 from bookledger.sources.driver_tables import DriverTables
+from bookledger.sources.sinks import Storage, session_folder
 
 
 def _versions(tables: DriverTables) -> DataFrame:
@@ -19,7 +20,13 @@ def _versions(tables: DriverTables) -> DataFrame:
 
 
 def _tables(spark: SparkSession, folder: str) -> DriverTables:
-    return DriverTables(spark, folder, BookingsConfig())
+    tables = DriverTables(spark, folder, BookingsConfig())
+    tables.measure(_keep(spark))
+    return tables
+
+
+def _keep(spark: SparkSession):
+    return Storage(spark, session_folder(spark)).keep
 
 
 def keep_changes(spark: SparkSession, folder: str) -> DataFrame:
@@ -52,7 +59,7 @@ def validity_intervals(spark: SparkSession, folder: str) -> DataFrame:
 
 def fill_nearest_non_null(spark: SparkSession, folder: str) -> DataFrame:
     """Events with the user's nearest purchase value: the last one before, else the next."""
-    tables = _tables(spark, folder)
+    tables = DriverTables(spark, folder, BookingsConfig())
     events = tables.read("events").select(
         "event_id",
         "user_id",
@@ -62,7 +69,7 @@ def fill_nearest_non_null(spark: SparkSession, folder: str) -> DataFrame:
     )
     config = tables.config
     hot = measure_hot_keys(
-        events, {"user": "user_id"}, config.max_rows_per_task, config.max_hot_keys
+        {"user": [(tables.read("events"), "user_id")]}, config.max_rows_per_task, _keep(spark)
     )
     return ordered.fill_nearest(
         events, "user_id", ["ts", "event_id"], ["purchase_value"], hot, "user"
@@ -97,7 +104,7 @@ def allocate_by_share(spark: SparkSession, folder: str) -> DataFrame:
 def order_surrogate_key(spark: SparkSession, folder: str) -> DataFrame:
     """A stable text id per order."""
     return (
-        _tables(spark, folder)
+        DriverTables(spark, folder, BookingsConfig())
         .read("orders")
         .select(
             "o_orderkey",

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
-import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,48 +19,94 @@ def _by_booking_date(bookings: DataFrame) -> DataFrame:
     return dated.hint("rebalance", BOOKING_DATE)
 
 
+def _file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and the path as it knows it."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    files, folder = _file_system(spark, path)
+    files.delete(folder, True)
+
+
 def write_bookings(bookings: DataFrame, path: str) -> None:
-    """Replace the bookings at ``path``: parquet, one folder per Pacific booking date."""
-    _by_booking_date(bookings).write.mode("overwrite").partitionBy(BOOKING_DATE).parquet(path)
+    """Replace the bookings at ``path``: parquet, one folder per Pacific booking date.
+
+    The new bookings are written beside the old ones and take their place when they are
+    complete, so a run that fails leaves the old ones as they were.
+    """
+    spark = bookings.sparkSession
+    new, old = (f"{path.rstrip('/')}.{kind}-{uuid.uuid4().hex}" for kind in ("new", "old"))
+    try:
+        _by_booking_date(bookings).write.partitionBy(BOOKING_DATE).parquet(new)
+    except Exception:
+        remove_folder(spark, new)
+        raise
+    files, target = _file_system(spark, path)
+    fresh, previous = _file_system(spark, new)[1], _file_system(spark, old)[1]
+    had_bookings = files.exists(target)
+    if had_bookings and not files.rename(target, previous):
+        raise OSError(f"cannot set {path} aside; the new bookings are at {new}")
+    if not files.rename(fresh, target):
+        if had_bookings:
+            files.rename(previous, target)
+        raise OSError(f"cannot move {new} to {path}")
+    if had_bookings:
+        files.delete(previous, True)
 
 
 def save_bookings_table(bookings: DataFrame, table: str) -> None:
-    """Replace the bookings table, partitioned by Pacific booking date."""
-    _by_booking_date(bookings).write.mode("overwrite").partitionBy(BOOKING_DATE).saveAsTable(
-        table
-    )
-
+    """Replace the bookings that the view ``table`` shows, partitioned by Pacific booking date.
 
-def _scratch_root(spark: SparkSession) -> str | None:
+    Every run writes a table of its own. The view switches to it when it is complete, then the tables of
+    earlier runs are dropped.
+    """
+    spark = bookings.sparkSession
+    database, _, name = table.rpartition(".")
+    prefix = f"{database}." if database else ""
+    run = f"{name}_run_{uuid.uuid4().hex[:12]}"
+    try:
+        _by_booking_date(bookings).write.partitionBy(BOOKING_DATE).saveAsTable(prefix + run)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {prefix}{run}")
+        raise
+    spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT * FROM {prefix}{run}")
+    for other in spark.catalog.listTables(database or None):
+        if re.fullmatch(re.escape(name.lower()) + "_run_[0-9a-f]{12}", other.name) and other.name != run:
+            spark.sql(f"DROP TABLE {prefix}{other.name}")
+
+
+def session_folder(spark: SparkSession) -> str:
+    """The folder for intermediate tables that the session names in ``spark.checkpoint.dir``.
+
+    Only a local session without the setting, as in tests, gets a folder of its own.
+    """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    return None
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return tempfile.mkdtemp(prefix="bookledger-")
 
 
-class Keeper:
+class Storage:
     """Keeps an intermediate result that more than one stage reads, as a parquet table.
 
-    The table goes to the folder named by ``spark.checkpoint.dir``, so it outlives a lost
-    executor and cuts the lineage. On a cluster without that setting nothing is written and
-    the stages recompute, which is slower but needs no shared folder.
+    The tables go below ``folder``, which all executors have to reach, so they outlive a lost
+    executor and cut the lineage. ``remove`` deletes them all at the end of a run.
     """
 
-    def __init__(self, spark: SparkSession):
+    def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
-        self._root: str | None = None
+        self.root = f"{folder.rstrip('/')}/bookledger-{uuid.uuid4().hex}"
         self._kept = 0
 
     def keep(self, df: DataFrame) -> DataFrame:
-        if self._root is None:
-            root = _scratch_root(self.spark)
-            if root is None:
-                warnings.warn("spark.checkpoint.dir is not set; recomputing shared stages")
-                return df
-            self._root = f"{root}/bookledger-{uuid.uuid4().hex}"
         self._kept += 1
-        path = f"{self._root}/{self._kept:03d}"
+        path = f"{self.root}/{self._kept:03d}"
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
+
+    def remove(self) -> None:
+        remove_folder(self.spark, self.root)

@@ -552,10 +552,18 @@ FROM {{in_freshness}}
     )
     + """
 UNION ALL
+SELECT 'initial_discounts_allocated', count(*) FROM (
+  SELECT invoice_id, CAST(sum(nbnf_discount_amount) AS DOUBLE) * count(*) AS given
+  FROM {initial_invoice_discounts} GROUP BY 1)
+LEFT JOIN (SELECT invoice_id, CAST(sum(nbnf) AS DOUBLE) AS booked, count(*) AS n
+           FROM {allocate_initial_invoice_discounts} GROUP BY 1) USING (invoice_id)
+WHERE abs(coalesce(booked, 0) - given) > 0.01 + abs(given) * coalesce(n, 0) * 1e-8
+UNION ALL
 SELECT 'additional_discounts_allocated', count(*) FROM (
-  SELECT invoice_id, sum(nbnf) AS booked FROM {allocate_additional_invoice_discounts} GROUP BY 1)
-JOIN (SELECT invoice_id, sum(nbnf_discount_amount) AS given
-      FROM {additional_invoice_discounts} GROUP BY 1) USING (invoice_id)
-WHERE abs(CAST(booked AS DECIMAL(30,10)) - given) > 1.00
+  SELECT invoice_id, CAST(sum(nbnf_discount_amount) AS DOUBLE) AS given
+  FROM {additional_invoice_discounts} GROUP BY 1)
+LEFT JOIN (SELECT invoice_id, CAST(sum(nbnf) AS DOUBLE) AS booked, count(*) AS n
+           FROM {allocate_additional_invoice_discounts} GROUP BY 1) USING (invoice_id)
+WHERE abs(coalesce(booked, 0) - given) > 0.01 + abs(given) * coalesce(n, 0) * 1e-8
 """,
 }

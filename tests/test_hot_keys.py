@@ -5,6 +5,7 @@ from collections import Counter
 from datetime import datetime, timedelta
 
 import pytest
+from builders import PRODUCT, PRODUCTS, at, discount, line, payment_hist, pipeline
 from conftest import SMALL
 from pyspark.sql import functions as F
 
@@ -13,12 +14,14 @@ from bookledger.operators.ordered import fill_nearest, first_where, last_by_grou
 from bookledger.operators.skew import (
     NO_HOT_KEYS,
     HotKeys,
+    listed_hot_keys,
     lookup,
     measure_hot_keys,
     total_over,
 )
 from bookledger.plans.pipeline import BookingsPipeline
 from bookledger.sources.driver_tables import driver_inputs
+from bookledger.sources.sinks import Storage
 
 DOMAIN = "k"
 
@@ -43,8 +46,17 @@ def skewed(spark):
 
 
 @pytest.fixture(scope="module")
-def hot(skewed):
-    return measure_hot_keys(skewed, {DOMAIN: "key"}, max_rows=50, max_keys=100)
+def keep(spark, tmp_path_factory):
+    return Storage(spark, str(tmp_path_factory.mktemp("kept"))).keep
+
+
+@pytest.fixture(scope="module")
+def hot(skewed, keep):
+    return measure_hot_keys({DOMAIN: [(skewed, "key")]}, 50, keep)
+
+
+def listed(hot, domain=DOMAIN):
+    return {r[0]: r[1] for r in hot.tables[domain].collect()}
 
 
 def ordered_groups(df):
@@ -58,13 +70,70 @@ def ordered_groups(df):
 
 
 def test_measure_finds_heavy_values_and_null(hot):
-    assert set(hot.pieces[DOMAIN]) == {1, None}
-    assert all(n >= 4 for n in hot.pieces[DOMAIN].values())
+    assert listed(hot) == {1: 200, None: 200}
+    assert hot.total_pieces(DOMAIN) == 8
+
+
+def test_measure_finds_nothing_below_the_limit(skewed, keep):
+    assert not measure_hot_keys({DOMAIN: [(skewed, "key")]}, 500, keep).has(DOMAIN)
+
+
+def test_measure_finds_all_hot_keys_however_many(spark, keep):
+    rows = spark.range(5000).select((F.col("id") % 1000).alias("key"))
+    found = measure_hot_keys({DOMAIN: [(rows, "key")]}, 4, keep)
+    assert listed(found) == {i: 5 for i in range(1000)}
+
 
+def test_rows_of_all_sources_add_up(spark, skewed, keep):
+    other = spark.range(45).select(F.lit(7).alias("k7"))
+    found = measure_hot_keys({DOMAIN: [(skewed, "key"), (other, "k7"), (other, "k7")]}, 90, keep)
+    sevens = skewed.filter("key = 7").count()
+    assert listed(found) == {1: 200, None: 200, 7: 90 + sevens}
+    assert listed(measure_hot_keys({DOMAIN: [(skewed, "key")]}, 90, keep, times=3))[1] == 600
 
-def test_measure_finds_nothing_below_the_limit(skewed):
-    found = measure_hot_keys(skewed, {DOMAIN: "key"}, max_rows=500, max_keys=100)
-    assert not found.has(DOMAIN)
+
+def test_measuring_has_no_single_task(spark, skewed):
+    """The keys are counted in partial sums and shuffled by key."""
+    plans = []
+    measure_hot_keys({DOMAIN: [(skewed, "key")]}, 50, lambda df: plans.append(df) or df)
+    plan = plans[0]._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan and "partial_count" in plan
+
+
+def test_hot_keys_need_a_folder(spark, hot, skewed):
+    bare = HotKeys(hot.tables, 50)
+    with pytest.raises(ValueError, match="folder"):
+        total_over(skewed, ["key"], {"n": F.count(F.lit(1))}, bare, DOMAIN)
+
+
+def test_runs_of_a_hot_key_follow_its_size(spark, keep):
+    """Not the session's number of partitions: a key of ten limits gets at least ten runs."""
+    rows = spark.range(1000).select(F.lit(1).alias("key"), "id", F.lit(None).cast("int").alias("value"))
+    found = measure_hot_keys({DOMAIN: [(rows, "key")]}, 100, keep)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        filled = fill_nearest(rows, "key", ["id"], ["value"], found, DOMAIN)
+        plan = filled._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert "RepartitionByExpression" in plan and ", 20" in plan
+    assert filled.count() == 1000
+
+
+@pytest.mark.parametrize("use_hot", [False, True])
+def test_first_where_marks_one_of_equal_rows(spark, hot, use_hot):
+    rows = spark.createDataFrame([(1, 0, True), (1, 0, True), (1, 1, True), (2, 0, True), (2, 0, True)], "key int, at int, flag boolean")
+    got = first_where(rows, "key", ["at"], {"first": "flag"}, hot if use_hot else NO_HOT_KEYS, DOMAIN)
+    assert sorted((r["key"], r["at"], r["first"]) for r in got.collect()) == [
+        (1, 0, 0), (1, 0, 1), (1, 1, 0), (2, 0, 0), (2, 0, 1)
+    ]
+
+
+def test_ordinary_rows_keep_the_window_plan(skewed, hot):
+    got = total_over(skewed, ["key"], {"n": F.count(F.lit(1))}, hot, DOMAIN)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" in plan and "Union" in plan
 
 
 @pytest.mark.parametrize("use_hot", [False, True])
@@ -173,23 +242,92 @@ def test_hot_rows_are_spread_over_tasks(spark, skewed, hot):
     assert sum(counts) == 200 and max(counts) < 200
 
 
-def test_merge_keeps_the_larger_number_of_pieces():
-    a, b = HotKeys({"x": {1: 2, 2: 5}}), HotKeys({"x": {1: 7}, "y": {None: 3}})
-    assert a.merge(b).pieces == {"x": {1: 7, 2: 5}, "y": {None: 3}}
+def test_merged_rows_add_up(spark, keep):
+    def known(rows):
+        return spark.createDataFrame(rows, "k int, n long")
+
+    a = listed_hot_keys({"x": known([(1, 20), (2, 50), (3, 4)])}, 10, keep)
+    b = listed_hot_keys({"x": known([(1, 70)]), "y": known([(None, 30)])}, 10, keep)
+    merged = a.merge(b)
+    assert listed(merged, "x") == {1: 90, 2: 50} and listed(merged, "y") == {None: 30}
+    assert listed(NO_HOT_KEYS.merge(b), "x") == {1: 70}
 
 
 HOT_STAGES = (
     "line_item_changes",
+    "classify_discounts",
     "additional_invoice_discounts",
+    "item_allocation_percentages",
+    "bookings_grouped",
+    "gross_order_item_volume",
     "line_item_bookings",
 )
 
 
 @pytest.mark.parametrize("stage", HOT_STAGES)
-def test_pipeline_with_hot_keys_gives_the_same(spark, stage):
-    plain = BookingsPipeline(driver_inputs(spark, SMALL))
-    assert not plain.hot.pieces
-    config = BookingsConfig(max_rows_per_task=2, max_hot_keys=1000)
-    skewed = BookingsPipeline(driver_inputs(spark, SMALL, config))
-    assert {"invoice", "line_item", "discount", "price_point"} == set(skewed.hot.pieces)
+def test_pipeline_with_hot_keys_gives_the_same(spark, tmp_path, stage):
+    plain = BookingsPipeline(driver_inputs(spark, SMALL), Storage(spark, str(tmp_path)))
+    assert not plain.prepare(stage).hot.tables
+    # Dozens of hot keys in every domain.
+    config = BookingsConfig(max_rows_per_task=18)
+    skewed = BookingsPipeline(driver_inputs(spark, SMALL, config), Storage(spark, str(tmp_path)))
+    skewed.prepare(stage)
+    assert {"invoice", "price_point"} <= set(skewed.hot.tables)
     assert rows_of(getattr(skewed, stage)) == rows_of(getattr(plain, stage))
+
+
+def two_price_points(spark, config):
+    """A price point that is listed twice repeats its bookings before the first is marked."""
+    twice = [*PRODUCTS, PRODUCT | {"product_name": "Plan again"}]
+    return pipeline(
+        spark, config, payment_hist=[payment_hist()], product_price_point=twice,
+        line_item_hist=[line(n, at(n), amount=n) for n in range(1, 6)],
+    )
+
+
+def test_repeated_dimension_rows_give_the_same_flags(spark, tmp_path):
+    plain = two_price_points(spark, None)
+    expected = rows_of(plain.gross_order_volume)
+    assert sum(n for row, n in expected.items()) == 10
+    hot = two_price_points(spark, BookingsConfig(max_rows_per_task=2))
+    hot.inputs._given_hot_keys = None
+    hot.storage = Storage(spark, str(tmp_path))
+    hot.prepare("gross_order_volume")
+    assert {"invoice", "line_item"} <= set(hot.hot.tables)
+    assert rows_of(hot.gross_order_volume) == expected
+    marked = hot.gross_order_item_volume.agg(F.sum("gross_order_item_volume")).first()[0]
+    assert marked == plain.gross_order_item_volume.agg(F.sum("gross_order_item_volume")).first()[0] == 1
+
+
+def test_invoice_whose_discounts_multiply_is_hot(spark, tmp_path):
+    """20 line items at 20 discount times are 400 bookings from inputs of 20 rows."""
+    made = pipeline(
+        spark, BookingsConfig(max_rows_per_task=50), payment_hist=[payment_hist(settled=at(-1))],
+        line_item_hist=[line(n, at(0), line_item_id=100 + n, amount=10 + n) for n in range(20)],
+        discount_hist=[discount(n, at(1 + n), amount=1) for n in range(20)],
+    )
+    made.inputs._given_hot_keys = None
+    made.storage = Storage(spark, str(tmp_path))
+    made.prepare("bookings_grouped")
+    assert listed(made.hot, "invoice")[1] >= 400
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        tasks = made._allocated.groupBy(F.spark_partition_id().alias("t")).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sum(r["count"] for r in tasks) == 400 and max(r["count"] for r in tasks) < 400
+
+
+def test_plans_are_built_without_jobs(spark):
+    """Only ``prepare`` runs something; a pipeline without it needs no folder."""
+    tracker = spark.sparkContext.statusTracker()
+    made = BookingsPipeline(driver_inputs(spark, SMALL))
+    for name in ("payment_hist", "line_item_hist", "discount_hist", "store_credits", "line_item", "payment",
+                 "line_item_hierarchy", "price_point", "product_price_point"):
+        made.inputs[name]  # opening a parquet file is a job of its own
+    spark.sparkContext.setJobGroup("plan", "plan only")
+    try:
+        made.line_item_bookings._jdf.queryExecution().optimizedPlan()
+        assert not tracker.getJobIdsForGroup("plan")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

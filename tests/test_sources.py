@@ -1,7 +1,7 @@
 import glob
 
 import pytest
-from builders import at, line, payment_hist, pipeline, table
+from builders import at, credit, line, payment_hist, pipeline, table
 from pyspark.sql import functions as F
 
 from bookledger.sources import sinks
@@ -43,13 +43,36 @@ def test_parquet_inputs_measure_their_hot_keys(spark, tmp_path):
     path = str(tmp_path / "line_item_hist")
     table(spark, "line_item_hist", rows).write.parquet(path)
     inputs = read_parquet_inputs(
-        spark, {"line_item_hist": path}, BookingsConfig(max_rows_per_task=10, max_hot_keys=50)
+        spark, {"line_item_hist": path}, BookingsConfig(max_rows_per_task=10)
     )
-    assert inputs.hot_keys.pieces == {
-        "invoice": {1: 4}, "line_item": {11: 4}, "price_point": {5: 4}
+    found = inputs.measure(sinks.Storage(spark, str(tmp_path)).keep).tables
+    assert {d: [tuple(r) for r in t.collect()] for d, t in found.items()} == {
+        "invoice": [(1, 40)], "line_item": [(11, 40)], "price_point": [(5, 40)]
     }
 
 
+def test_money_with_parts_of_a_cent_is_refused(spark):
+    credits = table(spark, "store_credits", [credit(at(0))])
+    fine = credits.withColumn("amount", F.lit("0.0099").cast("decimal(15,4)"))
+    with pytest.raises(TypeError, match="digits after the point"):
+        check_contract("store_credits", fine)
+    for name, column in (("line_item_hist", "amount"), ("discount_hist", "discount_amount")):
+        rows = table(spark, name, []).withColumn(column, F.lit(None).cast("decimal(18,3)"))
+        with pytest.raises(TypeError, match=column):
+            check_contract(name, rows)
+    whole = credits.withColumn("amount", F.lit(5).cast("decimal(10,0)"))
+    check_contract("store_credits", whole)
+
+
+def test_catalog_inputs(spark, tmp_path):
+    from bookledger.sources.inputs import read_catalog_inputs
+
+    table(spark, "payment_hist", [payment_hist()]).createOrReplaceTempView("payments_of_test")
+    inputs = read_catalog_inputs(spark, {"payment_hist": "payments_of_test"})
+    assert inputs["payment_hist"].count() == 1
+    assert inputs["payment_hist"].columns == list(CONTRACTS["payment_hist"])
+
+
 def test_bookings_are_written_by_booking_date(spark, tmp_path):
     p = pipeline(
         spark, payment_hist=[payment_hist()],
@@ -63,11 +86,40 @@ def test_bookings_are_written_by_booking_date(spark, tmp_path):
     assert days == {"2024-01-09", "2024-01-14"}
 
 
-def test_keeper_writes_below_the_shared_folder(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(sinks, "_scratch_root", lambda _: str(tmp_path))
-    kept = sinks.Keeper(spark).keep(spark.range(5))
-    assert kept.count() == 5
+def test_a_failed_write_leaves_the_old_bookings(spark, tmp_path):
+    from pyspark.errors import PySparkException
+
+    p = pipeline(spark, payment_hist=[payment_hist()], line_item_hist=[line(1, at(0))])
+    path = str(tmp_path / "bookings")
+    sinks.write_bookings(p.line_item_bookings, path)
+    bad = p.line_item_bookings.withColumn("nb", F.raise_error(F.lit("broken")).cast("decimal(15,2)"))
+    with pytest.raises(PySparkException):
+        sinks.write_bookings(bad, path)
+    assert spark.read.parquet(path).count() == 1
+    assert [f.name for f in tmp_path.iterdir() if not f.name.startswith(".")] == ["bookings"]
+
+
+def test_bookings_table_is_replaced(spark):
+    name = "bookings_table_of_test"
+    p = pipeline(spark, payment_hist=[payment_hist()], line_item_hist=[line(1, at(0))])
+    try:
+        for _ in range(2):
+            sinks.save_bookings_table(p.line_item_bookings, name)
+        assert spark.table(name).count() == 1
+        tables = [t.name for t in spark.catalog.listTables() if t.name.startswith(name)]
+        assert len(tables) == 2 and name in tables
+    finally:
+        spark.sql(f"DROP VIEW IF EXISTS {name}")
+        for table_name in set(tables) - {name}:
+            spark.sql(f"DROP TABLE IF EXISTS {table_name}")
+
+
+def test_storage_writes_below_its_folder_and_removes_it(spark, tmp_path):
+    storage = sinks.Storage(spark, str(tmp_path))
+    assert storage.keep(spark.range(5)).count() == 5
     assert glob.glob(str(tmp_path) + "/bookledger-*/001/*.parquet")
+    storage.remove()
+    assert not glob.glob(str(tmp_path) + "/bookledger-*")
 
 
 class FakeSession:
@@ -79,16 +131,16 @@ class FakeSession:
 
 
 def test_shared_folder_comes_from_the_session():
-    assert sinks._scratch_root(FakeSession("yarn", "s3://shared/x")) == "s3://shared/x"
-    assert sinks._scratch_root(FakeSession("yarn", None)) is None
-    assert sinks._scratch_root(FakeSession("local[2]", None)).startswith("/tmp/run-")
+    assert sinks.session_folder(FakeSession("yarn", "s3://shared/x")) == "s3://shared/x"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        sinks.session_folder(FakeSession("yarn", None))
+    assert "bookledger-" in sinks.session_folder(FakeSession("local[2]", None))
 
 
-def test_keeper_recomputes_on_a_cluster_without_a_shared_folder(spark, monkeypatch):
-    monkeypatch.setattr(sinks, "_scratch_root", lambda _: None)
-    df = spark.range(5)
-    with pytest.warns(UserWarning, match="spark.checkpoint.dir"):
-        assert sinks.Keeper(spark).keep(df) is df
+def test_preparing_needs_a_folder(spark):
+    p = pipeline(spark, payment_hist=[payment_hist()], line_item_hist=[line(1, at(0))])
+    with pytest.raises(ValueError, match="folder"):
+        p.prepare()
 
 
 def test_daily_build_needs_todays_data(spark, tmp_path):
@@ -102,7 +154,10 @@ def test_daily_build_needs_todays_data(spark, tmp_path):
     )
     path = str(tmp_path / "bookings")
     with pytest.raises(NotReadyError):
-        build_daily(p.inputs, datetime(2024, 1, 31, 8, 15), path)
-    failures = build_daily(p.inputs, datetime(2024, 1, 30, 8, 15), path).collect()
+        build_daily(p.inputs, datetime(2024, 1, 31, 8, 15), path, str(tmp_path / "shared"))
+    failures = build_daily(
+        p.inputs, datetime(2024, 1, 30, 8, 15), path, str(tmp_path / "shared")
+    ).collect()
     assert {r["failures"] for r in failures} == {0}
     assert spark.read.parquet(path).count() == 1
+    assert not list((tmp_path / "shared").glob("bookledger-*"))

@@ -414,3 +414,63 @@ def test_dedupe_initial_allocation_books_once(spark):
     config = BookingsConfig(dedupe_initial_allocation=True)
     got = pipeline(spark, config, **inputs).allocate_initial_invoice_discounts
     assert rows(got, "gbnf") == [(-20.0,)]
+
+
+def test_dedupe_initial_allocation_books_once_without_a_payment(spark):
+    inputs = dict(
+        line_item_hist=ITEMS[:1], discount_hist=[discount(1, at(0)), discount(2, at(0, 1))],
+    )
+    config = BookingsConfig(dedupe_initial_allocation=True)
+    got = pipeline(spark, config, **inputs).allocate_initial_invoice_discounts
+    assert rows(got, "gbnf") == [(-20.0,)]
+    assert rows(pipeline(spark, None, **inputs).allocate_initial_invoice_discounts, "gbnf") == [
+        (-20.0,), (-20.0,)
+    ]
+
+
+def test_quality_reports_discounts_that_no_item_takes(spark):
+    """A rule for products only, on an invoice of filing fees."""
+    fees = [line(1, at(0), price_point_id=6)]
+    for settled, side in ((at(5), "initial"), (at(-5), "additional")):
+        p = pipeline(
+            spark, payment_hist=[payment_hist(settled=settled)], line_item_hist=fees,
+            discount_hist=[discount(1, at(1), rule=1)],
+        )
+        failures = {r["check_name"]: r["failures"] for r in p.bookings_quality.collect()}
+        assert failures[f"{side}_discounts_allocated"] == 1
+        assert sum(failures.values()) == 1
+
+
+def test_rules_and_shipping_pattern_are_settings(spark):
+    items = [line(1, at(0), price_point_id=5), line(2, at(0), line_item_id=12, price_point_id=8)]
+    discounts = [discount(1, at(0), rule=77)]
+    config = BookingsConfig(
+        apply_to_products_and_standard_shipping=77, shipping_name_pattern="%box"
+    )
+    inputs = dict(payment_hist=[payment_hist(settled=at(1))], line_item_hist=items, discount_hist=discounts)
+    got = pipeline(spark, config, **inputs).allocate_initial_invoice_discounts
+    assert rows(got, "line_item_id", "gbnf") == [(11, -5.0), (12, -5.0)]
+    assert rows(pipeline(spark, None, **inputs).allocate_initial_invoice_discounts, "gbnf") == []
+
+
+def test_ready_check_converts_times_with_a_zone(spark):
+    from datetime import datetime, timedelta, timezone
+
+    p = pipeline(spark, freshness_source=[dict(dtlastupdated=datetime(2024, 1, 29, 23))])
+    # 09:00 at +02:00 is 07:00 UTC, still the 29th in Los Angeles.
+    zoned = datetime(2024, 1, 30, 9, tzinfo=timezone(timedelta(hours=2)))
+    assert p.data_ready_check(zoned).first()[0] == 1
+    assert p.data_ready_check(datetime(2024, 1, 30, 9)).first()[0] == 0
+
+
+def test_fixed_texts_are_spelled_out():
+    """The SQL counterparts share these with the package, so a wrong letter would pass there."""
+    from bookledger import fixed_values as fv
+
+    assert fv.INITIAL_BOOKING == "Initial Line Item Booking Before FPA"
+    assert fv.CANCELLED_INITIAL_INVOICE_DISCOUNT_AFTER == (
+        "Cancelled Initial Invoice Level Discount After FPA"
+    )
+    assert fv.LINE_ITEM_CREDIT == "Line Item Credit"
+    assert (fv.CREDIT_EVENT_ISSUED, fv.FREE_PRODUCT_CODE) == ("credit issued", "7820")
+    assert fv.CREDIT_SOURCE_ID == "4f9e2b5e-c45e-434b-b2b2-126b5a251a9c"
