@@ -257,9 +257,7 @@ HOT_STAGES = (
     "line_item_changes",
     "classify_discounts",
     "additional_invoice_discounts",
-    "item_allocation_percentages",
     "bookings_grouped",
-    "gross_order_item_volume",
     "line_item_bookings",
 )
 
