@@ -17,7 +17,7 @@ from bookledger.llm.common import keep
 
 #: The model learns from at most so many labelled rows, those with the smallest hashes of their ids.
 SAMPLE_ROWS = 20_000
-TREES, DEPTH = 24, 4
+TREES, DEPTH, BINS = 24, 4, 64
 #: Strength of the lasso penalty.
 PENALTY = 0.002
 
@@ -154,59 +154,110 @@ class RuleModel:
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-total))
 
 
-BRANCH = re.compile(r"^( *)(If|Else) \(feature (\d+) (<=|>) (\S+)\)$")
+def _tightest(path: tuple[Condition, ...]) -> Rule:
+    """Borders on one statistic are merged, so a rule has at most two conditions on each."""
+    kept: dict[tuple[str, bool], Condition] = {}
+    for c in path:
+        known = kept.get((c.statistic, c.above))
+        if known is None or (c.border > known.border) == c.above:
+            kept[c.statistic, c.above] = c
+    return Rule(tuple(sorted(kept.values(), key=lambda c: (c.statistic, c.above, c.border))))
 
 
-def tree_rules(printed: str) -> list[Rule]:
-    """The paths of a fitted tree, from its printed form: every node below the root is a rule.
+def tree_rules(values: np.ndarray, labels: np.ndarray, rng: np.random.Generator, depth: int = DEPTH) -> list[Rule]:
+    """The paths of a tree that is grown on a bootstrap sample: every node below the root is a rule.
 
-    Borders on one statistic are merged, so a rule has at most two conditions on each.
+    Nodes split by Gini impurity at quantiles, each looking at some of the statistics.
     """
-    rules, path = [], []
-    for line in printed.splitlines():
-        if found := BRANCH.match(line):
-            depth = len(found[1])
-            path = [p for p in path if p[0] < depth]
-            path.append((depth, Condition(STATISTICS[int(found[3])], found[4] == ">", float(found[5]))))
-            tightest: dict[tuple[str, bool], Condition] = {}
-            for _, c in path:
-                known = tightest.get((c.statistic, c.above))
-                if known is None or (c.border > known.border) == c.above:
-                    tightest[c.statistic, c.above] = c
-            rules.append(Rule(tuple(sorted(tightest.values(), key=lambda c: (c.statistic, c.above, c.border)))))
+    n, width = values.shape
+    least, tried = max(2, n // 1000), max(1, round(width**0.5))
+    borders = [np.unique(np.quantile(values[:, f], np.linspace(0, 1, BINS + 1)[1:-1])) for f in range(width)]
+    bins = np.stack([np.searchsorted(borders[f], values[:, f]) for f in range(width)], axis=1)
+    rules: list[Rule] = []
+
+    def grow(rows: np.ndarray, path: tuple[Condition, ...]) -> None:
+        own = labels[rows]
+        if len(path) == depth or len(rows) < 2 * least or own.min() == own.max():
+            return
+        best = None
+        for f in sorted(rng.choice(width, tried, replace=False)):
+            size = np.cumsum(np.bincount(bins[rows, f], minlength=len(borders[f]) + 1))[:-1]
+            ones = np.cumsum(np.bincount(bins[rows, f], weights=own, minlength=len(borders[f]) + 1))[:-1]
+            rest, rest_ones = len(rows) - size, own.sum() - ones
+            fits = (size >= least) & (rest >= least)
+            if fits.any():
+                size, rest = np.maximum(size, 1), np.maximum(rest, 1)
+                impurity = ones * (size - ones) / size + rest_ones * (rest - rest_ones) / rest
+                at = int(np.argmin(np.where(fits, impurity, np.inf)))
+                if best is None or impurity[at] < best[0] - 1e-9:
+                    best = (impurity[at], f, at)
+        if best is None:
+            return
+        _, f, at = best
+        low = bins[rows, f] <= at
+        for above, side in ((False, rows[low]), (True, rows[~low])):
+            further = (*path, Condition(STATISTICS[f], above, float(borders[f][at])))
+            rules.append(_tightest(further))
+            grow(side, further)
+
+    grow(rng.integers(0, n, n), ())
     return rules
 
 
+def lasso_logistic(fired: np.ndarray, labels: np.ndarray, penalty: float, rounds: int = 250) -> tuple[float, np.ndarray]:
+    """Intercept and weights that minimise the mean logistic loss plus ``penalty`` times the weights' sum of sizes.
+
+    Accelerated proximal gradient steps; the intercept isn't penalised.
+    """
+    n, width = fired.shape
+    x = np.concatenate([np.ones((n, 1), dtype=np.float32), fired.astype(np.float32)], axis=1)
+    direction = np.ones(width + 1, dtype=np.float32)
+    for _ in range(20):
+        direction = x.T @ (x @ direction)
+        direction /= np.linalg.norm(direction)
+    step = 4 * n / float(np.linalg.norm(x @ direction) ** 2) / 1.05
+    weights = ahead = np.zeros(width + 1)
+    pace = 1.0
+    for _ in range(rounds):
+        miss = 1 / (1 + np.exp(-np.clip(x @ ahead.astype(np.float32), -30, 30))) - labels
+        moved = ahead - step * (x.T @ miss.astype(np.float32)) / n
+        shrunk = np.sign(moved) * np.maximum(np.abs(moved) - step * penalty, 0)
+        shrunk[0] = moved[0]
+        next_pace = (1 + (1 + 4 * pace * pace) ** 0.5) / 2
+        ahead = shrunk + (pace - 1) / next_pace * (shrunk - weights)
+        weights, pace = shrunk, next_pace
+    return float(weights[0]), weights[1:]
+
+
 def fit(sample: DataFrame, seed: int = 7) -> RuleModel:
     """Trees propose rules, a lasso logistic regression weighs them, rules of weight 0 go.
 
-    sample: statistics and ``label`` (0 or 1) of a bounded number of rows. Without rows of both
-    labels the model is a constant: the share of label 1, or one half.
+    sample: ``doc_id``, statistics and ``label`` (0 or 1) of a bounded number of rows, which come to the
+    driver. Without rows of both labels the model is a constant: the share of label 1, or one half.
     """
-    from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-    from pyspark.ml.feature import VectorAssembler
-
-    n, ones = sample.agg(F.count("label"), F.coalesce(F.sum("label"), F.lit(0))).first()
+    rows = sample.select("doc_id", "label", *STATISTICS).toArrow().sort_by("doc_id")
+    labels = rows["label"].to_numpy().astype(np.float64)
+    n, ones = len(labels), float(labels.sum())
     if not 0 < ones < n:
         share = ones / n if n else 0.5
         return RuleModel(float(np.log((share + 1e-3) / (1 - share + 1e-3))), ())
-    vectors = VectorAssembler(inputCols=list(STATISTICS), outputCol="features").transform(sample)
-    forest = RandomForestClassifier(
-        labelCol="label", numTrees=TREES, maxDepth=DEPTH, minInstancesPerNode=max(2, n // 1000), maxBins=64,
-        subsamplingRate=0.7, featureSubsetStrategy="sqrt", seed=seed,
-    ).fit(vectors)
-    rules = list(dict.fromkeys(rule for tree in forest.trees for rule in tree_rules(tree.toDebugString)))
+    values = np.column_stack([rows[s].to_numpy() for s in STATISTICS])
+    rng = np.random.default_rng(seed)
+    rules = list(dict.fromkeys(rule for _ in range(TREES) for rule in tree_rules(values, labels, rng)))
     if not rules:
         return RuleModel(float(np.log(ones / (n - ones))), ())
-    holds = sample.select("label", F.array(*(r.column().cast("double") for r in rules)).alias("rules"))
-    from pyspark.ml.functions import array_to_vector
+    place = {name: i for i, name in enumerate(STATISTICS)}
+
+    def fires(rule: Rule) -> np.ndarray:
+        holds = np.ones(n, dtype=bool)
+        for c in rule.conditions:
+            value = values[:, place[c.statistic]]
+            holds &= value > c.border if c.above else value <= c.border
+        return holds
 
-    fired = holds.select("label", array_to_vector("rules").alias("features"))
-    weights = LogisticRegression(
-        labelCol="label", elasticNetParam=1.0, regParam=PENALTY, maxIter=60, standardization=False
-    ).fit(fired)
-    found = [(r, float(w)) for r, w in zip(rules, weights.coefficients.toArray(), strict=True) if w]
-    return RuleModel(float(weights.intercept), tuple(found))
+    intercept, weights = lasso_logistic(np.column_stack([fires(r) for r in rules]), labels, PENALTY)
+    found = [(r, float(w)) for r, w in zip(rules, weights, strict=True) if w]
+    return RuleModel(intercept, tuple(found))
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
@@ -223,9 +274,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS)
     )
     ids = F.broadcast(keep(chosen))
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids.select("doc_id"), "doc_id", "left_semi")
-    known = with_statistics(own).join(ids, "doc_id")
-    # One partition of bounded size in a fixed order, so that the fit is the same each time.
-    return keep(known.dropDuplicates(["doc_id"]).orderBy("doc_id").coalesce(1))
+    return with_statistics(own).join(ids, "doc_id").dropDuplicates(["doc_id"])
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:

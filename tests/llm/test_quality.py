@@ -2,11 +2,13 @@
 
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from bookledger.llm.quality import (
-    STATISTICS, Condition, Rule, RuleModel, fit, held_out, quality_scores, statistics, training_sample, tree_rules,
+    STATISTICS, Condition, Rule, RuleModel, fit, held_out, lasso_logistic, quality_scores, statistics, training_sample,
+    tree_rules,
 )
 
 FOLDER = "/root/testdata/sf0.01"
@@ -22,18 +24,27 @@ def test_statistics():
 
 
 def test_rules_are_the_paths_of_a_tree():
-    printed = """DecisionTreeClassificationModel: uid=x, depth=2, numNodes=5, numClasses=2, numFeatures=24
-  If (feature 1 <= 0.5)
-   If (feature 1 <= 0.25)
-    Predict: 1.0
-   Else (feature 1 > 0.25)
-    Predict: 0.0
-  Else (feature 1 > 0.5)
-   Predict: 0.0
-"""
-    low, high = Condition("upper", False, 0.5), Condition("upper", True, 0.5)
-    lower, higher = Condition("upper", False, 0.25), Condition("upper", True, 0.25)
-    assert tree_rules(printed) == [Rule((low,)), Rule((lower,)), Rule((low, higher)), Rule((high,))]
+    values = np.zeros((200, len(STATISTICS)))
+    values[:, 1] = np.arange(200) / 200
+    labels = ((values[:, 1] > 0.25) & (values[:, 1] <= 0.5)).astype(float)
+    rules = [r for _ in range(40) for r in tree_rules(values, labels, np.random.default_rng(len(STATISTICS) + _), 2)]
+    assert {c.statistic for r in rules for c in r.conditions} == {"upper"}
+    both = [r for r in rules if len(r.conditions) == 2]
+    # Below the split at one end there is one at the other; the path between holds both.
+    assert any(abs(r.conditions[0].border - 0.5) < 0.03 and abs(r.conditions[1].border - 0.25) < 0.03 for r in both)
+    assert all(len({(c.statistic, c.above) for c in r.conditions}) == len(r.conditions) for r in rules)
+
+
+def test_lasso_finds_the_rules_that_matter():
+    rng = np.random.default_rng(3)
+    fired = rng.random((4000, 30)) < 0.4
+    labels = (rng.random(4000) < 1 / (1 + np.exp(-(3.0 * fired[:, 4] - 2.0 * fired[:, 9] - 0.5)))).astype(float)
+    intercept, weights = lasso_logistic(fired, labels, 0.01)
+    assert set(np.flatnonzero(np.abs(weights) > 0.2)) == {4, 9} and weights[4] > 1.5 and weights[9] < -0.8
+    # At the minimum no gradient of a zero weight exceeds the penalty.
+    miss = 1 / (1 + np.exp(-(intercept + fired @ weights))) - labels
+    gradient = fired.T @ miss / len(labels)
+    assert np.all(np.abs(gradient) <= 0.01 + 1e-3) and abs(miss.mean()) < 1e-3
 
 
 def test_model_compiles_to_a_column(spark):
