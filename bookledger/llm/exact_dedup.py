@@ -54,6 +54,7 @@ def exact_groups(
     text: str = "text",
     doc_id: str = "doc_id",
     digest: Callable[[Column], Column] = sha256,
+    row_id: str | None = None,
 ) -> DataFrame:
     """One row per input row: ``doc_id, keep_id, group_size, kept, digest``.
 
@@ -64,30 +65,39 @@ def exact_groups(
     sends one row a task to the first shuffle and one row a salt to the second.
 
     Null texts count as empty, null ids rank last. Rows that repeat id and length of the staying
-    row are that document again: all of them are ``kept``. An empty table gives no rows; other
-    columns are ignored.
+    row are that document again: all of them are ``kept``. If a column of row keys is named, it is
+    passed on as ``row_id``, and only one of these rows is ``kept``. An empty table gives no rows;
+    other columns are ignored.
     """
+    key = [F.col(row_id).cast("long").alias("row_id")] if row_id else []
     content = normalised(F.col(text))
     rows = docs.select(
         F.col(doc_id).cast("long").alias("doc_id"),
         content.alias("content"),
         F.coalesce(F.length(text), F.lit(0)).alias("n_chars"),
+        *key,
     ).withColumn("digest", digest(F.col("content")))
+    own_rank = _rank(F.col("n_chars"), F.col("doc_id"))
+    # The row of the highest rank, any one of several; its key is stored with the group.
+    first_key = [F.max_by("row_id", own_rank).alias("keep_row")] if row_id else []
+    merged_key = [F.max_by("keep_row", "rank").alias("keep_row")] if row_id else []
+    keep_row = ["keep_row"] if row_id else []
+    passed = ["row_id"] if row_id else []
 
     salts = math.ceil(math.sqrt(partitions(docs.sparkSession))) + 1
     merged = (
         rows.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
         .groupBy("digest", "salt", "content")
-        .agg(F.max(_rank(F.col("n_chars"), F.col("doc_id"))).alias("rank"), F.count(F.lit(1)).alias("size"))
+        .agg(F.max(own_rank).alias("rank"), F.count(F.lit(1)).alias("size"), *first_key)
         # By digest alone: texts that differ under one digest then meet in one task, too.
         .repartition("digest")
         .groupBy("digest", "content")
-        .agg(F.max("rank").alias("rank"), F.sum("size").alias("group_size"))
+        .agg(F.max("rank").alias("rank"), F.sum("size").alias("group_size"), *merged_key)
     )
     texts = F.expr("count(1) over (partition by digest)")
     classes = keep(
         merged.withColumn("texts", texts).select(
-            "digest", "rank", "group_size", F.when(F.col("texts") > 1, F.col("content")).alias("content")
+            "digest", "rank", "group_size", *keep_row, F.when(F.col("texts") > 1, F.col("content")).alias("content")
         )
     )
     plain = classes.where(F.col("content").isNull()).drop("content")
@@ -101,17 +111,19 @@ def exact_groups(
         rest = rows.join(clashing.select("digest").distinct(), "digest", "left_anti")
         joined = spread_lookup(rest.drop("content"), plain, "digest", "group_size").unionByName(
             spread_lookup(
-                own.select("doc_id", "n_chars", "digest", same.alias("same")),
-                keep(clashing.select(same.alias("same"), "rank", "group_size")),
+                own.select("doc_id", "n_chars", "digest", *passed, same.alias("same")),
+                keep(clashing.select(same.alias("same"), "rank", "group_size", *keep_row)),
                 "same",
                 "group_size",
             ).drop("same")
         )
     rank = F.col("rank")
+    stays = F.col("doc_id").eqNullSafe(_keep_id(rank)) & (F.col("n_chars") == _n_chars(rank))
     return joined.select(
         "doc_id",
         _keep_id(rank).alias("keep_id"),
         "group_size",
-        (F.col("doc_id").eqNullSafe(_keep_id(rank)) & (F.col("n_chars") == _n_chars(rank))).alias("kept"),
+        (F.col("row_id") == F.col("keep_row") if row_id else stays).alias("kept"),
         "digest",
+        *passed,
     )

@@ -103,18 +103,29 @@ def statistics(text: str) -> list[float]:
     ]
 
 
-def with_statistics(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """``doc_id`` and a double column for each statistic, for every row; null texts count as empty."""
+def with_statistics(
+    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", row_id: str | None = None
+) -> DataFrame:
+    """``doc_id`` and a double column for each statistic, for every row; null texts count as empty.
+
+    A column of row keys may be named, which is passed on as ``row_id``.
+    """
+    ids = ["doc_id"] + (["row_id"] if row_id else [])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [statistics(t.as_py() or "") for t in batch.column(1)]
             values = np.array(rows, dtype=np.float64).reshape(len(rows), len(STATISTICS))
             columns = [pa.array(values[:, i]) for i in range(len(STATISTICS))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc_id", *STATISTICS])
+            kept = [batch.column(0), *batch.columns[2:]]
+            yield pa.RecordBatch.from_arrays([*kept, *columns], names=[*ids, *STATISTICS])
 
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, " + ", ".join(f"{s} double" for s in STATISTICS))
+    rows = docs.select(
+        F.col(doc_id).cast("long").alias("doc_id"),
+        F.col(text).cast("string").alias("text"),
+        *([F.col(row_id).cast("long").alias("row_id")] if row_id else []),
+    )
+    return rows.mapInArrow(run, ", ".join([*(f"{i} long" for i in ids), *(f"{s} double" for s in STATISTICS)]))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -277,8 +288,10 @@ def training_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS)
     return with_statistics(own).join(ids, "doc_id").dropDuplicates(["doc_id"])
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """``doc_id, held_out, score, predicted`` of every row of ``docs``.
+def quality_scores(
+    docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, row_id: str | None = None
+) -> DataFrame:
+    """``doc_id, held_out, score, predicted`` of every row of ``docs``; ``row_id`` too, if row keys are named.
 
     score: how likely label 1 is, from 0 to 1, by the rules that ``fit`` finds in at most ``rows``
     labelled rows. The inputs are statistics of the whole text only. Null texts count as empty
@@ -287,5 +300,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS)
     """
     model = fit(training_sample(docs, labels, rows))
     score = model.score()
-    scored = with_statistics(docs).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score.alias("score"))
+    scored = with_statistics(docs, row_id=row_id).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), score.alias("score"), *(["row_id"] if row_id else [])
+    )
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

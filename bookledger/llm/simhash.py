@@ -118,19 +118,26 @@ def fingerprint(text: bytes | None, size: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int = SHINGLE) -> DataFrame:
-    """``doc_id, print`` of every row; the 64 bits as a signed long."""
+def fingerprints(
+    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int = SHINGLE, row_id: str | None = None
+) -> DataFrame:
+    """``doc_id, print`` of every row, and ``row_id`` if row keys are named; the 64 bits as a signed long."""
+    names = ["doc_id", "print"] + (["row_id"] if row_id else [])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1).cast(pa.binary())
             prints = np.array([fingerprint(t.as_py(), size) for t in texts], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(prints.view(np.int64))], names=["doc_id", "print"]
+                [batch.column(0), pa.array(prints.view(np.int64)), *batch.columns[2:]], names=names
             )
 
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, print long")
+    rows = docs.select(
+        F.col(doc_id).cast("long").alias("doc_id"),
+        F.col(text).cast("string").alias("text"),
+        *([F.col(row_id).cast("long").alias("row_id")] if row_id else []),
+    )
+    return rows.mapInArrow(run, ", ".join(f"{name} long" for name in names))
 
 
 # ---------------------------------------------------------------- links
@@ -308,19 +315,24 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(
-    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int = SHINGLE, bits: int = MAX_BITS
+    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int = SHINGLE, bits: int = MAX_BITS,
+    row_id: str | None = None,
 ) -> DataFrame:
     """``doc_id, fingerprint, component_id, component_size`` of every row.
 
     A component is what links of at most ``bits`` differing bits reach; its id is the smallest
     doc_id in it. Null and empty texts have fingerprint zero, which links like any other. Null
-    ids never name a component unless it has no other. Repeated rows share all results. An empty
-    table gives no rows; other columns are ignored.
+    ids never name a component unless it has no other. Repeated rows share all results. If a column of
+    row keys is named, it is passed on as ``row_id``, and ``kept`` marks one row of each component, of
+    those with its id. An empty table gives no rows; other columns are ignored.
 
     Equal fingerprints are grouped first, so copies never meet in a bucket.
     """
-    rows = keep(fingerprints(docs, text, doc_id, size))
-    prints = keep(rows.groupBy("print").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first")))
+    order = lambda c: F.coalesce(c, F.lit(2**63 - 1))
+    keep_row = ["keep_row"] if row_id else []
+    rows = keep(fingerprints(docs, text, doc_id, size, row_id))
+    first_row = [F.min_by("row_id", order("doc_id")).alias("keep_row")] if row_id else []
+    prints = keep(rows.groupBy("print").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first"), *first_row))
     labels = components(links(prints, bits))
     labelled = prints.join(labels.withColumnRenamed("node", "print"), "print", "left").withColumn(
         "label", F.coalesce("label", "print")
@@ -328,14 +340,16 @@ def near_duplicates(
     labelled = keep(labelled)
     whole = keep(
         labelled.groupBy("label").agg(
-            F.min("first").alias("component_id"), F.sum("n").alias("component_size"), F.count(F.lit(1)).alias("prints")
+            F.min("first").alias("component_id"), F.sum("n").alias("component_size"), F.count(F.lit(1)).alias("prints"),
+            *([F.min_by("keep_row", order("first")).alias("keep_row")] if row_id else []),
         )
     )
     of_print = keep(spread_lookup(labelled.select("print", "n", "label"), whole, "label", "prints"))
-    out = spread_lookup(rows, of_print.select("print", "n", "component_id", "component_size"), "print", "n")
+    out = spread_lookup(rows, of_print.select("print", "n", "component_id", "component_size", *keep_row), "print", "n")
     return out.select(
         "doc_id",
         F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"),
         "component_id",
         "component_size",
+        *(["row_id", (F.col("row_id") == F.col("keep_row")).alias("kept")] if row_id else []),
     )

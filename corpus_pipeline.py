@@ -2,13 +2,14 @@
 
 A stage takes (spark, docs, sf_dir). All but the last return the columns of ``docs`` unchanged, for the
 documents they keep; the last returns a row for each document it is given. Nulls, empty and long
-texts, repeated rows and empty tables are handled as the operators' docstrings say. A document
-is known by its doc_id: rows with equal ids stay or go together, and a null id always stays, since
-it names no document that could be dropped.
+texts and empty tables are handled as the operators' docstrings say. A document is a row: each filter
+decides by a row key, so null and repeated ids are filtered like any other, and of rows that are equal
+in id and text the dedup stages leave one.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,34 +22,60 @@ from bookledger.llm.queries import tokenizer_path
 from bookledger.llm.simhash import near_duplicates
 
 
-def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """``docs`` less the rows whose doc_id is in ``dropped``; its columns may have any names."""
-    ids = keep(dropped.select(F.col("doc_id").alias("_dropped_id")).where("_dropped_id is not null").distinct())
-    return docs.join(small(ids), docs["doc_id"] == ids["_dropped_id"], "left_anti")
+#: The row key's column while a stage runs.
+ROW = "_pipeline_row"
+FILE = "_pipeline_file"
+
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with row keys that are the same each time they are read.
+
+    A stored table's rows are known by file and place in it. Anything else is stored with keys first.
+    """
+    try:
+        stored = docs._jdf.queryExecution().analyzed().children().isEmpty()
+        placed = docs.select("*", F.col("_metadata.file_path").alias(FILE), F.col("_metadata.row_index").alias(ROW))
+    except AnalysisException:
+        stored = False
+    if not stored:
+        return keep(docs.withColumn(ROW, F.monotonically_increasing_id()))
+    # The driver holds the list of files anyway; a row's place in its file takes the lower 40 bits.
+    files = sorted(r[0] for r in placed.select(FILE).distinct().collect())
+    numbers = docs.sparkSession.createDataFrame(list(zip(files, range(len(files)))), f"{FILE} string, _number long")
+    row = F.shiftleft("_number", 40) + F.col(ROW)
+    return placed.join(F.broadcast(numbers), FILE).select(*docs.columns, row.alias(ROW))
+
+
+def _without(numbered: DataFrame, dropped: DataFrame, key: str = "row_id") -> DataFrame:
+    """The rows of ``numbered`` whose key is not in ``dropped``, without the key."""
+    rows = keep(dropped.select(F.col(key).alias("_dropped_row")))
+    return numbered.join(small(rows), numbered[ROW] == rows["_dropped_row"], "left_anti").drop(ROW)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that the quality classifier rejects."""
-    scores = quality_scores(docs, table(spark, sf_dir, "labels"))
+    docs = _numbered(docs)
+    scores = quality_scores(docs, table(spark, sf_dir, "labels"), row_id=ROW)
     return _without(docs, scores.where("predicted = 0"))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of equal texts."""
-    groups = exact_groups(docs)
-    return _without(docs, groups.where("not kept and not (doc_id <=> keep_id)"))
+    docs = _numbered(docs)
+    return _without(docs, exact_groups(docs, row_id=ROW).where("not kept"))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document that names its component, of each component of near-duplicates."""
-    groups = near_duplicates(docs)
-    return _without(docs, groups.where("doc_id <> component_id"))
+    docs = _numbered(docs)
+    return _without(docs, near_duplicates(docs, row_id=ROW).where("not kept"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that contain too much of a benchmark."""
-    found = contamination(docs, table(spark, sf_dir, "benchmark"))
-    return _without(docs, found.where("contaminated"))
+    docs = _numbered(docs)
+    found = contamination(docs.withColumn("doc_id", F.col(ROW)), table(spark, sf_dir, "benchmark"))
+    return _without(docs, found.where("contaminated"), "doc_id")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,5 +1,10 @@
 """The pipeline's stages one by one, each against plain versions on what it is given."""
 
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from bookledger.llm.queries import tokenizer_path
 
@@ -59,3 +64,48 @@ def test_hard_rows_and_clashing_columns(spark, documents):
 def test_stage_names():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "exact_dedup", "near_dedup", "decontamination", "bpe"]
     assert corpus_pipeline.ORACLE_SQL is None
+
+
+def _counted(rows):
+    return Counter((r["doc_id"], r["text"]) for r in rows.collect())
+
+
+@pytest.mark.parametrize("stored", [False, True])
+def test_filters_decide_by_row(spark, documents, tmp_path, stored):
+    def given(rows):
+        docs = documents(rows)
+        if not stored:
+            return docs
+        path = f"{tmp_path}/{len(list(tmp_path.iterdir()))}"
+        docs.write.parquet(path)
+        return spark.read.parquet(path)
+
+    item = spark.read.parquet(f"{FOLDER}/benchmark.parquet").orderBy("item_id").first()["text"]
+    one, two, three = (" ".join(f"{w}{i}" for i in range(40)) for w in ("a", "b", "c"))
+    _, exact, near, decontaminate = (stage for _, stage in corpus_pipeline.STAGES[:4])
+
+    # Copies with null ids go, equal rows leave one, and texts that share an id are judged apart.
+    rows = [(None, one), (None, one), (3, two), (3, two), (4, two), (5, three), (5, one), (6, three)]
+    wanted = Counter({(3, two): 1, (5, three): 1, (5, one): 1})
+    assert _counted(exact(spark, given(rows), FOLDER)) == wanted
+    assert _counted(near(spark, given(rows), FOLDER)) == wanted
+    nulls = [(None, one), (None, one), (None, two)]
+    for stage in (exact, near):
+        assert _counted(stage(spark, given(nulls), FOLDER)) == Counter({(None, one): 1, (None, two): 1})
+
+    rows = [(None, item), (None, one), (7, item), (7, two), (8, three), (8, three)]
+    wanted = Counter({(None, one): 1, (7, two): 1, (8, three): 2})
+    assert _counted(decontaminate(spark, given(rows), FOLDER)) == wanted
+
+
+def test_quality_decides_by_row(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    kept = Counter(r["text"] for r in corpus_pipeline.quality(spark, docs, FOLDER).collect())
+    # The same documents once more with null ids and under one id: the classifier's fit stays as it is.
+    again = docs.withColumn("doc_id", F.lit(None).cast("long"))
+    shared = docs.withColumn("doc_id", F.lit(-1).cast("long"))
+    out = corpus_pipeline.quality(spark, docs.union(again).union(shared), FOLDER)
+    got = {}
+    for r in out.collect():
+        got.setdefault({None: "null", -1: "shared"}.get(r["doc_id"], "own"), Counter())[r["text"]] += 1
+    assert got == {"own": kept, "null": kept, "shared": kept}
