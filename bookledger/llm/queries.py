@@ -13,10 +13,13 @@ from bookledger.llm.common import shared_folder, table
 from bookledger.llm.decontaminate import contamination
 from bookledger.llm.exact_dedup import exact_groups
 from bookledger.llm.html_blocks import extract_text
+from bookledger.llm.line_labels import line_quality
+from bookledger.llm.merkle import merkle_manifest, verified
 from bookledger.llm.quality import quality_scores
 from bookledger.llm.secrets import secret_scan
 from bookledger.llm.simhash import near_duplicates
 from bookledger.llm.unit_dedup import repeated_spans
+from bookledger.llm.vector_codes import vector_codes
 from bookledger.llm.warc import archive_round_trip
 
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,6 +83,20 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return verified(merkle_manifest(table(spark, sf_dir, "documents")))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes(table(spark, sf_dir, "embeddings"))
+
+
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = line_quality(table(spark, sf_dir, "documents"))
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return lines.select("doc_id", *counts, "base_failed", "kept", "content_share")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -93,5 +110,8 @@ QUERIES: dict[str, Query] = {
         op8_chat_format,
         op9_simhash_near_dedup,
         op10_html_extraction,
+        op11_merkle_manifest,
+        op12_vector_codes,
+        op13_quality_rules,
     )
 }

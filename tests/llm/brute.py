@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 import re
+import zlib
 from collections import defaultdict
 
 import xxhash
@@ -134,3 +136,101 @@ def chats(rows):
         whole = "".join(f"{r}\n{t}\n" for _, r, t in turns)
         out.append((conv_id, len(turns), sha(whole), len(answers), sha(answers)))
     return out
+
+
+def _code(value):
+    if value is None:
+        return "-"
+    return f"{len(str(value).encode())}:{value}"
+
+
+def _tree(digests):
+    """The levels of a tree, from the leaves to the root alone."""
+    levels = [digests]
+    while len(levels[-1]) > 1:
+        last = levels[-1]
+        levels.append([sha("".join(last[i : i + 16])) for i in range(0, len(last), 16)])
+    return levels
+
+
+def _siblings(levels, at):
+    """(left, right) lists on each level below the root."""
+    out = []
+    for level in levels[:-1]:
+        start = at // 16 * 16
+        out.append((level[start:at], level[at + 1 : start + 16]))
+        at //= 16
+    return out
+
+
+def merkle(docs):
+    """docs: (doc_id, source, lang, n_chars, text)."""
+    by_source = defaultdict(list)
+    for row in docs:
+        leaf = sha("".join(map(_code, row)))
+        other = leaf
+        if row[0] is not None and zlib.crc32(str(row[0]).encode()) % 5 == 0 and row[4] is not None:
+            other = sha("".join(map(_code, (*row[:4], row[4].translate(UPPER)))))
+        by_source[row[1]].append((row[0] is not None, row[0] or 0, leaf, row[0], other))
+    order = sorted(by_source, key=lambda s: (s is not None, (s or "").encode()))
+    trees = {}
+    for source in order:
+        by_source[source].sort(key=lambda r: r[:3])
+        trees[source] = _tree([r[2] for r in by_source[source]])
+    top = _tree([trees[s][-1][0] for s in order])
+    out = []
+    for place, source in enumerate(order):
+        for at, (_, _, leaf, doc_id, other) in enumerate(by_source[source]):
+            path = _siblings(trees[source], at) + _siblings(top, place)
+            known = other
+            for left, right in path:
+                known = sha("".join([*left, known, *right]))
+            proof = sha("".join("".join(left + right) for left, right in path))
+            out.append((doc_id, leaf, trees[source][-1][0], top[-1][0], proof, known, known == top[-1][0]))
+    return out
+
+
+def vector_codes(rows, entries=256, rounds=4):
+    """rows: (vec_id, vector, label); full search in every round."""
+    kept = [r for r in rows if r[1] is not None and all(x is not None and math.isfinite(x) for x in r[1])]
+    kept = [(i, [math.floor(1024 * x) for x in v], label) for i, v, label in kept]
+    kept.sort(key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    width = len(kept[0][1]) // 4
+    total, codes, books = [0] * len(kept), [""] * len(kept), []
+    for p in range(4):
+        x = [v[p * width : (p + 1) * width] for _, v, _ in kept]
+        book = x[:entries]
+        for n in range(rounds + 1):
+            near = [min((sum((a - b) ** 2 for a, b in zip(v, e, strict=True)), k) for k, e in enumerate(book)) for v in x]
+            if n == rounds:
+                break
+            sums = defaultdict(lambda: [0] * (width + 1))
+            for v, (_, k) in zip(x, near, strict=True):
+                sums[k] = [a + b for a, b in zip(sums[k], [*v, 1], strict=True)]
+            book = [[s // sums[k][-1] for s in sums[k][:-1]] if k in sums else e for k, e in enumerate(book)]
+        books += book
+        total = [t + d for t, (d, _) in zip(total, near, strict=True)]
+        codes = [c + f"{k:02x}" for c, (_, k) in zip(codes, near, strict=True)]
+    by_label = defaultdict(int)
+    for (_, _, label), error in zip(kept, total, strict=True):
+        by_label[label] += error
+    digest = sha(",".join(str(x) for e in books for x in e))
+    return [(i, c, e, by_label[label], digest) for (i, _, label), c, e in zip(kept, codes, total, strict=True)]
+
+
+def base_quality(docs):
+    """docs: (doc_id, text); n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed."""
+    out = []
+    for doc_id, text in docs:
+        text = text or ""
+        listed = re.findall(r"[^\x20\x09-\x0D]+", text)
+        lines = [line for line in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", line)]
+        windows = defaultdict(list)
+        for i in range(len(listed) - 7):
+            windows[tuple(listed[i : i + 8])].append(i)
+        inside = {i + k for starts in windows.values() if len(starts) > 1 for i in starts for k in range(8)}
+        n = len(listed)
+        symbols = len(re.findall(r"[#*$%&|<>]", text))
+        failed = n < 20 or 100 * len(inside) > 30 * n
+        out.append((doc_id, n, sum(map(len, listed)), symbols, len(lines) - len(set(lines)), len(inside), failed))
+    return out

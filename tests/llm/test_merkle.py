@@ -1,0 +1,74 @@
+"""The Merkle manifest against a plain version, and the tree's own promises."""
+
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from bookledger.llm.merkle import merkle_manifest, tampered, verified
+from tests.llm import brute
+
+FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
+SMALL = "/root/testdata/sf0.001"
+
+
+def table(spark, rows, partitions=3):
+    clash = "tree string, lo long, hi long, digest string, size int, start int, extra string, _place int"
+    filled = [(*r, "x", 1, 2, "y", 3, 4, "z", 5) for r in rows]
+    schema = f"doc_id long, source string, lang string, n_chars long, text string, {clash}"
+    return spark.createDataFrame(filled, schema).repartition(partitions)
+
+
+def result(df):
+    return Counter(tuple(r) for r in verified(merkle_manifest(df)).collect())
+
+
+def test_equals_plain_version_on_hard_rows(spark):
+    rows = [(i, "hot", "en", i, f"Text {i}") for i in range(300)]  # three levels
+    rows += [(1000 + i, f"s{i}", None, None, "Short") for i in range(20)]  # two levels of subroots
+    rows += [(i, "sixteen", "en", 1, "A") for i in range(2000, 2016)]
+    rows += [(i, "seventeen", "en", 1, "A") for i in range(3000, 3017)]
+    rows += [(None, None, None, None, None), (None, None, "en", 3, ""), (4000, None, "en", 3, ""), (4001, "", "", 0, None)]
+    rows += [(5000, "Ünïcode", "de", 2, "ÄBC \U0001f600 É"), (5001, "\U0001f600", "de", 2, "￿"), (5002, "￿", "de", 1, "B")]
+    rows += [(6000, "twice", "en", 1, "Same")] * 20 + [(6000, "twice", "en", 1, "Other")] * 2
+    rows += [(7000, "long", "en", 1, "Word " * 200_000)]
+    assert result(table(spark, rows)) == Counter(brute.merkle(rows))
+
+
+@pytest.mark.parametrize("n", [1, 2, 16, 17, 256, 257])
+def test_sizes_at_the_borders_of_levels(spark, n):
+    rows = [(i, "a", "en", 1, f"T{i}") for i in range(n)]
+    assert result(table(spark, rows)) == Counter(brute.merkle(rows))
+
+
+def test_empty_table(spark):
+    assert result(table(spark, [(1, "a", "en", 1, "x")]).where("false")) == Counter()
+
+
+def test_whole_table_and_number_of_partitions(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    expected = Counter(brute.merkle([tuple(r) for r in docs.select(*FIELDS).collect()]))
+    assert result(docs) == expected
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    try:
+        assert result(docs.repartition(7)) == expected
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_tampering_shows_where_letters_change(spark):
+    rows = [(i, "a", "en", 1, "UPPER" if i % 2 else "lower") for i in range(200)]
+    df = table(spark, rows)
+    touched = {r[0] for r in df.where(tampered(F.col("doc_id"))).select("doc_id").collect()}
+    assert 20 < len(touched) < 60
+    wrong = {r["doc_id"] for r in verified(merkle_manifest(df)).where("not verified").collect()}
+    assert wrong == {i for i in touched if i % 2}
+
+
+def test_paths_prove_every_leaf_and_ranks_are_whole(spark):
+    rows = [(i, f"s{i % 3}", "en", 1, f"t{i}") for i in range(100)]
+    manifest = merkle_manifest(table(spark, rows))
+    assert sorted(r["lo"] for r in manifest.collect()) == list(range(100))
+    kept = manifest.withColumn("tampered_leaf", F.col("leaf"))
+    assert verified(kept).where("not verified").isEmpty()

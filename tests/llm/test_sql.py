@@ -14,7 +14,7 @@ SMALL = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", list(SQL))
 def test_query_equals_sql(spark, name):
     database = duckdb.connect()
-    for table in "documents pages benchmark conversations".split():
+    for table in "documents pages benchmark conversations embeddings".split():
         database.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SMALL}/{table}.parquet'")
     result = database.execute(SQL[name])
     names = [c[0] for c in result.description]
@@ -30,5 +30,5 @@ def test_queries_are_registered():
 
     registered = __spark_entry__.queries()
     assert set(QUERIES) | {"pipeline"} <= set(registered)
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
     assert set(SQL) <= set(__spark_entry__.oracle_sql())
