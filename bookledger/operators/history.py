@@ -8,17 +8,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bookledger.operators.ordered import neighbours
-from bookledger.operators.skew import NO_HOT_KEYS, HotKeys
+from bookledger.operators.skew import NO_HOT_KEYS, HotKeys, Split, each_row
 
 
 def keep_changes(
-    df: DataFrame,
+    df: DataFrame | Split,
     key: str,
     order: list[str],
     tracked: Mapping[str, tuple[str, str]],
     hot: HotKeys = NO_HOT_KEYS,
     domain: str = "",
-) -> DataFrame:
+) -> DataFrame | Split:
     """Keep versions in which a tracked value differs from the version before.
 
     ``tracked`` maps the output column for the previous value to (previous value's column,
@@ -32,11 +32,11 @@ def keep_changes(
     changed = F.lit(False)
     for out, (_, now) in tracked.items():
         changed = changed | F.col(out).isNull() | (F.col(now) != F.col(out))
-    return with_previous.filter(changed)
+    return each_row(with_previous, lambda rows: rows.filter(changed))
 
 
 def add_validity(
-    df: DataFrame,
+    df: DataFrame | Split,
     key: str,
     at: str,
     ties: list[str],
@@ -44,9 +44,9 @@ def add_validity(
     expires: str,
     hot: HotKeys = NO_HOT_KEYS,
     domain: str = "",
-) -> DataFrame:
+) -> DataFrame | Split:
     """Validity of each version: from its own time to the time of the next version."""
     return neighbours(
-        df.withColumn(started, F.col(at)), key, [at, *ties], following={expires: at},
+        each_row(df, lambda rows: rows.withColumn(started, F.col(at))), key, [at, *ties], following={expires: at},
         hot=hot, domain=domain,
     )

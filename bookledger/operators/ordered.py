@@ -12,10 +12,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bookledger.functions import order_rank
-from bookledger.operators.skew import NO_HOT_KEYS, HotKeys, lookup, split_hot
+from bookledger.operators.skew import NO_HOT_KEYS, HotKeys, Split, by_key, lookup
 
 _RUN, _FIRST, _LAST, _EDGE = "_run", "_run_first", "_run_last", "_run_edge"
-_ROW = "_row_number"
+_NTH = "_nth_of_equal"
 
 
 def _asc(order: list[str]) -> list[Column]:
@@ -33,14 +33,14 @@ def _skipping_nulls(function: str, column: str, keys: list[str], order: list[str
 
 
 def neighbours(
-    df: DataFrame,
+    df: DataFrame | Split,
     key: str,
     order: list[str],
     previous: Mapping[str, str] | None = None,
     following: Mapping[str, str] | None = None,
     hot: HotKeys = NO_HOT_KEYS,
     domain: str = "",
-) -> DataFrame:
+) -> DataFrame | Split:
     """Add the value of a column on the previous / following row (output name -> column)."""
     previous, following = dict(previous or {}), dict(following or {})
 
@@ -50,33 +50,32 @@ def neighbours(
         values |= {out: F.lead(c).over(w) for out, c in following.items()}
         return rows.withColumns(values)
 
-    if not hot.has(domain):
-        return plain(df)
-    ordinary, heavy = split_hot(df, key, hot, domain)
-    # A wrapped value is never NULL, so "nearest non-NULL" is "directly next to".
-    sources = dict.fromkeys([*previous.values(), *following.values()])
-    wrapped = {c: f"_wrapped_{c}" for c in sources}
-    heavy = _nearest_in_runs(
-        heavy.withColumns({w: F.struct(F.col(c).alias("v")) for c, w in wrapped.items()}),
-        key,
-        order,
-        {out: wrapped[c] for out, c in previous.items()},
-        {out: wrapped[c] for out, c in following.items()},
-        hot.total_pieces(domain),
-    )
-    outs = [*previous, *following]
-    heavy = heavy.withColumns({o: F.col(o)["v"] for o in outs}).drop(*wrapped.values())
-    return plain(ordinary).unionByName(heavy)
+    def in_runs(rows: DataFrame) -> DataFrame:
+        # A wrapped value is never NULL, so "nearest non-NULL" is "directly next to".
+        sources = dict.fromkeys([*previous.values(), *following.values()])
+        wrapped = {c: f"_wrapped_{c}" for c in sources}
+        found = _nearest_in_runs(
+            rows.withColumns({w: F.struct(F.col(c).alias("v")) for c, w in wrapped.items()}),
+            key,
+            order,
+            {out: wrapped[c] for out, c in previous.items()},
+            {out: wrapped[c] for out, c in following.items()},
+            hot.total_pieces(domain),
+        )
+        outs = [*previous, *following]
+        return found.withColumns({o: F.col(o)["v"] for o in outs}).drop(*wrapped.values())
+
+    return by_key(df, key, hot, domain, plain, in_runs)
 
 
 def fill_nearest(
-    df: DataFrame,
+    df: DataFrame | Split,
     key: str,
     order: list[str],
     columns: list[str],
     hot: HotKeys = NO_HOT_KEYS,
     domain: str = "",
-) -> DataFrame:
+) -> DataFrame | Split:
     """Fill NULLs with the nearest earlier non-NULL value of the key, else the nearest later."""
 
     def filled(rows: DataFrame, before: Mapping[str, Column], after: Mapping[str, Column]):
@@ -93,18 +92,17 @@ def fill_nearest(
             {c: _skipping_nulls("lead", c, [key], order) for c in columns},
         )
 
-    if not hot.has(domain):
-        return plain(df)
-    ordinary, heavy = split_hot(df, key, hot, domain)
-    before = {f"_before_{c}": c for c in columns}
-    after = {f"_after_{c}": c for c in columns}
-    heavy = _nearest_in_runs(heavy, key, order, before, after, hot.total_pieces(domain))
-    heavy = filled(
-        heavy,
-        {c: F.col(f"_before_{c}") for c in columns},
-        {c: F.col(f"_after_{c}") for c in columns},
-    ).drop(*before, *after)
-    return plain(ordinary).unionByName(heavy)
+    def in_runs(rows: DataFrame) -> DataFrame:
+        before = {f"_before_{c}": c for c in columns}
+        after = {f"_after_{c}": c for c in columns}
+        found = _nearest_in_runs(rows, key, order, before, after, hot.total_pieces(domain))
+        return filled(
+            found,
+            {c: F.col(f"_before_{c}") for c in columns},
+            {c: F.col(f"_after_{c}") for c in columns},
+        ).drop(*before, *after)
+
+    return by_key(df, key, hot, domain, plain, in_runs)
 
 
 def _nearest_in_runs(
@@ -168,13 +166,13 @@ def _nearest_in_runs(
 
 
 def first_where(
-    df: DataFrame,
+    df: DataFrame | Split,
     key: str,
     order: list[str],
     flags: Mapping[str, str],
     hot: HotKeys = NO_HOT_KEYS,
     domain: str = "",
-) -> DataFrame:
+) -> DataFrame | Split:
     """For each (output -> condition column): 1 on the key's first row where it holds, else 0.
 
     One row a key is marked, also where rows are equal in all order columns; which of these is
@@ -196,27 +194,32 @@ def first_where(
             }
         )
 
-    if not hot.has(domain):
-        return plain(df)
-    # The number tells equal rows apart. It is stored with the rows, so it stays the same.
-    numbered = df.withColumn(_ROW, F.monotonically_increasing_id())
-    ordinary, heavy = split_hot(numbered, key, hot, domain)
-    rank = order_rank([*order, _ROW])
-    firsts = heavy.groupBy(key).agg(
-        *[F.min(F.when(F.col(c), rank)).alias(f"_first_{out}") for out, c in flags.items()]
-    )
-    joined = lookup(heavy, firsts, [key], hot, domain, null_safe=True)
-    marked = joined.withColumns(
-        {
-            out: F.when(F.col(c) & rank.eqNullSafe(F.col(f"_first_{out}")), 1).otherwise(0)
+    def spread(rows: DataFrame) -> DataFrame:
+        rank = order_rank(order)
+        firsts = rows.groupBy(key).agg(
+            *[F.min(F.when(F.col(c), rank)).alias(f"_first_{out}") for out, c in flags.items()]
+        )
+        joined = lookup(rows, firsts, [key], hot, domain, null_safe=True)
+        # Of equal rows for which the condition holds one is marked.
+        nth = {
+            f"{_NTH}_{out}": F.row_number().over(Window.partitionBy(key, *order, c).orderBy(F.lit(0)))
             for out, c in flags.items()
         }
-    ).drop(*[f"_first_{out}" for out in flags])
-    return plain(ordinary).unionByName(marked).drop(_ROW)
+        first = {
+            out: F.col(c) & rank.eqNullSafe(F.col(f"_first_{out}")) & (F.col(f"{_NTH}_{out}") == 1)
+            for out, c in flags.items()
+        }
+        return (
+            joined.withColumns(nth)
+            .withColumns({out: F.when(holds, 1).otherwise(0) for out, holds in first.items()})
+            .drop(*nth, *[f"_first_{out}" for out in flags])
+        )
+
+    return by_key(df, key, hot, domain, plain, spread)
 
 
 def last_by_group(
-    df: DataFrame,
+    df: DataFrame | Split,
     key: str,
     group: str,
     order: list[str],
@@ -224,7 +227,7 @@ def last_by_group(
     out: str,
     hot: HotKeys = NO_HOT_KEYS,
     domain: str = "",
-) -> DataFrame:
+) -> DataFrame | Split:
     """Add the ``value`` (never NULL) of the last row of each (key, boolean ``group``)."""
 
     def plain(rows: DataFrame) -> DataFrame:
@@ -246,9 +249,8 @@ def last_by_group(
             ),
         )
 
-    if not hot.has(domain):
-        return plain(df)
-    ordinary, heavy = split_hot(df, key, hot, domain)
-    lasts = heavy.groupBy(key, group).agg(F.max_by(value, order_rank(order)).alias(out))
-    joined = lookup(heavy, lasts, [key, group], hot, domain, hot_on=key, null_safe=True)
-    return plain(ordinary).unionByName(joined)
+    def spread(rows: DataFrame) -> DataFrame:
+        lasts = rows.groupBy(key, group).agg(F.max_by(value, order_rank(order)).alias(out))
+        return lookup(rows, lasts, [key, group], hot, domain, hot_on=key, null_safe=True)
+
+    return by_key(df, key, hot, domain, plain, spread)

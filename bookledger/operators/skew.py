@@ -3,11 +3,15 @@
 A key column can have one value (often NULL) on a third of all rows. Spark's adaptive
 skew join does not cut window partitions, and not every join either, so the operators of
 this package ask a ``HotKeys`` first. Without hot keys they use the plain, cheapest plan.
+
+With hot keys a table is parted once (``split_hot``) into rows of ordinary and of hot keys. The ``Split``
+goes from operator to operator as long as they work by the same key; each treats either side by its own plan.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -21,29 +25,38 @@ _ROWS = "_hot_rows"
 MAX_LISTED = 250_000
 
 
+@dataclass(frozen=True)
+class Split:
+    """A table in two parts: rows of ordinary keys, and rows of hot keys (None if there are none)."""
+
+    ordinary: DataFrame
+    heavy: DataFrame | None = None
+
+    def map(self, step: Callable[[DataFrame], DataFrame]) -> Split:
+        """Both parts after a step that needs no other rows of a key, or all of them at most by aggregation."""
+        return Split(step(self.ordinary), None if self.heavy is None else step(self.heavy))
+
+    def rows(self) -> DataFrame:
+        return self.ordinary if self.heavy is None else self.ordinary.unionByName(self.heavy)
+
+
 class HotKeys:
     """Values with too many rows for one task, by key domain (invoice, line item, ...).
 
     ``tables[domain]`` is a small stored table (value, number of rows). The rows of a value are cut
-    into pieces of at most ``rows_per_piece``. Plans for hot keys read their input more than
-    once; ``keep`` stores it in between, so that a chain of operators does not compute the
-    same rows again and again.
+    into pieces of at most ``rows_per_piece``; ``pieces[domain]`` says how many tasks all hot keys need.
+    Plans for hot keys read rows of hot keys more than once, so a run may store these beforehand.
     """
 
     def __init__(
         self,
         tables: Mapping[str, DataFrame] | None = None,
         rows_per_piece: int = 1,
-        keep: Callable[[DataFrame], DataFrame] | None = None,
+        pieces: Mapping[str, int] | None = None,
     ):
         self.tables = dict(tables or {})
         self.rows_per_piece = rows_per_piece
-        self._keep = keep
-
-    def keep(self, df: DataFrame) -> DataFrame:
-        if self._keep is None:
-            raise ValueError("hot keys need a folder for intermediate tables")
-        return self._keep(df)
+        self._pieces_known = dict(pieces or {})
 
     def has(self, domain: str) -> bool:
         return domain in self.tables
@@ -52,32 +65,47 @@ class HotKeys:
         return F.ceil(F.col(_ROWS) / F.lit(self.rows_per_piece)).cast("int")
 
     def total_pieces(self, domain: str) -> int:
-        """How many tasks the rows of all hot keys need at least."""
-        return self.tables[domain].agg(F.sum(self._pieces())).first()[0]
+        """How many tasks the rows of all hot keys need at least; counted when the keys are found."""
+        if domain not in self._pieces_known:
+            self._pieces_known[domain] = self.tables[domain].agg(F.sum(self._pieces())).first()[0]
+        return self._pieces_known[domain]
+
+    def counted(self) -> HotKeys:
+        for domain in self.tables:
+            self.total_pieces(domain)
+        return self
 
     def with_domain(self, domain: str, of: str) -> HotKeys:
         """The same hot keys under one more name."""
-        tables = self.tables | ({domain: self.tables[of]} if of in self.tables else {})
-        return HotKeys(tables, self.rows_per_piece, self._keep)
+        if of not in self.tables:
+            return self
+        tables = self.tables | {domain: self.tables[of]}
+        return HotKeys(tables, self.rows_per_piece, self._pieces_known | {domain: self.total_pieces(of)})
 
-    def merge(self, other: HotKeys) -> HotKeys:
+    def merge(self, other: HotKeys, keep: Callable[[DataFrame], DataFrame]) -> HotKeys:
         """Hot keys of both; the rows of a value add up."""
         tables = dict(self.tables)
+        known = dict(self._pieces_known)
         for domain, table in other.tables.items():
+            known.pop(domain, None)
             if domain in tables:
                 both = tables[domain].unionByName(table)
-                table = (self if self._keep else other).keep(
-                    both.groupBy(_KEY).agg(F.sum(_ROWS).alias(_ROWS))
-                )
+                table = keep(both.groupBy(_KEY).agg(F.sum(_ROWS).alias(_ROWS)))
             tables[domain] = table
         limit = self.rows_per_piece if self.tables else other.rows_per_piece
-        return HotKeys(tables, limit, self._keep or other._keep)
+        return HotKeys(tables, limit, known).counted()
 
     def tag(self, df: DataFrame, domain: str, key: str) -> DataFrame:
         """Add the number of pieces of each row's key, NULL for an ordinary key."""
         listed = F.broadcast(self.tables[domain].select(_KEY, self._pieces().alias(_PIECES)))
         return df.join(listed, F.col(key).eqNullSafe(F.col(_KEY)), "left").drop(_KEY)
 
+    def part(self, df: DataFrame, domain: str, key: str, heavy: bool) -> DataFrame:
+        """The rows of hot keys, or those of ordinary keys."""
+        listed = F.broadcast(self.tables[domain].select(_KEY))
+        same = F.col(key).eqNullSafe(F.col(_KEY))
+        return df.join(listed, same, "left_semi" if heavy else "left_anti")
+
 
 NO_HOT_KEYS = HotKeys()
 
@@ -109,7 +137,7 @@ def measure_hot_keys(
         heavy = keep(counts.filter(F.col(_ROWS) > max(max_rows, total // MAX_LISTED)))
         if not heavy.isEmpty():
             found[domain] = heavy
-    return HotKeys(found, max_rows, keep)
+    return HotKeys(found, max_rows).counted()
 
 
 def listed_hot_keys(
@@ -124,7 +152,7 @@ def listed_hot_keys(
         heavy = keep(table.filter(F.col(_ROWS) > max(max_rows, total // MAX_LISTED)))
         if not heavy.isEmpty():
             found[domain] = heavy
-    return HotKeys(found, max_rows, keep)
+    return HotKeys(found, max_rows).counted()
 
 
 def lookup(
@@ -142,12 +170,16 @@ def lookup(
     Whether ``right`` is broadcast is left to Spark's size check. If the domain has hot
     keys, the left rows of a hot key are spread over its pieces, and the matching right
     rows are repeated once per piece. ``null_safe`` lets NULL keys match each other.
+
+    A row's piece follows from its values and the partition it lies in: equal rows of different
+    partitions are spread, too, and a task that runs again deals its rows as before.
     """
     keys = list(on)
     if hot.has(domain):
         key = hot_on or on[0]
         pieces = F.coalesce(F.col(_PIECES), F.lit(1))
-        spread = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), pieces).cast("int")
+        dealt = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in left.columns])
+        spread = F.pmod(dealt, pieces).cast("int")
         left = hot.tag(left, domain, key).withColumn(_PIECE, spread).drop(_PIECES)
         right = (
             hot.tag(right, domain, key)
@@ -168,14 +200,43 @@ def lookup(
     return joined.drop(_PIECE)
 
 
+def split_hot(
+    df: DataFrame, key: str, hot: HotKeys, domain: str, heavy: DataFrame | None = None
+) -> Split:
+    """``df`` in two parts; ``heavy``: its rows of hot keys, where they are stored already."""
+    if not hot.has(domain):
+        return Split(df)
+    ordinary = hot.part(df, domain, key, heavy=False)
+    return Split(ordinary, hot.part(df, domain, key, heavy=True) if heavy is None else heavy)
+
+
+def by_key(
+    df: DataFrame | Split,
+    key: str,
+    hot: HotKeys,
+    domain: str,
+    plain: Callable[[DataFrame], DataFrame],
+    spread: Callable[[DataFrame], DataFrame],
+) -> DataFrame | Split:
+    """``plain`` on rows of ordinary keys, ``spread`` on rows of hot ones; returns what it was given."""
+    split = df if isinstance(df, Split) else split_hot(df, key, hot, domain)
+    heavy = None if split.heavy is None else spread(split.heavy)
+    done = Split(plain(split.ordinary), heavy)
+    return done if isinstance(df, Split) else done.rows()
+
+
+def each_row(df: DataFrame | Split, step: Callable[[DataFrame], DataFrame]) -> DataFrame | Split:
+    return df.map(step) if isinstance(df, Split) else step(df)
+
+
 def total_over(
-    df: DataFrame,
+    df: DataFrame | Split,
     keys: list[str],
     totals: Mapping[str, Column],
     hot: HotKeys = NO_HOT_KEYS,
     domain: str = "",
     hot_on: str | None = None,
-) -> DataFrame:
+) -> DataFrame | Split:
     """Add aggregates over all rows with the same ``keys``; NULL keys are one group.
 
     Ordinary keys: a window, which needs one shuffle and reads the input once. Hot keys:
@@ -186,28 +247,16 @@ def total_over(
         w = Window.partitionBy(*keys)
         return rows.withColumns({name: agg.over(w) for name, agg in totals.items()})
 
-    if not hot.has(domain):
-        return plain(df)
-    key = hot_on or keys[0]
-    ordinary, heavy = split_hot(df, key, hot, domain)
-    grouped = heavy.groupBy(*keys).agg(*[agg.alias(name) for name, agg in totals.items()])
-    joined = lookup(heavy, grouped, keys, hot, domain, hot_on, null_safe=True)
-    return plain(ordinary).unionByName(joined)
-
+    def spread(rows: DataFrame) -> DataFrame:
+        grouped = rows.groupBy(*keys).agg(*[agg.alias(name) for name, agg in totals.items()])
+        return lookup(rows, grouped, keys, hot, domain, hot_on, null_safe=True)
 
-def co_locate(df: DataFrame, key: str, hot: HotKeys, domain: str) -> DataFrame:
-    """Bring equal keys together once, so that following steps on the key need no shuffle.
+    return by_key(df, hot_on or keys[0], hot, domain, plain, spread)
 
-    With hot keys this would be the mistake to avoid, so the rows stay where they are.
-    """
-    return df if hot.has(domain) else df.repartition(key)
 
+def co_locate(split: Split, key: str) -> Split:
+    """Bring equal ordinary keys together once, so that following steps on the key need no shuffle.
 
-def split_hot(
-    df: DataFrame, key: str, hot: HotKeys, domain: str
-) -> tuple[DataFrame, DataFrame]:
-    """(rows of ordinary keys, rows of hot keys); both read the stored rows."""
-    tagged = hot.tag(hot.keep(df), domain, key)
-    ordinary = tagged.filter(F.col(_PIECES).isNull()).drop(_PIECES)
-    heavy = tagged.filter(F.col(_PIECES).isNotNull()).drop(_PIECES)
-    return ordinary, heavy
+    For hot keys this would be the mistake to avoid, so their rows stay where they are.
+    """
+    return Split(split.ordinary.repartition(key), split.heavy)

@@ -28,9 +28,9 @@ def build_daily(inputs: BookingsInputs, as_of: datetime, path: str, folder: str)
     spark = inputs.spark
     storage = Storage(spark, folder)
     try:
-        pipeline = BookingsPipeline(inputs, storage).prepare()
-        write_bookings(pipeline.line_item_bookings, path)
-        checked = pipeline.quality_of(spark.read.parquet(path))
+        pipeline = BookingsPipeline(inputs, storage).prepare("bookings_quality")
+        written = write_bookings(pipeline.line_item_bookings, path)
+        checked = pipeline.quality_of(spark.read.parquet(written))
         # A row for each check.
         return spark.createDataFrame(checked.collect(), checked.schema)
     finally:

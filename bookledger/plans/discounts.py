@@ -12,21 +12,21 @@ from bookledger import fixed_values as fv
 from bookledger.config import BookingsConfig
 from bookledger.functions import AMOUNT, div0, signed, sum_money, to_local, ts
 from bookledger.operators.history import add_validity, keep_changes
-from bookledger.operators.skew import HotKeys, co_locate, lookup, total_over
+from bookledger.operators.skew import HotKeys, Split, co_locate, lookup, split_hot, total_over
 from bookledger.plans.lines import BOOKING_KEYS, FPA
 
 RAW_FPA = "paid_at_pt"
 TIES = ["discount_hist_id"]
 
 
-def discount_changes(
+def discount_versions(
     discount_hist: DataFrame,
     fpa: DataFrame,
     line_item_hierarchy: DataFrame,
     config: BookingsConfig,
     hot: HotKeys,
 ) -> DataFrame:
-    """Discount versions that changed the cancelled status or the amount.
+    """Discount versions with their invoice's FPA and their cart line.
 
     ``paid_at_pt`` is the invoice's FPA or NULL; the other FPA column is open-ended instead.
     """
@@ -49,7 +49,7 @@ def discount_changes(
         hot,
         "line_item",
     )
-    versions = versions.select(
+    return versions.select(
         "discount_hist_id",
         "discount_id",
         "line_item_id",
@@ -74,6 +74,10 @@ def discount_changes(
             "discount_created_date_pt": F.col("discount_created_at_pt").cast("date"),
         }
     )
+
+
+def discount_changes(versions: DataFrame | Split, hot: HotKeys) -> DataFrame | Split:
+    """The versions that changed the cancelled status or the amount."""
     # Status and amount are not defaulted here, unlike a line item's.
     return keep_changes(
         versions,
@@ -88,7 +92,7 @@ def discount_changes(
     )
 
 
-def discount_intervals(changes: DataFrame, hot: HotKeys) -> DataFrame:
+def discount_intervals(changes: DataFrame | Split, hot: HotKeys) -> DataFrame | Split:
     return add_validity(
         changes,
         "discount_id",
@@ -185,7 +189,7 @@ def line_item_discounts(
     )
 
 
-def invoice_discounts(classified: DataFrame, hot: HotKeys) -> DataFrame:
+def invoice_discounts(classified: DataFrame, hot: HotKeys) -> Split:
     """Discounts on whole invoices, per invoice, update time and apply type.
 
     ``share_of_additional`` tells which part of the invoice's discounts after the FPA the
@@ -198,29 +202,36 @@ def invoice_discounts(classified: DataFrame, hot: HotKeys) -> DataFrame:
         F.lit(0).cast(AMOUNT)
     )
     on_invoice = _booked(classified).filter(F.col("line_item_id").isNull())
-    grouped = (
-        co_locate(on_invoice, "invoice_id", hot, "invoice")
-        .groupBy(
+
+    def summed(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(
             "invoice_id",
             F.col(RAW_FPA).alias(FPA),
             "discount_hist_updated_at_pt",
             "discount_apply_type_id",
             "is_after_fpa_date",
-        )
-        .agg(
+        ).agg(
             sum_money(F.when(after, given_back).otherwise(effect)).alias(
                 "gbnf_discount_amount"
             ),
             sum_money(effect).alias("nbnf_discount_amount"),
             sum_money(F.when(after, amount)).alias("_unsigned"),
         )
-    )
+
+    by_invoice = co_locate(split_hot(on_invoice, "invoice_id", hot, "invoice"), "invoice_id")
     grouped = total_over(
-        grouped, ["invoice_id"], {"_invoice_unsigned": F.sum("_unsigned")}, hot, "invoice"
+        by_invoice.map(summed),
+        ["invoice_id"],
+        {"_invoice_unsigned": F.sum("_unsigned")},
+        hot,
+        "invoice",
+    )
+    share = F.when(after, div0(F.col("_unsigned"), F.col("_invoice_unsigned")))
+    return grouped.map(
+        lambda rows: rows.withColumn("share_of_additional", share).drop(
+            "_unsigned", "_invoice_unsigned"
+        )
     )
-    return grouped.withColumn(
-        "share_of_additional", F.when(after, div0(F.col("_unsigned"), F.col("_invoice_unsigned")))
-    ).drop("_unsigned", "_invoice_unsigned")
 
 
 def initial_invoice_discounts(discounts: DataFrame) -> DataFrame:

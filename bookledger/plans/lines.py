@@ -9,7 +9,7 @@ from bookledger import fixed_values as fv
 from bookledger.config import BookingsConfig
 from bookledger.functions import AMOUNT, greatest_strict, signed, sum_money, to_local, ts
 from bookledger.operators.history import add_validity, keep_changes
-from bookledger.operators.skew import HotKeys, co_locate, lookup, total_over
+from bookledger.operators.skew import HotKeys, Split, co_locate, each_row, lookup, total_over
 
 FPA = "invoice_first_payment_approved_at_pt"
 VERSION_TIES = ["line_item_hist_id"]
@@ -30,14 +30,14 @@ BOOKING_KEYS = [
 ]
 
 
-def line_item_changes(
+def line_item_versions(
     line_item_hist: DataFrame,
     fpa: DataFrame,
     price_point: DataFrame,
     config: BookingsConfig,
     hot: HotKeys,
 ) -> DataFrame:
-    """Line item versions that changed the cancelled status or the price.
+    """Line item versions, and what their invoice says about them.
 
     The invoice's cutoff separates initial from later bookings: its FPA, but never before
     its earliest update, and open-ended without an FPA.
@@ -65,7 +65,7 @@ def line_item_changes(
         "price_point",
     )
     first_update = F.coalesce("_invoice_first_update", ts(fv.OPEN_START))
-    versions = versions.select(
+    return versions.select(
         "line_item_hist_id",
         "line_item_id",
         "invoice_id",
@@ -105,8 +105,12 @@ def line_item_changes(
         "source_user_id",
         "source_system",
     )
+
+
+def line_item_changes(versions: DataFrame | Split, hot: HotKeys) -> DataFrame | Split:
+    """The versions that changed the cancelled status or the price."""
     # The previous status and price are the raw ones: a NULL before means "keep the row".
-    return keep_changes(
+    changes = keep_changes(
         versions,
         "line_item_id",
         ["record_updated_at_pt", *VERSION_TIES],
@@ -116,10 +120,11 @@ def line_item_changes(
         },
         hot,
         "line_item",
-    ).drop("_raw_status", "_raw_amount")
+    )
+    return each_row(changes, lambda rows: rows.drop("_raw_status", "_raw_amount"))
 
 
-def line_item_intervals(changes: DataFrame, hot: HotKeys) -> DataFrame:
+def line_item_intervals(changes: DataFrame | Split, hot: HotKeys) -> DataFrame | Split:
     """Validity of each remaining version; it ends when the next remaining one starts."""
     return add_validity(
         changes,
@@ -187,17 +192,50 @@ def invoice_level_totals(classified: DataFrame) -> DataFrame:
     )
 
 
-def line_item_bookings(classified: DataFrame, hot: HotKeys) -> DataFrame:
+#: What bookings need to know about a version.
+BOOKED_FROM = [
+    "invoice_id",
+    "line_item_id",
+    "user_id",
+    "workspace_id",
+    FPA,
+    "cart_line_item_id",
+    "subscription_id",
+    "price_point_id",
+    "record_updated_at_pt",
+    "record_updated_date_pt",
+    "amount",
+    "extended_price_without_ff",
+    "is_filing_fee",
+    "is_cancelled",
+    "is_initial_line_item",
+    "is_counted_in_initial_gbnf",
+    "is_after_fpa_date",
+]
+
+
+def line_item_bookings(classified: Split, hot: HotKeys) -> DataFrame:
     """Bookings of line items, before and after the cutoff, in one aggregation.
 
+    classified: versions, parted by invoice.
+
     Day totals come from a window over the same rows instead of a join with a second copy.
     Gross amounts are zero on days on which more was cancelled than added.
     """
     totals = _day_totals()
-    rows = co_locate(classified, "invoice_id", hot, "invoice")
     rows = total_over(
-        rows, ["invoice_id", "record_updated_date_pt"], totals, hot, "invoice", "invoice_id"
+        co_locate(classified, "invoice_id"),
+        ["invoice_id", "record_updated_date_pt"],
+        totals,
+        hot,
+        "invoice",
+        "invoice_id",
     )
+    return rows.map(_booked).rows()
+
+
+def _booked(rows: DataFrame) -> DataFrame:
+    totals = _day_totals()
     has_day = F.col("invoice_id").isNotNull() & F.col("record_updated_date_pt").isNotNull()
     rows = rows.withColumns({name: F.when(has_day, F.col(name).cast(AMOUNT)) for name in totals})
 

@@ -1,9 +1,10 @@
 """All stages of the booking ledger, wired together.
 
-Each property is one stage: a plan, built when first asked for, without running anything. Three
-results are read by several stages: the classified discounts, the filled bookings and the
-discounts on invoices. ``prepare`` is the step that runs jobs: it looks for hot keys and
-stores those results for the stages to come. Without it, stages compute them again.
+Each property is one stage: a plan, built when first asked for, without running anything. Some
+results are read by several stages: the classified discounts, the filled bookings, the
+discounts on invoices, and the grouped ledger. ``prepare`` is the step that runs jobs: it looks for hot keys,
+stores the rows of hot keys where a stage parts its input, and stores those results for the stages to come.
+Without it, stages compute them again.
 """
 
 from __future__ import annotations
@@ -17,7 +18,14 @@ from pyspark.sql import functions as F
 from bookledger.config import BookingsConfig
 from bookledger.functions import surrogate_key, timestamp_text
 from bookledger.operators.ordered import fill_nearest
-from bookledger.operators.skew import NO_HOT_KEYS, HotKeys, listed_hot_keys, lookup
+from bookledger.operators.skew import (
+    NO_HOT_KEYS,
+    HotKeys,
+    Split,
+    listed_hot_keys,
+    lookup,
+    split_hot,
+)
 from bookledger.plans import allocation, checks, credits, discounts, lines, payments, volume
 from bookledger.plans.lines import FPA
 from bookledger.sources.inputs import BookingsInputs
@@ -67,19 +75,36 @@ def fill_order(has_user: str) -> list[str]:
     return ["booking_at_pt", has_user, *volume.BOOKING_ORDER[1:]]
 
 
-# Stages that read line items and their discounts together, and stages that read the filled bookings.
-_READ_DISCOUNTS = ("combined_bookings", "fill_line_item_dimensions")
+_VOLUMES = ("volume_eligibility", "gross_order_item_volume", "gross_order_volume")
+_LEDGER = ("line_item_bookings", "bookings_quality")
+# Stages that read the filled bookings, stages before them, and what needs no hot keys.
 _READ_BOOKINGS = (
     "item_allocation_percentages",
     "allocate_initial_invoice_discounts",
     "allocate_additional_invoice_discounts",
     "all_bookings",
     "bookings_grouped",
-    "volume_eligibility",
-    "gross_order_item_volume",
-    "gross_order_volume",
-    "line_item_bookings",
-    "bookings_quality",
+    *_VOLUMES,
+    *_LEDGER,
+)
+_COMBINED = ("combined_bookings", "fill_line_item_dimensions", *_READ_BOOKINGS)
+_BOOKED = ("initial_line_item_bookings", "additional_line_item_bookings", *_COMBINED)
+_VERSIONS = (
+    "line_item_changes",
+    "line_item_intervals",
+    "classify_line_items",
+    "invoice_level_totals",
+    *_BOOKED,
+)
+_DISCOUNTS = (
+    "discount_changes",
+    "discount_intervals",
+    "classify_discounts",
+    "initial_line_item_discounts",
+    "additional_line_item_discounts",
+    "initial_invoice_discounts",
+    "additional_invoice_discounts",
+    *_COMBINED,
 )
 _NO_HOT_KEYS_NEEDED = (
     "first_payment_approved",
@@ -89,39 +114,95 @@ _NO_HOT_KEYS_NEEDED = (
 
 
 class BookingsPipeline:
+    # Where a table is parted into rows of ordinary and of hot keys: (key, domain).
+    PARTED = {
+        "_versions": ("line_item_id", "line_item"),
+        "_booked_versions": ("invoice_id", "invoice"),
+        "_discount_versions": ("discount_id", "discount"),
+        "_combined_rows": ("line_item_id", "line_item"),
+        "_counted": ("invoice_id", "invoice"),
+    }
+
     def __init__(self, inputs: BookingsInputs, storage: Storage | None = None):
         self.inputs = inputs
         self.config: BookingsConfig = inputs.config
         self.storage = storage
         self.hot: HotKeys = NO_HOT_KEYS
         self._shared: dict[str, DataFrame] = {}
+        self._heavy: dict[str, DataFrame] = {}
 
     def prepare(self, stage: str = "line_item_bookings") -> BookingsPipeline:
         """Run what ``stage`` wants to be known or stored beforehand; call it before any stage."""
         if self.storage is None:
             raise ValueError("preparing a run needs a folder for intermediate tables")
-        keep = self.storage.keep
         if stage not in _NO_HOT_KEYS_NEEDED:
-            self.hot = self.inputs.measure(keep)
-        if stage in _READ_DISCOUNTS or stage in _READ_BOOKINGS:
-            self._shared["discounts"] = keep(self._discounts)
+            self.hot = self.inputs.measure(self.storage.keep)
+        if stage in _VERSIONS:
+            self._keep_heavy("_versions")
+        if stage in _BOOKED:
+            self._keep_heavy("_booked_versions")
+        if stage in _DISCOUNTS:
+            self._keep_heavy("_discount_versions")
+        if stage in _COMBINED:
+            self._keep_shared("discounts", self._discounts)
+        if stage == "fill_line_item_dimensions" or stage in _READ_BOOKINGS:
+            self._keep_heavy("_combined_rows")
         if stage in _READ_BOOKINGS:
-            self._shared["bookings"] = keep(self._filled_bookings)
-            self._shared["invoice_discounts"] = keep(self._discounts_on_invoices)
+            self._keep_shared("bookings", self._filled_bookings, by_invoice=True)
+            self._keep_shared("invoice_discounts", self._discounts_on_invoices, by_invoice=True)
             self._find_large_products()
+        if stage == "bookings_quality":
+            self._keep_shared("allocated", self._allocated.rows(), by_invoice=True)
+        if stage in _VOLUMES or stage in _LEDGER:
+            self._keep_ledger()
+        if stage == "gross_order_volume" or stage in _LEDGER:
+            self._keep_heavy("_counted")
         return self
 
+    def _forget_plans(self) -> None:
+        """Plans are built anew, on what has been stored since."""
+        for name in [n for n in self.__dict__ if isinstance(getattr(type(self), n, None), cached_property)]:
+            del self.__dict__[name]
+
+    def _keep_shared(self, name: str, df: DataFrame, by_invoice: bool = False) -> None:
+        """``by_invoice``: what reads it works by invoice. A hot invoice would be one bucket, so it has none then."""
+        if by_invoice and not self.hot.has("invoice"):
+            self._shared[name] = self.storage.keep_in_buckets(df, "invoice_id")
+        else:
+            self._shared[name] = self.storage.keep(df)
+        self._forget_plans()
+
+    def _keep_ledger(self) -> None:
+        numbered = self.bookings_by_key.withColumn(volume.ROW_NUMBER, F.monotonically_increasing_id())
+        self._shared["ledger"] = self.storage.keep_in_buckets(numbered, volume.ROW_KEY)
+        self._forget_plans()
+
+    def _keep_heavy(self, name: str) -> None:
+        """Stores rows of hot keys, and only those, where their plans will read them more than once."""
+        key, domain = self.PARTED[name]
+        if self.hot.has(domain):
+            heavy = self.hot.part(getattr(self, name), domain, key, heavy=True)
+            self._heavy[name] = self.storage.keep(heavy)
+            self._forget_plans()
+
+    def _parted(self, name: str) -> Split:
+        key, domain = self.PARTED[name]
+        return split_hot(getattr(self, name), key, self.hot, domain, self._heavy.get(name))
+
+    def _by_invoice(self, name: str, df: DataFrame) -> Split:
+        """A shared result parted by invoice; it is stored, or computed for each part."""
+        return split_hot(self._shared.get(name, df), "invoice_id", self.hot, "invoice")
+
     def _find_large_products(self) -> None:
         """Invoices with few rows in every input may still make many rows when discounts are allocated."""
         bookings, discounts = self._shared["bookings"], self._shared["invoice_discounts"]
         limit, keep = self.config.max_rows_per_task, self.storage.keep
-        # Row counts of stored tables come from the file footers.
-        if bookings.count() * discounts.count() <= limit:
+        if allocation.largest_products(bookings, discounts) <= limit:
             return
         invoices, lines = allocation.product_sizes(bookings, discounts)
-        self.hot = self.hot.merge(
-            listed_hot_keys({"invoice": invoices, "line_item": lines}, limit, keep)
-        )
+        found = listed_hot_keys({"invoice": invoices, "line_item": lines}, limit, keep)
+        self.hot = self.hot.merge(found, keep)
+        self._forget_plans()
 
     # -- payments --------------------------------------------------------------------------
 
@@ -136,8 +217,8 @@ class BookingsPipeline:
     # -- line items ------------------------------------------------------------------------
 
     @cached_property
-    def line_item_changes(self) -> DataFrame:
-        return lines.line_item_changes(
+    def _versions(self) -> DataFrame:
+        return lines.line_item_versions(
             self.inputs["line_item_hist"],
             self.first_payment_approved,
             self.inputs["price_point"],
@@ -145,9 +226,17 @@ class BookingsPipeline:
             self.hot,
         )
 
+    @cached_property
+    def _changes(self) -> Split:
+        return lines.line_item_changes(self._parted("_versions"), self.hot)
+
+    @cached_property
+    def line_item_changes(self) -> DataFrame:
+        return self._changes.rows()
+
     @cached_property
     def line_item_intervals(self) -> DataFrame:
-        return lines.line_item_intervals(self.line_item_changes, self.hot)
+        return lines.line_item_intervals(self._changes, self.hot).rows()
 
     @cached_property
     def classify_line_items(self) -> DataFrame:
@@ -157,9 +246,13 @@ class BookingsPipeline:
     def invoice_level_totals(self) -> DataFrame:
         return lines.invoice_level_totals(self.classify_line_items)
 
+    @cached_property
+    def _booked_versions(self) -> DataFrame:
+        return self.classify_line_items.select(*lines.BOOKED_FROM)
+
     @cached_property
     def _line_item_bookings(self) -> DataFrame:
-        return lines.line_item_bookings(self.classify_line_items, self.hot)
+        return lines.line_item_bookings(self._parted("_booked_versions"), self.hot)
 
     @cached_property
     def initial_line_item_bookings(self) -> DataFrame:
@@ -172,8 +265,8 @@ class BookingsPipeline:
     # -- discounts -------------------------------------------------------------------------
 
     @cached_property
-    def discount_changes(self) -> DataFrame:
-        return discounts.discount_changes(
+    def _discount_versions(self) -> DataFrame:
+        return discounts.discount_versions(
             self.inputs["discount_hist"],
             self.first_payment_approved,
             self.inputs["line_item_hierarchy"],
@@ -181,9 +274,17 @@ class BookingsPipeline:
             self.hot,
         )
 
+    @cached_property
+    def _discount_changes(self) -> Split:
+        return discounts.discount_changes(self._parted("_discount_versions"), self.hot)
+
+    @cached_property
+    def discount_changes(self) -> DataFrame:
+        return self._discount_changes.rows()
+
     @cached_property
     def discount_intervals(self) -> DataFrame:
-        return discounts.discount_intervals(self.discount_changes, self.hot)
+        return discounts.discount_intervals(self._discount_changes, self.hot).rows()
 
     @cached_property
     def classify_discounts(self) -> DataFrame:
@@ -222,21 +323,22 @@ class BookingsPipeline:
 
     @property
     def _discounts_on_invoices(self) -> DataFrame:
-        return discounts.invoice_discounts(self._discounts, self.hot)
+        return discounts.invoice_discounts(self._discounts, self.hot).rows()
 
     @property
-    def _invoice_discounts(self) -> DataFrame:
-        stored = self._shared.get("invoice_discounts")
-        return stored if stored is not None else self._discounts_on_invoices
+    def _invoice_discounts(self) -> Split:
+        if "invoice_discounts" in self._shared:
+            return self._by_invoice("invoice_discounts", self._shared["invoice_discounts"])
+        return discounts.invoice_discounts(self._discounts, self.hot)
 
     @cached_property
     def initial_invoice_discounts(self) -> DataFrame:
-        rows = discounts.invoice_discounts(self.classify_discounts, self.hot)
+        rows = discounts.invoice_discounts(self.classify_discounts, self.hot).rows()
         return discounts.initial_invoice_discounts(rows)
 
     @cached_property
     def additional_invoice_discounts(self) -> DataFrame:
-        rows = discounts.invoice_discounts(self.classify_discounts, self.hot)
+        rows = discounts.invoice_discounts(self.classify_discounts, self.hot).rows()
         return discounts.additional_invoice_discounts(rows)
 
     # -- line items and their discounts ----------------------------------------------------
@@ -252,20 +354,18 @@ class BookingsPipeline:
         return self._filled_bookings
 
     @cached_property
-    def _filled_bookings(self) -> DataFrame:
-        rows = self.combined_bookings.withColumn("_no_user", F.col("user_id").isNull())
+    def _combined_rows(self) -> DataFrame:
         # The order reads columns that get filled, so it works on copies.
         ordered = {f"_by_{c}": F.col(c) for c in DIMENSIONS}
+        return self.combined_bookings.withColumns({"_no_user": F.col("user_id").isNull(), **ordered})
+
+    @cached_property
+    def _filled_bookings(self) -> DataFrame:
         order = [f"_by_{c}" if c in DIMENSIONS else c for c in fill_order("_no_user")]
         filled = fill_nearest(
-            rows.withColumns(ordered),
-            "line_item_id",
-            order,
-            DIMENSIONS,
-            self.hot,
-            "line_item",
+            self._parted("_combined_rows"), "line_item_id", order, DIMENSIONS, self.hot, "line_item"
         )
-        return filled.select(*BOOKING_COLUMNS)
+        return filled.rows().select(*BOOKING_COLUMNS)
 
     @property
     def _bookings(self) -> DataFrame:
@@ -275,29 +375,36 @@ class BookingsPipeline:
     # -- invoice discounts -----------------------------------------------------------------
 
     @cached_property
-    def item_allocation_percentages(self) -> DataFrame:
-        return allocation.item_allocation_percentages(
-            self._bookings,
+    def _items(self) -> Split:
+        """Shares of line items, parted by invoice like all that is made of them."""
+        items = allocation.item_sums(
+            self._by_invoice("bookings", self._bookings),
             self._invoice_discounts,
             self.inputs["product_price_point"],
-            self.config,
             self.hot,
         )
+        return allocation.item_allocation_percentages(items, self.config, self.hot)
 
     @cached_property
-    def _allocated(self) -> DataFrame:
+    def item_allocation_percentages(self) -> DataFrame:
+        return self._items.rows()
+
+    @cached_property
+    def _allocated(self) -> Split:
+        if "allocated" in self._shared:
+            return self._by_invoice("allocated", self._shared["allocated"])
         return allocation.allocated_invoice_discounts(
-            self.item_allocation_percentages, self._invoice_discounts, self.config, self.hot
+            self._items, self._invoice_discounts, self.config, self.hot
         )
 
     @cached_property
     def allocate_initial_invoice_discounts(self) -> DataFrame:
-        rows = self._allocated.filter(~F.col("is_after_fpa_date"))
+        rows = self._allocated.rows().filter(~F.col("is_after_fpa_date"))
         return allocation.with_metrics(rows).drop("is_after_fpa_date")
 
     @cached_property
     def allocate_additional_invoice_discounts(self) -> DataFrame:
-        rows = self._allocated.filter("is_after_fpa_date")
+        rows = self._allocated.rows().filter("is_after_fpa_date")
         return allocation.with_metrics(rows).drop("is_after_fpa_date")
 
     # -- credits ---------------------------------------------------------------------------
@@ -316,57 +423,102 @@ class BookingsPipeline:
     # -- the ledger ------------------------------------------------------------------------
 
     @cached_property
-    def _union(self) -> DataFrame:
-        return volume.union_of_bookings(
-            [self._bookings, self.store_credit_bookings], self._allocated
+    def all_bookings(self) -> DataFrame:
+        union = volume.union_of_bookings(
+            [self._bookings, self.store_credit_bookings], self._allocated.rows()
         )
+        return volume.all_bookings(union)
 
     @cached_property
-    def all_bookings(self) -> DataFrame:
-        return volume.all_bookings(self._union)
+    def bookings_by_key(self) -> DataFrame:
+        """The grouped ledger with its row key, in two phases.
+
+        What lies by invoice already is summed where it is; the sums of all parts meet by row key.
+        """
+        own, spread = self._bookings, self._allocated
+        if "bookings" in self._shared and not self.hot.has("invoice"):
+            own = volume.combined(own.select(*volume.GROUP_KEYS, *volume.SUMMED))
+        parts = volume.union_of_bookings([own, self.store_credit_bookings], spread.rows())
+        return volume.bookings_grouped(parts)
 
     @cached_property
     def bookings_grouped(self) -> DataFrame:
-        return volume.bookings_grouped(self._union, self.hot)
+        return self.bookings_by_key.drop(volume.ROW_KEY)
+
+    @property
+    def _late(self) -> bool:
+        """Whether the ledger is stored, so that its counters need not carry it along."""
+        return "ledger" in self._shared
+
+    @property
+    def _order(self) -> list[str]:
+        return volume.NARROW_ORDER if self._late else volume.BOOKING_ORDER
+
+    def _with_bookings(self, rows: DataFrame, columns: list[str]) -> DataFrame:
+        """Whole bookings with ``columns`` of rows that are narrow, if the ledger is stored."""
+        if self._late:
+            return volume.with_bookings(rows, self._shared["ledger"], columns)
+        return rows
 
     @cached_property
-    def volume_eligibility(self) -> DataFrame:
+    def _eligible(self) -> Split:
+        if self._late:
+            rows = volume.narrow(self._shared["ledger"])
+        else:
+            rows = volume.with_order_flag(self.bookings_grouped)
         return volume.volume_eligibility(
-            self.bookings_grouped, self.inputs["product_price_point"], self.config, self.hot
+            rows, self.inputs["product_price_point"], self.config, self.hot, self._order
         )
 
     @cached_property
-    def _items_counted(self) -> DataFrame:
-        return volume.gross_order_item_volume(self.volume_eligibility, self.hot)
+    def volume_eligibility(self) -> DataFrame:
+        return self._with_bookings(self._eligible.rows(), volume.ELIGIBILITY)
+
+    @cached_property
+    def _counted(self) -> DataFrame:
+        """Bookings, or their row keys, with the counters by line item."""
+        rows = volume.gross_order_item_volume(self._eligible, self.hot, self._order).rows()
+        if not self._late:
+            return rows
+        keys = (volume.ROW_KEY, volume.ROW_NUMBER, "invoice_id", "line_item_id")
+        return rows.select(*keys, *volume.ELIGIBILITY, *volume.COUNTED)
 
     @cached_property
     def gross_order_item_volume(self) -> DataFrame:
-        return self._items_counted.drop("is_first_order_booking")
+        rows = self._with_bookings(self._counted, [*volume.ELIGIBILITY, volume.COUNTED[0]])
+        return rows.drop(volume.COUNTED[1])
+
+    @cached_property
+    def _orders(self) -> Split:
+        return volume.gross_order_volume(self._parted("_counted"), self.hot)
 
     @cached_property
     def gross_order_volume(self) -> DataFrame:
-        return volume.gross_order_volume(self._items_counted, self.hot)
+        columns = [*volume.ELIGIBILITY, volume.COUNTED[0], "gross_order_volume"]
+        return self._with_bookings(self._orders.rows(), columns)
 
     @cached_property
     def line_item_bookings(self) -> DataFrame:
         """The result: one row per booking, with its id, counters and lineage."""
-        # Line items are joined while rows still lie by line item; what follows is by invoice.
+        third_party = "invoice_has_third_party_gateway_payment"
+        gateways = self.third_party_payment_invoices.select("invoice_id", third_party)
+        orders = self._orders
+        # Where rows lie by invoice, they meet the invoices' payments.
+        rows = Split(
+            lookup(orders.ordinary, gateways, ["invoice_id"]),
+            None
+            if orders.heavy is None
+            else lookup(orders.heavy, gateways, ["invoice_id"], self.hot, "invoice"),
+        ).rows()
         rows = lookup(
-            self._items_counted,
+            rows,
             self.inputs["line_item"].select("line_item_id", *LINEAGE),
             ["line_item_id"],
             self.hot,
             "line_item",
         )
-        rows = volume.gross_order_volume(rows, self.hot)
-        third_party = "invoice_has_third_party_gateway_payment"
-        rows = lookup(
-            rows,
-            self.third_party_payment_invoices.select("invoice_id", third_party),
-            ["invoice_id"],
-            self.hot,
-            "invoice",
-        )
+        added = ["gross_order_volume", "gross_order_item_volume", third_party, *LINEAGE]
+        rows = self._with_bookings(rows, added)
 
         def money(name: str):
             return F.col(name).cast("decimal(15,2)").alias(name)
@@ -417,7 +569,7 @@ class BookingsPipeline:
     def quality_of(self, bookings: DataFrame) -> DataFrame:
         """The quality checks for bookings that may have been written already."""
         return checks.bookings_quality(
-            self.inputs, bookings, self._allocated, self._invoice_discounts, self.config
+            self.inputs, bookings, self._allocated.rows(), self._invoice_discounts.rows(), self.config
         )
 
 

@@ -30,30 +30,62 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     files.delete(folder, True)
 
 
-def write_bookings(bookings: DataFrame, path: str) -> None:
-    """Replace the bookings at ``path``: parquet, one folder per Pacific booking date.
+VERSIONS, POINTERS = "versions", "published"
+#: The published version and the one before it stay, so that a reader of the latter can finish.
+KEPT_VERSIONS = 2
 
-    The new bookings are written beside the old ones and take their place when they are
-    complete, so a run that fails leaves the old ones as they were.
+
+def _published(spark: SparkSession, path: str) -> dict[int, str]:
+    """Pointer number -> version folder, of all pointers below ``path``."""
+    files, folder = _file_system(spark, f"{path.rstrip('/')}/{POINTERS}")
+    if not files.exists(folder):
+        return {}
+    # Of writers that met, which both made this number, the last name counts for every reader.
+    names = sorted(s.getPath().getName() for s in files.listStatus(folder))
+    found = (re.fullmatch(r"([0-9]{12})-([0-9a-f]{32})", name) for name in names)
+    return {int(m[1]): f"{path.rstrip('/')}/{VERSIONS}/{m[2]}" for m in found if m}
+
+
+def published_folder(spark: SparkSession, path: str) -> str:
+    """The folder of the bookings that are published at ``path``."""
+    found = _published(spark, path)
+    if not found:
+        raise FileNotFoundError(f"no bookings are published at {path}")
+    return found[max(found)]
+
+
+def read_bookings(spark: SparkSession, path: str) -> DataFrame:
+    """The bookings that are published at ``path``: always one whole version."""
+    return spark.read.parquet(published_folder(spark, path))
+
+
+def write_bookings(bookings: DataFrame, path: str) -> str:
+    """Publish a new version of the bookings at ``path``; returns its folder.
+
+    A version is a folder of parquet, one folder per Pacific booking date in it. When it is complete, one object is
+    made whose name says its number and folder; readers take the object with the highest number. Making one empty object is
+    atomic on object stores and file systems alike, and nothing is renamed, so at any time a reader sees
+    one whole version, and a writer that fails or is killed leaves the published one. Versions before the last but
+    one are removed.
     """
     spark = bookings.sparkSession
-    new, old = (f"{path.rstrip('/')}.{kind}-{uuid.uuid4().hex}" for kind in ("new", "old"))
+    base, version = path.rstrip("/"), uuid.uuid4().hex
+    folder = f"{base}/{VERSIONS}/{version}"
     try:
-        _by_booking_date(bookings).write.partitionBy(BOOKING_DATE).parquet(new)
+        _by_booking_date(bookings).write.partitionBy(BOOKING_DATE).parquet(folder)
     except Exception:
-        remove_folder(spark, new)
+        remove_folder(spark, folder)
         raise
-    files, target = _file_system(spark, path)
-    fresh, previous = _file_system(spark, new)[1], _file_system(spark, old)[1]
-    had_bookings = files.exists(target)
-    if had_bookings and not files.rename(target, previous):
-        raise OSError(f"cannot set {path} aside; the new bookings are at {new}")
-    if not files.rename(fresh, target):
-        if had_bookings:
-            files.rename(previous, target)
-        raise OSError(f"cannot move {new} to {path}")
-    if had_bookings:
-        files.delete(previous, True)
+    earlier = _published(spark, path)
+    number = max(earlier, default=0) + 1
+    files, pointer = _file_system(spark, f"{base}/{POINTERS}/{number:012d}-{version}")
+    files.create(pointer, False).close()
+    for old in sorted(earlier)[: max(0, len(earlier) + 1 - KEPT_VERSIONS)]:
+        gone = earlier[old]
+        # The pointer first: nobody finds a version that is being removed.
+        remove_folder(spark, f"{base}/{POINTERS}/{old:012d}-{gone.rpartition('/')[2]}")
+        remove_folder(spark, gone)
+    return folder
 
 
 def save_bookings_table(bookings: DataFrame, table: str) -> None:
@@ -101,6 +133,7 @@ class Storage:
         self.spark = spark
         self.root = f"{folder.rstrip('/')}/bookledger-{uuid.uuid4().hex}"
         self._kept = 0
+        self._tables: list[str] = []
 
     def keep(self, df: DataFrame) -> DataFrame:
         self._kept += 1
@@ -108,5 +141,21 @@ class Storage:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def keep_in_buckets(self, df: DataFrame, key: str) -> DataFrame:
+        """As ``keep``, but the table is known to lie by ``key``: what works by it reads without a shuffle.
+
+        There are as many buckets as shuffles have partitions. The key must not be skewed.
+        """
+        self._kept += 1
+        name = f"bookledger_{uuid.uuid4().hex}"
+        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        writer = df.repartition(buckets, key).write.bucketBy(buckets, key)
+        writer.option("path", f"{self.root}/{self._kept:03d}").saveAsTable(name)
+        self._tables.append(name)
+        return self.spark.table(name)
+
     def remove(self) -> None:
+        for name in self._tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self._tables.clear()
         remove_folder(self.spark, self.root)

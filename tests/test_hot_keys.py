@@ -14,9 +14,11 @@ from bookledger.operators.ordered import fill_nearest, first_where, last_by_grou
 from bookledger.operators.skew import (
     NO_HOT_KEYS,
     HotKeys,
+    Split,
     listed_hot_keys,
     lookup,
     measure_hot_keys,
+    split_hot,
     total_over,
 )
 from bookledger.plans.pipeline import BookingsPipeline
@@ -100,10 +102,35 @@ def test_measuring_has_no_single_task(spark, skewed):
     assert "SinglePartition" not in plan and "partial_count" in plan
 
 
-def test_hot_keys_need_a_folder(spark, hot, skewed):
-    bare = HotKeys(hot.tables, 50)
-    with pytest.raises(ValueError, match="folder"):
-        total_over(skewed, ["key"], {"n": F.count(F.lit(1))}, bare, DOMAIN)
+def test_a_pair_goes_from_operator_to_operator(skewed, hot):
+    """What was parted stays parted, and the rows are those of one table that is parted at each step."""
+    pair = split_hot(skewed, "key", hot, DOMAIN)
+    assert {r["key"] for r in pair.heavy.collect()} == {1, None}
+    assert not {1, None} & {r["key"] for r in pair.ordinary.collect()}
+    steps = total_over(pair, ["key"], {"n": F.count(F.lit(1))}, hot, DOMAIN)
+    steps = neighbours(steps, "key", ["at", "id"], {"before": "value"}, {"after": "at"}, hot, DOMAIN)
+    steps = first_where(steps, "key", ["at", "id"], {"first": "flag"}, hot, DOMAIN)
+    assert isinstance(steps, Split)
+    plain = total_over(skewed, ["key"], {"n": F.count(F.lit(1))})
+    plain = neighbours(plain, "key", ["at", "id"], {"before": "value"}, {"after": "at"})
+    assert rows_of(steps.rows()) == rows_of(first_where(plain, "key", ["at", "id"], {"first": "flag"}))
+    assert split_hot(skewed, "key", NO_HOT_KEYS, DOMAIN).heavy is None
+
+
+def test_equal_rows_are_spread(spark, skewed, hot):
+    """Rows that are equal in every column lie in as many pieces as they come from partitions."""
+    rows = spark.range(400).repartition(8).select(F.lit(1).alias("key"))
+    listed_keys = measure_hot_keys({DOMAIN: [(rows, "key")]}, 50, lambda df: df)
+    right = spark.createDataFrame([(1, "one")], "key int, name string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = lookup(rows, right, ["key"], listed_keys, DOMAIN)
+        counts = [r["count"] for r in joined.groupBy(F.spark_partition_id().alias("t")).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sum(counts) == 400 and len(counts) > 1
 
 
 def test_runs_of_a_hot_key_follow_its_size(spark, keep):
@@ -248,30 +275,119 @@ def test_merged_rows_add_up(spark, keep):
 
     a = listed_hot_keys({"x": known([(1, 20), (2, 50), (3, 4)])}, 10, keep)
     b = listed_hot_keys({"x": known([(1, 70)]), "y": known([(None, 30)])}, 10, keep)
-    merged = a.merge(b)
+    merged = a.merge(b, keep)
     assert listed(merged, "x") == {1: 90, 2: 50} and listed(merged, "y") == {None: 30}
-    assert listed(NO_HOT_KEYS.merge(b), "x") == {1: 70}
+    assert listed(NO_HOT_KEYS.merge(b, keep), "x") == {1: 70}
 
 
 HOT_STAGES = (
     "line_item_changes",
+    "line_item_intervals",
+    "initial_line_item_bookings",
+    "additional_line_item_bookings",
     "classify_discounts",
+    "initial_invoice_discounts",
     "additional_invoice_discounts",
+    "fill_line_item_dimensions",
+    "item_allocation_percentages",
+    "allocate_initial_invoice_discounts",
+    "allocate_additional_invoice_discounts",
+    "store_credit_bookings",
     "bookings_grouped",
+    "volume_eligibility",
+    "gross_order_item_volume",
+    "gross_order_volume",
     "line_item_bookings",
+    "bookings_quality",
 )
 
 
+def hot_run(spark, storage):
+    """A dozen keys of every domain, and NULL, are said to be hot, in more than one piece each."""
+    invoices = driver_inputs(spark, SMALL)["line_item_hist"].select("invoice_id", "line_item_id", "price_point_id")
+
+    def some(column):
+        counts = invoices.groupBy(column).count().orderBy(F.desc("count"), column).limit(12)
+        null = spark.range(1).select(F.lit(None).cast("long"), F.lit(3).cast("long"))
+        listed_rows = counts.select(F.col(column).alias("_hot_key"), F.col("count").alias("_hot_rows")).union(null)
+        return storage.keep(listed_rows)
+
+    tables = {"invoice": some("invoice_id"), "line_item": some("line_item_id"), "price_point": some("price_point_id")}
+    inputs = driver_inputs(spark, SMALL)
+    inputs._given_hot_keys = HotKeys(tables, 2).with_domain("discount", "line_item").counted()
+    return BookingsPipeline(inputs, storage)
+
+
+class Counted(Storage):
+    """Notes what is kept."""
+
+    def __init__(self, spark, folder):
+        super().__init__(spark, folder)
+        self.kept = []
+
+    def keep(self, df):
+        self.kept.append(super().keep(df))
+        return self.kept[-1]
+
+    def keep_in_buckets(self, df, key):
+        self.kept.append(super().keep_in_buckets(df, key))
+        return self.kept[-1]
+
+
+@pytest.fixture(scope="module")
+def whole_runs(spark, tmp_path_factory):
+    """A run without and a run with hot keys, prepared once for all stages."""
+    folders = {name: Counted(spark, str(tmp_path_factory.mktemp(name))) for name in ("plain", "hot")}
+    made = {
+        "plain": BookingsPipeline(driver_inputs(spark, SMALL), folders["plain"]),
+        "hot": hot_run(spark, folders["hot"]),
+    }
+    for run in made.values():
+        run.prepare("bookings_quality")
+    assert not made["plain"].hot.tables
+    assert {"invoice", "price_point", "line_item", "discount"} <= set(made["hot"].hot.tables)
+    return made
+
+
 @pytest.mark.parametrize("stage", HOT_STAGES)
-def test_pipeline_with_hot_keys_gives_the_same(spark, tmp_path, stage):
-    plain = BookingsPipeline(driver_inputs(spark, SMALL), Storage(spark, str(tmp_path)))
-    assert not plain.prepare(stage).hot.tables
-    # Dozens of hot keys in every domain.
+def test_pipeline_with_hot_keys_gives_the_same(whole_runs, stage):
+    kept = {name: len(run.storage.kept) for name, run in whole_runs.items()}
+    found = {name: getattr(run, stage) for name, run in whole_runs.items()}
+    assert rows_of(found["hot"]) == rows_of(found["plain"])
+    # Asking for a stage stores nothing.
+    assert {name: len(run.storage.kept) for name, run in whole_runs.items()} == kept
+
+
+def test_measured_hot_keys_give_the_same(spark, tmp_path, whole_runs):
+    """Dozens of invoices and price points are above a low limit."""
     config = BookingsConfig(max_rows_per_task=18)
-    skewed = BookingsPipeline(driver_inputs(spark, SMALL, config), Storage(spark, str(tmp_path)))
-    skewed.prepare(stage)
-    assert {"invoice", "price_point"} <= set(skewed.hot.tables)
-    assert rows_of(getattr(skewed, stage)) == rows_of(getattr(plain, stage))
+    run = BookingsPipeline(driver_inputs(spark, SMALL, config), Storage(spark, str(tmp_path)))
+    run.prepare("line_item_bookings")
+    assert {"invoice", "price_point"} <= set(run.hot.tables)
+    assert rows_of(run.line_item_bookings) == rows_of(whole_runs["plain"].line_item_bookings)
+
+
+@pytest.mark.parametrize("stage", ["line_item_changes", "fill_line_item_dimensions", "gross_order_volume"])
+def test_a_run_prepared_for_one_stage(spark, tmp_path, whole_runs, stage):
+    run = hot_run(spark, Storage(spark, str(tmp_path)))
+    assert rows_of(getattr(run.prepare(stage), stage)) == rows_of(getattr(whole_runs["plain"], stage))
+
+
+def test_only_shared_tables_key_lists_and_hot_rows_are_kept(spark, tmp_path):
+    """With hot keys a run writes no other table than without them, but for lists and rows of hot keys."""
+    run = hot_run(spark, Counted(spark, str(tmp_path)))
+    run.prepare()
+    shared = {id(df) for df in run._shared.values()}
+    assert set(run._shared) == {"discounts", "bookings", "invoice_discounts", "ledger"}
+    assert set(run._heavy) == set(run.PARTED)
+    others = [df for df in run.storage.kept if id(df) not in shared | {id(df) for df in run._heavy.values()}]
+    assert all(df.columns == ["_hot_key", "_hot_rows"] for df in others)
+    for name, df in run._heavy.items():
+        key, domain = run.PARTED[name]
+        keys = {r[0] for r in run.hot.tables[domain].select("_hot_key").collect()}
+        assert {r[0] for r in df.select(key).distinct().collect()} <= keys
+        # And no row of an ordinary key.
+        assert df.count() < getattr(run, name).count()
 
 
 def two_price_points(spark, config):
@@ -310,7 +426,7 @@ def test_invoice_whose_discounts_multiply_is_hot(spark, tmp_path):
     assert listed(made.hot, "invoice")[1] >= 400
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        tasks = made._allocated.groupBy(F.spark_partition_id().alias("t")).count().collect()
+        tasks = made._allocated.rows().groupBy(F.spark_partition_id().alias("t")).count().collect()
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
     assert sum(r["count"] for r in tasks) == 400 and max(r["count"] for r in tasks) < 400

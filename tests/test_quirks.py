@@ -202,7 +202,7 @@ def test_q20_mixed_signs_are_labelled_uncancelled(spark):
 
 def test_q20_sign_test_prefers_uncancelled(spark):
     from bookledger.config import BookingsConfig
-    from bookledger.operators.skew import NO_HOT_KEYS
+    from bookledger.operators.skew import NO_HOT_KEYS, Split
     from bookledger.plans.allocation import ITEM_KEYS, allocated_invoice_discounts
 
     item = {k: 1 for k in ITEM_KEYS}
@@ -223,7 +223,9 @@ def test_q20_sign_test_prefers_uncancelled(spark):
         "discount_hist_updated_at_pt timestamp_ntz, discount_apply_type_id int, "
         "is_after_fpa_date boolean, share_of_additional decimal(16,8)",
     )
-    got = allocated_invoice_discounts(percentages, discounts, BookingsConfig(), NO_HOT_KEYS)
+    got = allocated_invoice_discounts(
+        Split(percentages), Split(discounts), BookingsConfig(), NO_HOT_KEYS
+    ).rows()
     assert rows(got, "is_after_fpa_date", "booking_category_detail", "booking_category") == [
         (False, fv.INITIAL_INVOICE_DISCOUNT_BEFORE, fv.INVOICE_LEVEL_DISCOUNT),
         # After the FPA a negative gross with a positive net has no detail.

@@ -80,9 +80,10 @@ def test_bookings_are_written_by_booking_date(spark, tmp_path):
     )
     path = str(tmp_path / "bookings")
     for _ in range(2):  # the second run replaces the first
-        sinks.write_bookings(p.line_item_bookings, path)
-    assert spark.read.parquet(path).count() == 2
-    days = {f.split("=")[-1] for f in glob.glob(path + "/booking_date_pt=*")}
+        folder = sinks.write_bookings(p.line_item_bookings, path)
+    assert sinks.published_folder(spark, path) == folder
+    assert sinks.read_bookings(spark, path).count() == 2
+    days = {f.split("=")[-1] for f in glob.glob(folder + "/booking_date_pt=*")}
     assert days == {"2024-01-09", "2024-01-14"}
 
 
@@ -91,12 +92,71 @@ def test_a_failed_write_leaves_the_old_bookings(spark, tmp_path):
 
     p = pipeline(spark, payment_hist=[payment_hist()], line_item_hist=[line(1, at(0))])
     path = str(tmp_path / "bookings")
-    sinks.write_bookings(p.line_item_bookings, path)
+    folder = sinks.write_bookings(p.line_item_bookings, path)
     bad = p.line_item_bookings.withColumn("nb", F.raise_error(F.lit("broken")).cast("decimal(15,2)"))
     with pytest.raises(PySparkException):
         sinks.write_bookings(bad, path)
-    assert spark.read.parquet(path).count() == 1
-    assert [f.name for f in tmp_path.iterdir() if not f.name.startswith(".")] == ["bookings"]
+    assert sinks.published_folder(spark, path) == folder
+    assert sinks.read_bookings(spark, path).count() == 1
+    assert glob.glob(path + "/versions/*") == [folder]
+
+
+def test_a_killed_writer_leaves_the_old_bookings(spark, tmp_path):
+    """It has written its rows, or some of them, but no pointer."""
+    path = str(tmp_path / "bookings")
+    p = pipeline(spark, payment_hist=[payment_hist()], line_item_hist=[line(1, at(0))])
+    sinks.write_bookings(p.line_item_bookings, path)
+    p.line_item_bookings.limit(0).write.parquet(f"{path}/versions/{'0' * 32}")
+    assert sinks.read_bookings(spark, path).count() == 1
+
+
+def test_nothing_is_published_at_first(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        sinks.read_bookings(spark, str(tmp_path / "none"))
+
+
+def test_old_versions_go_and_the_last_but_one_stays(spark, tmp_path):
+    path = str(tmp_path / "bookings")
+    p = pipeline(spark, payment_hist=[payment_hist()], line_item_hist=[line(1, at(0))])
+    folders = [sinks.write_bookings(p.line_item_bookings, path) for _ in range(3)]
+    assert sorted(glob.glob(path + "/versions/*")) == sorted(folders[1:])
+    assert len(glob.glob(path + "/published/*")) == 2
+
+
+def test_readers_see_whole_versions_while_versions_change(spark, tmp_path):
+    """A reader in a loop, during a dozen switches between versions of one and of three rows."""
+    from threading import Event, Thread
+
+    path = str(tmp_path / "bookings")
+    sizes = (1, 3)
+    made = [
+        pipeline(
+            spark, payment_hist=[payment_hist()],
+            line_item_hist=[line(k, at(k), amount=k + 1) for k in range(n)],
+        ).line_item_bookings
+        for n in sizes
+    ]
+    storage = sinks.Storage(spark, str(tmp_path))
+    made = [storage.keep(df.coalesce(1)) for df in made]
+    sinks.write_bookings(made[0], path)
+    done, seen, failed = Event(), set(), []
+
+    def read():
+        while not done.is_set():
+            try:
+                seen.add(sinks.read_bookings(spark, path).count())
+            except Exception as e:  # noqa: BLE001
+                failed.append(e)
+
+    reader = Thread(target=read)
+    reader.start()
+    try:
+        for i in range(1, 13):
+            sinks.write_bookings(made[i % 2], path)
+    finally:
+        done.set()
+        reader.join()
+    assert not failed and seen == set(sizes)
 
 
 def test_bookings_table_is_replaced(spark):
@@ -159,5 +219,5 @@ def test_daily_build_needs_todays_data(spark, tmp_path):
         p.inputs, datetime(2024, 1, 30, 8, 15), path, str(tmp_path / "shared")
     ).collect()
     assert {r["failures"] for r in failures} == {0}
-    assert spark.read.parquet(path).count() == 1
+    assert sinks.read_bookings(spark, path).count() == 1
     assert not list((tmp_path / "shared").glob("bookledger-*"))
