@@ -6,6 +6,7 @@ import json
 import re
 import unicodedata
 from collections.abc import Iterable, Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -15,11 +16,14 @@ from pyspark.sql import functions as F
 END_OF_WORD = "</w>"
 #: No mergeable pair.
 NONE = np.iinfo(np.int64).max
-#: Cells of one batch of trees, and words that a task remembers.
-CELLS = 1 << 20
-REMEMBERED = 400_000
+#: Cells of one batch of trees. A cell takes about 60 bytes.
+CELLS = 1 << 17
+#: Bytes that the remembered words of a task may take.
+REMEMBERED = 16_000_000
+#: What a remembered word takes besides its characters and ids: the text object, its place in a table, two numbers.
+WORD_BYTES = 160
 #: Characters of text that are encoded at once; a longer text is one piece of work by itself.
-CHUNK = 2_000_000
+CHUNK = 400_000
 
 
 def byte_characters() -> list[str]:
@@ -128,8 +132,6 @@ class WordBpe:
     """
 
     def __init__(self, path: str) -> None:
-        from tokenizers import Tokenizer
-
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         model = spec["model"]
@@ -165,22 +167,29 @@ class WordBpe:
         # version doesn't know may be letters in the file's library: texts with them are split by
         # the library itself.
         self.plain: set[str] = set()
-        self.library = Tokenizer.from_file(path)
+        self.path = path
         self._forget()
 
+    @cached_property
+    def library(self):
+        """The file's own library, a second copy of the tables; loaded only for texts that need it."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     def _forget(self) -> None:
         self.known: dict[str, int] = {}
-        self.starts, self.lengths = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        self.starts, self.lengths = np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int32)
         self.ids = np.zeros(0, dtype=np.int32)
-        for token, number in self.added.items():
-            self._remember([token], np.array([1]), np.array([number]))
+        self.taken = 0
+        self._remember(list(self.added), [np.ones(len(self.added))], [np.array([*self.added.values()])])
 
-    def _remember(self, words: list[str], lengths: np.ndarray, ids: np.ndarray) -> None:
-        starts = len(self.ids) + np.concatenate(([0], np.cumsum(lengths)[:-1]))
+    def _remember(self, words: list[str], lengths: list[np.ndarray], ids: list[np.ndarray]) -> None:
         self.known.update(zip(words, range(len(self.lengths), len(self.lengths) + len(words)), strict=True))
-        self.starts = np.concatenate([self.starts, starts])
-        self.lengths = np.concatenate([self.lengths, lengths])
-        self.ids = np.concatenate([self.ids, ids.astype(np.int32)])
+        self.lengths = np.concatenate([self.lengths, *lengths], dtype=np.int32, casting="unsafe")
+        self.ids = np.concatenate([self.ids, *ids], dtype=np.int32, casting="unsafe")
+        self.starts = np.concatenate([[0], np.cumsum(self.lengths[:-1], dtype=np.int32)], dtype=np.int32) if words else self.starts
+        self.taken += sum(WORD_BYTES + 4 * len(w) for w in words)
 
     def _is_plain(self, text: str) -> bool:
         new = set(text).difference(self.plain)
@@ -210,6 +219,7 @@ class WordBpe:
         ends = np.cumsum(sizes)
         symbols = self.inner[flat]
         symbols[ends - 1] = self.last[flat[ends - 1]]
+        done: tuple[list[str], list, list] = ([], [], [])
         width_of = 1 << np.ceil(np.log2(np.maximum(sizes, 1))).astype(np.int64)
         for width in np.unique(width_of):
             chosen = np.flatnonzero(width_of == width)
@@ -226,14 +236,18 @@ class WordBpe:
                     rows = np.take_along_axis(rows, order, axis=1)
                 merged = self.merges.apply(rows)
                 left = merged >= 0
-                self._remember([words[k] for k in some], left.sum(axis=1), merged[left])
+                done[0].extend(words[k] for k in some)
+                done[1].append(left.sum(axis=1))
+                done[2].append(merged[left].astype(np.int32))
+        self._remember(*done)
 
     def encode_batch(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Offsets (one more than texts) into the ids of all texts, and those ids."""
         listed = [self.words(t) for t in texts]
         every = [w for words in listed for w in words]
         new = set(every).difference(self.known)
-        if len(self.known) + len(new) > REMEMBERED:
+        if new and self.taken > REMEMBERED:
+            # What this batch needs is encoded again; the rest had its use.
             self._forget()
             new = set(every).difference(self.known)
         if new:
