@@ -40,27 +40,36 @@ BOILER_NAMES = frozenset(
 #: Names and tags of page parts that inside an article hold its title.
 HEADERS = frozenset(["header", "masthead"])
 ARTICLE_NAMES = frozenset("article content main post entry story body text maincontent".split())
+COMMENT_NAMES = frozenset("comment comments reply replies respond disqus".split())
+#: A class that begins with one of these says how a page is laid out, not what an element is; the others say where it stands.
+LAYOUT = frozenset("no not has with without is js".split())
+POSITIONS = frozenset("inner outer wrapper wrap container box left right top bottom area section block list item".split())
 
 TOKEN = re.compile(
     r"<!--(?P<comment>.*?)(?:-->|\Z)"
-    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attributes>(?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?P<end>>|\Z)"
+    # A quote opens a value only behind an equals sign; elsewhere it is a character like others.
+    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)"
+    r"(?P<attributes>(?:[^>=]|=\s*(?:\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z)|[^\s>\"'][^\s>]*)?)*+)(?P<end>>|\Z)"
     r"|<[!?/][^>]*(?:>|\Z)",
     re.S,
 )
-ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+ATTRIBUTE = re.compile(r"([^\s=/>]+)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s>]+)))?")
 NAME = re.compile(r"[a-z]+|[A-Z][a-z]*|[A-Z]+(?![a-z])")
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 
 
+#: What the nearest element that says so makes of a block: (part of) a menu, notice, advert and the like; nothing;
+#: named like an article; an article.
+BOILER, UNMARKED, NAMED, ARTICLE = -1, 0, 1, 2
+
+
 @dataclass
 class Block:
     """Text without line breaks, and what is known about its place."""
 
     parts: list[str] = field(default_factory=list)
     link_parts: list[str] = field(default_factory=list)
-    boiler: bool = False
-    article: bool = False
-    named: bool = False
+    mark: int = UNMARKED
     heading: bool = False
     keep: str | None = None
     text: str = ""
@@ -68,13 +77,12 @@ class Block:
 
 @dataclass(frozen=True)
 class Place:
-    """An open element, with what it inherits."""
+    """An open element, with what it inherits. ``closed``: not even an article in it is the page's article."""
 
     tag: str
     skipped: bool = False
-    boiler: bool = False
-    article: bool = False
-    named: bool = False
+    mark: int = UNMARKED
+    closed: bool = False
     heading: bool = False
     keep: str | None = None
 
@@ -83,23 +91,51 @@ def _attributes(text: str) -> dict[str, str]:
     return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(text)}
 
 
+def _says(name: str, words: frozenset[str]) -> bool:
+    """Whether a class or id is about one of ``words``: short ones by any part, long ones by what they end in."""
+    parts = [p.lower() for p in NAME.findall(name)]
+    if not parts or parts[0] in LAYOUT:
+        return False
+    while len(parts) > 1 and parts[-1] in POSITIONS:
+        parts.pop()
+    return bool(words & set(parts if len(parts) <= 2 else parts[-1:]))
+
+
+def _mark(place: Place, tag: str, given: dict[str, str]) -> tuple[int, bool]:
+    """Mark and ``closed`` of an element: its own tag, role or name, else what it inherits.
+
+    An article counts inside a form or a part that is only named like a menu, which may wrap a whole page; not
+    inside menus, footers and the like, or readers' comments.
+    """
+    names = [*given.get("class", "").split(), given.get("id", "")]
+    role = given.get("role", "").lower()
+    about = lambda words: any(_says(n, words) for n in names)
+    if place.closed or tag in ("html", "body"):
+        return place.mark, place.closed
+    if tag in ARTICLE_TAGS or role == "main":
+        # An article element may be a reader's comment; its name says so.
+        return (BOILER, True) if tag == "article" and about(COMMENT_NAMES) else (ARTICLE, False)
+    if (tag in BOILER_TAGS and tag != "form") or role in BOILER_ROLES - {"form"} or about(COMMENT_NAMES):
+        return BOILER, True
+    if tag == "form" or role == "form" or about(BOILER_NAMES - HEADERS):
+        return BOILER, False
+    # The header of an article is its title.
+    if place.mark != ARTICLE and (tag == "header" or about(HEADERS)):
+        return BOILER, False
+    if place.mark == UNMARKED and about(ARTICLE_NAMES):
+        return NAMED, False
+    return place.mark, False
+
+
 def _enter(place: Place, tag: str, text: str) -> Place:
     given = _attributes(text) if text.strip() else {}
-    names = {n.lower() for n in NAME.findall(f"{given.get('class', '')} {given.get('id', '')}")}
-    boiler = place.boiler or tag in BOILER_TAGS or given.get("role", "").lower() in BOILER_ROLES
-    article = place.article or tag in ARTICLE_TAGS or given.get("role", "").lower() == "main"
-    if tag not in ("html", "body", "main"):
-        # An article element may be a reader's comment; its name says so.
-        boiler = boiler or bool(names & (BOILER_NAMES - HEADERS))
-        if not place.article:
-            boiler = boiler or tag == "header" or bool(names & HEADERS)
+    mark, closed = _mark(place, tag, given)
     hidden = "hidden" in given or given.get("aria-hidden") == "true" or bool(HIDDEN.search(given.get("style", "")))
     return Place(
         tag,
         place.skipped or tag in SKIPPED or hidden,
-        boiler,
-        article,
-        place.named or bool(names & ARTICLE_NAMES),
+        mark,
+        closed,
         tag in ("h1", "h2", "h3", "h4", "h5", "h6"),
         given.get("data-keep", place.keep),
     )
@@ -122,7 +158,7 @@ def blocks(page: str) -> list[Block]:
                 if not text.strip():
                     return
                 p = stack[-1]
-                block = Block(boiler=p.boiler, article=p.article, named=p.named, heading=p.heading, keep=p.keep)
+                block = Block(mark=p.mark, heading=p.heading, keep=p.keep)
             block.parts.append(text)
             if link:
                 block.link_parts.append(text)
@@ -187,7 +223,7 @@ def blocks(page: str) -> list[Block]:
 
 
 FEATURES = (
-    "boiler", "article", "named", "heading", "words", "link_density", "previous_words", "previous_link_density",
+    "mark", "heading", "words", "link_density", "previous_words", "previous_link_density",
     "next_words", "next_link_density",
 )
 
@@ -199,7 +235,7 @@ def features(listed: list[Block]) -> np.ndarray:
     density = np.minimum(1.0, linked / np.maximum(1.0, words))
     around = lambda x: (np.concatenate(([0.0], x[:-1])), np.concatenate((x[1:], [0.0])))
     (before, after), (before_density, after_density) = around(words), around(density)
-    own = np.array([[b.boiler, b.article, b.named, b.heading] for b in listed], dtype=np.float64).reshape(-1, 4)
+    own = np.array([[b.mark, b.heading] for b in listed], dtype=np.float64).reshape(-1, 2)
     return np.column_stack([own, words, density, before, before_density, after, after_density])
 
 

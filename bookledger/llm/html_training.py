@@ -2,13 +2,19 @@
 
 Invented pages; ``data-keep`` marks the blocks below an element as main text (1) or not (0). They show
 marked-up articles, articles in plain containers, short and link-rich paragraphs inside articles, and
-menus, headers, footers, sidebars, notices, adverts, forms and reader comments in and around them.
+menus, headers, footers, sidebars, notices, adverts, forms and reader comments in and around them. Where
+nothing marks the article, or a name holds text and link lists alike, words and links of a block and its neighbours
+tell them apart.
 """
 
 LONG = "The committee met again on Tuesday to look at the figures for the year, and after some hours it agreed on a plan that nobody had asked for but most could accept. "
 MID = "A second reading is planned for the spring, if the members find the time. "
 SHORT = "So it was."
 
+#: Links of as many words as a paragraph, and a few words among them.
+BAR = "<a href=1>Ten ways to plan a walk in the rain</a> <a href=2>Why the figures of the year may lie</a> <a href=3>What the committee said</a>"
+LIST = "<a href=4>The old town from above and below</a> <a href=5>A letter to all the members of the club</a>"
+
 PAGES = (
     f"""<body><nav data-keep=0><ul><li><a href=/>Home</a></li><li><a href=/n>News of the day</a></li></ul></nav>
     <div class=ad data-keep=0>Buy now. The best shoes of the season at half price for you.</div>
@@ -50,4 +56,21 @@ PAGES = (
     f"<p data-keep=1>{LONG}</p>",
     f"<body><div data-keep=0><a href=a>One</a><a href=b>Two</a></div><div data-keep=1>{LONG}<p>{MID}</p><p>{LONG}</p></div>"
     "<div data-keep=0><a href=c>Three</a> Four</div></body>",
+    # Long bars of links without a name, words beside them, and short paragraphs beside long ones.
+    f"<body><div data-keep=0>{BAR}</div><p data-keep=0>Most read this week</p><div data-keep=0>{LIST}</div>"
+    f"<p data-keep=1>{LONG}</p><p data-keep=1>{SHORT}</p><p data-keep=1>{MID}</p><p data-keep=1>{SHORT}</p><p data-keep=1>{LONG}{MID}</p>"
+    f"<div data-keep=0>{LIST}</div><p data-keep=0>More of this</p><div data-keep=0>{BAR}</div></body>",
+    f"<body><div data-keep=0>{LIST}</div><p data-keep=0>Topics of the day</p><div data-keep=0>{BAR}</div><div data-keep=0>{LIST}</div>"
+    f"<h2 data-keep=1>What was agreed on</h2><p data-keep=1>{MID}</p><p data-keep=1>{MID}</p><p data-keep=1>{SHORT}</p><p data-keep=1>{LONG}</p></body>",
+    f"<body><div data-keep=0>{LIST}</div><p data-keep=1>{MID}</p><p data-keep=1>{LONG}</p><p data-keep=1>{MID}</p><div data-keep=0>{BAR}</div>"
+    f"<p data-keep=0>See also</p><div data-keep=0>{LIST}</div><p data-keep=1>{LONG}</p><p data-keep=1>{MID}</p><div data-keep=0>{LIST}</div>"
+    f"<p data-keep=0>Sections</p><div data-keep=0>{BAR}</div></body>",
+    # Names that mislead: lists of links named like an article, and an article below a name about the page's layout.
+    f"<body><div class=content><div data-keep=0>{BAR}</div><p data-keep=0>Also of interest</p><div data-keep=0>{LIST}</div>"
+    f"<p data-keep=1>{LONG}</p><p data-keep=1>{SHORT}</p><p data-keep=1>{MID}</p></div></body>",
+    f"<body><div id=main><ul><li data-keep=0>{LIST}</li><li data-keep=0>Archive</li><li data-keep=0>{BAR}</li></ul>"
+    f"<p data-keep=1>{MID}</p><p data-keep=1>{SHORT}</p><p data-keep=1>{LONG}</p><div data-keep=0>{BAR}</div><p data-keep=0>Tags</p><div data-keep=0>{LIST}</div></div></body>",
+    f"<body><div class='page has-sidebar'><div class='content no-sidebar' data-keep=1><p>{LONG}</p><p>{SHORT}</p><p>{LONG}</p></div>"
+    f"<div class=sidebar data-keep=0><p>{LONG}</p><p>{MID}</p></div></div></body>",
+    f"<body><form id=pageForm><article class='post share-prices-rise' data-keep=1><h1>Shares</h1><p>{LONG}</p><p>{BAR}</p><p>{SHORT}</p></article></form></body>",
 )

@@ -3,7 +3,20 @@
 import numpy as np
 import pytest
 
-from bookledger.llm.html_blocks import Leaf, Split, blocks, extract_text, features, grow, judge, main_text, trained_tree
+from bookledger.llm.html_blocks import (
+    FEATURES,
+    TOKEN,
+    Leaf,
+    Split,
+    _attributes,
+    blocks,
+    extract_text,
+    features,
+    grow,
+    judge,
+    main_text,
+    trained_tree,
+)
 from bookledger.llm.html_training import PAGES
 
 TREE = trained_tree()
@@ -42,10 +55,66 @@ def test_blocks(page, expected):
 
 def test_features_hold_the_neighbours():
     rows = features(blocks("<p>one two <a>three four</a></p><nav>five</nav><h2>six seven</h2>"))
-    words, density, before, after = rows[:, 4], rows[:, 5], rows[:, 6], rows[:, 8]
-    assert words.tolist() == [4, 1, 2] and density.tolist() == [0.5, 0, 0]
-    assert before.tolist() == [0, 4, 1] and after.tolist() == [1, 2, 0]
-    assert rows[:, 0].tolist() == [0, 1, 0] and rows[:, 3].tolist() == [0, 0, 1]
+    at = {name: rows[:, i].tolist() for i, name in enumerate(FEATURES)}
+    assert at["words"] == [4, 1, 2] and at["link_density"] == [0.5, 0, 0]
+    assert at["previous_words"] == [0, 4, 1] and at["next_words"] == [1, 2, 0]
+    assert at["previous_link_density"] == [0, 0.5, 0] and at["next_link_density"] == [0, 0, 0]
+    assert at["mark"] == [0, -1, 0] and at["heading"] == [0, 0, 1]
+
+
+def used(tree):
+    return {FEATURES[tree.feature]} | used(tree.low) | used(tree.high) if isinstance(tree, Split) else set()
+
+
+def test_links_and_neighbours_decide():
+    """Words and link density of a block and of its neighbours stand in the tree, besides the mark."""
+    assert {"mark", "words", "link_density"} <= used(TREE)
+    assert used(TREE) & {"previous_link_density", "next_link_density"}
+
+
+KEPT = [
+    "<div class='site has-sidebar'><article>{}</article></div>",
+    "<div class='content no-sidebar'>{}</div>",
+    "<article class='post share-prices-rise'>{}</article>",
+    "<form id='aspnetForm'><article>{}</article></form>",
+    "<article><div title=it's>{}</div></article>",
+    "<div class=header-page><main>{}</main></div>",
+    "<article data-x='a\"b' \" class=post>{}</article>",
+    "<div class='sidebar-layout'><article>{}</article></div>",
+]
+
+
+@pytest.mark.parametrize("container", KEPT)
+def test_articles_are_not_lost(container):
+    inside = f"<h1>Title of it</h1><p>{LONG}</p><p>{LONG}{LONG}</p><p>{LONG}</p>"
+    assert main_text(f"<html><body>{container.format(inside)}</body></html>", TREE) == "\n\n".join(texts(inside))
+
+
+LINKS = "<div><a href=/a>One of the many things to read</a> <a href=/b>Another of the many things to read</a> <a href=/c>A third</a></div>"
+
+
+@pytest.mark.parametrize("container", ["{}", "<div class=content>{}</div>", "<div>{}</div>"])
+def test_unnamed_links_go_by_their_density(container):
+    """A plain reading of pages without an article element: paragraphs stay, bars of links and words between them go."""
+    paragraphs = [LONG.strip(), "So be it.", f"{LONG}{LONG}".strip(), LONG.strip()]
+    page = LINKS + "<p>Read this</p>" + LINKS + "".join(f"<p>{p}</p>" for p in paragraphs) + LINKS + "<p>And this</p>" + LINKS
+    assert main_text(f"<body>{container.format(page)}</body>", TREE) == "\n\n".join(paragraphs)
+
+
+@pytest.mark.parametrize(
+    ("tag", "expected"),
+    [
+        ("<p title=it's>", {"title": "it's"}),
+        ("<p class='a b' id=\"c\">", {"class": "a b", "id": "c"}),
+        ("<p x' y\" z>", {"x'": "", 'y"': "", "z": ""}),
+        ("<p a = 'b>c' d>", {"a": "b>c", "d": ""}),
+        ("<p a=>", {"a": ""}),
+    ],
+)
+def test_attributes(tag, expected):
+    found = TOKEN.match(tag + "text")
+    assert found["end"] == ">" and found.end() == len(tag)
+    assert _attributes(found["attributes"]) == expected
 
 
 def test_tree_learns_what_it_is_shown():
