@@ -41,11 +41,14 @@ def phrases(items: DataFrame, window: int = WINDOW) -> DataFrame:
 def build_index(docs: DataFrame, terms: DataFrame | None = None) -> DataFrame:
     """Postings ``doc_id, pos, term`` of all words, or of the words in ``terms`` (column ``term``).
 
-    Every document also has a posting of ``END`` at its number of words. Rows with equal id
-    are one document.
+    Every document also has a posting of ``END`` at its number of words, which carries what ``docs`` has as
+    ``own_id``, if anything. Rows with equal id are one document.
     """
     listed = F.concat(words(F.col("text")), F.array(F.lit(END)))
-    postings = docs.select(F.col("doc_id").alias("doc_id"), F.posexplode(listed).alias("pos", "term"))
+    own = ["own_id"] if "own_id" in docs.columns else []
+    postings = docs.select("doc_id", *own, F.posexplode(listed).alias("pos", "term"))
+    if own:
+        postings = postings.withColumn("own_id", F.when(F.col("term") == END, F.col("own_id")))
     return postings if terms is None else postings.join(small(terms), "term")
 
 
@@ -106,12 +109,32 @@ def occurrences(index: DataFrame, terms: DataFrame, slop: int = 0) -> DataFrame:
     return found
 
 
-def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
+#: How far a word may stand from its place in a proximity match.
+SLOP = 2
+
+
+def _per_document(found: DataFrame, listed: DataFrame) -> DataFrame:
+    """``doc_id, items``: the sorted ids of the items that the phrases found in a document belong to."""
+    return (
+        found.select("doc_id", "phrase_id").distinct()
+        .join(listed.select("phrase_id", F.explode("items").alias("item")), "phrase_id")
+        .groupBy("doc_id")
+        .agg(F.array_sort(F.collect_set("item")).alias("items"))
+    )
+
+
+def contamination(
+    docs: DataFrame, items: DataFrame, window: int = WINDOW, row_id: str | None = None, slop: int = 0
+) -> DataFrame:
     """``doc_id, n_words, n_hit, n_items, items_sha256, contaminated`` for every document row.
 
+    With ``slop``, ``n_near`` and ``near_items`` tell how many items, and which, have a window whose words all
+    stand at most so far from their places, exact occurrences included. If a column of row keys is named, it
+    is passed on as ``row_id``.
+
     A word inside any occurrence of an item's window is hit; a document is contaminated if at least
-    one word in twenty is. Null texts have no words; rows with equal id are one document; empty
-    tables give no rows or no hits; other columns are ignored.
+    one word in twenty is. Null texts have no words; a row is a document, whether or not its id is null or
+    occurs elsewhere; empty tables give no rows or no hits; other columns are ignored.
 
     The index holds the postings of the items' words only, is written once, and everything
     else is read from it. Its rows are told apart by document and position, so no word, however
@@ -123,9 +146,13 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
         spelled.select("term").distinct().select("term", F.monotonically_increasing_id().alias("term_id"))
         .unionByName(docs.sparkSession.range(1).select(F.lit(END).alias("term"), F.lit(-1).cast("long").alias("term_id")))
     )
-    index = keep(build_index(docs, vocabulary).select("doc_id", "pos", "term_id"))
+    # Words of rows with null or equal ids don't mix: the index knows rows, and their ids only at their ends.
+    row = F.col(row_id).cast("long") if row_id else F.monotonically_increasing_id()
+    known = docs.select(F.col("doc_id").alias("own_id"), row.alias("doc_id"), F.col("text").cast("string").alias("text"))
+    index = keep(build_index(known, vocabulary).select("doc_id", "own_id", "pos", "term_id"))
     terms = spelled.join(vocabulary, "term").select("phrase_id", "offset", "term_id")
-    found = occurrences(index.where(F.col("term_id") >= 0), terms)
+    postings = index.where(F.col("term_id") >= 0).drop("own_id")
+    found = occurrences(postings, terms)
 
     held = found.join(listed.select("phrase_id", F.size("terms").alias("n")), "phrase_id")
     before = Window.partitionBy("doc_id").orderBy("start", "n").rowsBetween(Window.unboundedPreceding, -1)
@@ -136,25 +163,24 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
         .groupBy("doc_id")
         .agg(F.sum("new").alias("n_hit"))
     )
-    named = (
-        found.select("doc_id", "phrase_id").distinct()
-        .join(listed.select("phrase_id", F.explode("items").alias("item")), "phrase_id")
-        .groupBy("doc_id")
-        .agg(F.array_sort(F.collect_set("item")).alias("items"))
-    )
-    ends = index.where(F.col("term_id") < 0).select("doc_id", F.col("pos").cast("long").alias("n_words"))
-    out = (
-        ends.alias("e")
-        .join(hits.alias("h"), _same_doc("e", "h"), "left")
-        .join(named.alias("n"), _same_doc("e", "n"), "left")
-    )
+    ends = index.where(F.col("term_id") < 0).select("doc_id", "own_id", F.col("pos").cast("long").alias("n_words"))
+    out = ends.join(hits, "doc_id", "left").join(_per_document(found, listed), "doc_id", "left")
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
-    item_ids = F.coalesce("items", F.array().cast("array<string>"))
+    no_items = F.array().cast("array<string>")
+    item_ids = F.coalesce("items", no_items)
+    near = []
+    if slop:
+        close = _per_document(occurrences(postings, terms, slop), listed).withColumnRenamed("items", "near")
+        out = out.join(close, "doc_id", "left")
+        near_ids = F.coalesce("near", no_items)
+        near = [F.size(near_ids).cast("long").alias("n_near"), F.concat_ws(",", near_ids).alias("near_items")]
     return out.select(
-        "e.doc_id",
+        F.col("own_id").alias("doc_id"),
         "n_words",
         n_hit.alias("n_hit"),
         F.size(item_ids).cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", item_ids), 256).alias("items_sha256"),
         ((n_hit > 0) & (n_hit * 20 >= F.col("n_words"))).alias("contaminated"),
+        *near,
+        *([F.col("doc_id").alias("row_id")] if row_id else []),
     )

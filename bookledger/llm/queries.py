@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from bookledger.llm.bpe import encode_decode, encoding_digests
 from bookledger.llm.chat import format_conversations, read_back
 from bookledger.llm.common import shared_folder, table
-from bookledger.llm.decontaminate import contamination
+from bookledger.llm.decontaminate import SLOP, contamination
 from bookledger.llm.exact_dedup import exact_groups
 from bookledger.llm.html_blocks import extract_text
 from bookledger.llm.line_labels import line_quality
@@ -47,6 +47,12 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_proximity_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items with a window whose words all stand near their places, two words off at most."""
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), slop=SLOP)
+    return found.select("doc_id", "n_items", "n_near", "near_items")
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_spans(table(spark, sf_dir, "documents"))
 
@@ -102,6 +108,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         op1_warc,
         op2_benchmark_decontamination,
+        op2_proximity_matches,
         op3_substring_dedup,
         op4_secret_scan,
         op5_exact_dedup,

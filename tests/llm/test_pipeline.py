@@ -109,3 +109,51 @@ def test_quality_decides_by_row(spark):
     for r in out.collect():
         got.setdefault({None: "null", -1: "shared"}.get(r["doc_id"], "own"), Counter())[r["text"]] += 1
     assert got == {"own": kept, "null": kept, "shared": kept}
+
+
+def test_clashing_names_in_stored_tables(spark, tmp_path):
+    """Columns with the names of helpers, in a stored table, pass every stage and come back."""
+    long = "word " * 60_000
+    rows = [(1, None), (2, ""), (3, long), (4, "some text that is neither long nor short and ends here."), (None, "x")]
+    names = ("_number", "_pipeline_row", "_pipeline_file", "_metadata", "row_key", "row_file", "ROW_PLACE", "file_number",
+             "row_id", "dropped_row", "own_id", "file_path")
+    filled = [(*r, "en", "src", 1, *range(len(names))) for r in rows]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{n} int" for n in names)
+    path = str(tmp_path / "docs")
+    spark.createDataFrame(filled, schema).repartition(2).write.parquet(path)
+    docs = spark.read.parquet(path)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, FOLDER)
+        assert out.columns == docs.columns, name
+        kept = {tuple(r) for r in out.collect()}
+        assert kept <= set(filled) and (name == "quality" or kept)
+        assert stage(spark, docs.where("false"), FOLDER).collect() == []
+    last = corpus_pipeline.STAGES[-1][1]
+    assert last(spark, docs, FOLDER).count() == len(rows)
+    assert last(spark, docs.where("false"), FOLDER).collect() == []
+
+
+def test_keys_of_stored_rows_do_not_depend_on_how_files_are_cut(spark, tmp_path):
+    path = str(tmp_path / "docs")
+    spark.range(5000).repartition(5).write.parquet(path)
+    docs = spark.read.parquet(path)
+
+    def keys():
+        numbered, key = corpus_pipeline._numbered(docs)
+        return {r["id"]: r[key] for r in numbered.collect()}
+
+    first = keys()
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
+    try:
+        assert keys() == first
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(set(first.values())) == 5000
+
+
+def test_run_leaves_its_result_only(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(corpus_pipeline, "shared_folder", lambda _: str(tmp_path / "run"))
+    out = corpus_pipeline.run(spark, FOLDER)
+    assert [p.name for p in (tmp_path / "run").iterdir()] == ["4_bpe"]
+    assert out.count() > 0

@@ -135,6 +135,66 @@ def test_proximity_matches(spark, documents):
         assert got == near(slop), slop
 
 
+def near_items(docs, items, slop, window=13):
+    """(doc_id, ids of the items with a window near), as the operator defines it."""
+    listed = [brute._words(t) for _, t in docs]
+    counts = Counter(w for words in listed for w in words)
+    phrases = {}
+    for item, text in items:
+        words = brute._words(text)
+        for i in range(max(1, len(words) - window + 1)) if words else ():
+            phrases.setdefault(tuple(words[i : i + window]), set()).add(str(item))
+    out = []
+    for (doc_id, _), words in zip(docs, listed, strict=True):
+        places = {}
+        for at, word in enumerate(words):
+            places.setdefault(word, []).append(at)
+        found = set()
+        for terms, ids in phrases.items():
+            anchor = min(range(len(terms)), key=lambda i: (counts[terms[i]], i))
+            for at in places.get(terms[anchor], ()):
+                start = at - anchor
+                if all(
+                    any(abs(p - start - i) <= slop for p in places.get(t, ())) for i, t in enumerate(terms) if i != anchor
+                ):
+                    found |= ids
+        out.append((doc_id, ",".join(sorted(found))))
+    return out
+
+
+def test_proximity_query_equals_plain_version(spark):
+    from bookledger.llm.queries import op2_proximity_matches
+
+    folder = "/root/testdata/sf0.001"
+    docs = [tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]
+    items = [tuple(r) for r in spark.read.parquet(f"{folder}/benchmark.parquet").select("item_id", "text").collect()]
+    got = op2_proximity_matches(spark, folder).collect()
+    assert Counter((r["doc_id"], r["near_items"]) for r in got) == Counter(near_items(docs, items, decontaminate.SLOP))
+    assert all(r["n_near"] >= r["n_items"] for r in got) and any(r["n_near"] for r in got)
+
+
+def test_proximity_of_shuffled_words(spark, documents):
+    words = [f"w{i}" for i in range(13)]
+    swapped = [*words[:5], words[6], words[5], *words[7:]]
+    far = [words[12], *words[1:12], words[0]]
+    docs = [(1, " ".join(words)), (2, " ".join(swapped)), (3, " ".join(far)), (4, None), (None, " ".join(swapped)), (4, "x")]
+    items = spark.createDataFrame([(9, " ".join(words))], "item_id long, text string")
+    got = decontaminate.contamination(documents(docs), items, slop=2).collect()
+    expected = Counter({(1, 1, 1): 1, (2, 0, 1): 1, (3, 0, 0): 1, (4, 0, 0): 2, (None, 0, 1): 1})
+    assert Counter((r["doc_id"], r["n_items"], r["n_near"]) for r in got) == expected
+
+
+def test_rows_with_null_or_equal_ids_do_not_mix(spark, documents):
+    words = [f"w{i}" for i in range(13)]
+    items = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    halves = (" ".join(words[:7]), " ".join(["x"] * 7 + words[7:]))
+    for ids in ((None, None), (5, 5)):
+        got = decontaminate.contamination(documents(list(zip(ids, halves, strict=True))), items).collect()
+        assert sorted((r["doc_id"] or 0, r["n_words"], r["n_hit"], r["contaminated"]) for r in got) == [
+            (ids[0] or 0, 7, 0, False), (ids[0] or 0, 13, 0, False)
+        ]
+
+
 SECRETS = ("doc_id", "n_assign", "n_access", "n_hex", "base_sha256")
 HEX = "b7db7aa4a5fcc78305"
 
