@@ -10,7 +10,7 @@ in id and text the dedup stages leave one.
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from bookledger.llm.bpe import encode_decode, encoding_digests
@@ -20,62 +20,68 @@ from bookledger.llm.exact_dedup import exact_groups
 from bookledger.llm.quality import quality_scores
 from bookledger.llm.queries import tokenizer_path
 from bookledger.llm.simhash import near_duplicates
+from bookledger.sources.sinks import remove_folder
 
 
-#: The row key's column while a stage runs.
-ROW = "_pipeline_row"
-FILE = "_pipeline_file"
+def _free(name: str, columns: list[str]) -> str:
+    """``name``, or a longer one that no column has; Spark doesn't tell upper from lower case."""
+    taken = {c.lower() for c in columns}
+    while name in taken:
+        name += "_"
+    return name
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    """``docs`` with row keys that are the same each time they are read.
+def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with row keys that are the same each time they are read, and the column's name.
 
-    A stored table's rows are known by file and place in it. Anything else is stored with keys first.
+    Rows of stored files are known by file and place in it, however the files are cut among tasks. Their numbers
+    come from the list of files, a row each, for which no column is read. Anything else is stored with keys first.
     """
+    key, file, place, number = (_free(n, docs.columns) for n in ("row_key", "row_file", "row_place", "file_number"))
     try:
-        stored = docs._jdf.queryExecution().analyzed().children().isEmpty()
-        placed = docs.select("*", F.col("_metadata.file_path").alias(FILE), F.col("_metadata.row_index").alias(ROW))
+        where = docs.metadataColumn("_metadata")
+        path = where.getField("file_path").alias(file)
+        files = docs.select(path).distinct()
+        placed = docs.select("*", path, where.getField("row_index").alias(place))
     except AnalysisException:
-        stored = False
-    if not stored:
-        return keep(docs.withColumn(ROW, F.monotonically_increasing_id()))
-    # The driver holds the list of files anyway; a row's place in its file takes the lower 40 bits.
-    files = sorted(r[0] for r in placed.select(FILE).distinct().collect())
-    numbers = docs.sparkSession.createDataFrame(list(zip(files, range(len(files)))), f"{FILE} string, _number long")
-    row = F.shiftleft("_number", 40) + F.col(ROW)
-    return placed.join(F.broadcast(numbers), FILE).select(*docs.columns, row.alias(ROW))
+        return keep(docs.withColumn(key, F.monotonically_increasing_id())), key
+    numbers = keep(files.withColumn(number, F.row_number().over(Window.orderBy(file)).cast("long")))
+    # A row's place in its file takes the lower 40 bits.
+    row = F.shiftleft(number, 40) + F.col(place)
+    return placed.join(small(numbers), file).select(*(docs[f"`{c}`"] for c in docs.columns), row.alias(key)), key
 
 
-def _without(numbered: DataFrame, dropped: DataFrame, key: str = "row_id") -> DataFrame:
-    """The rows of ``numbered`` whose key is not in ``dropped``, without the key."""
-    rows = keep(dropped.select(F.col(key).alias("_dropped_row")))
-    return numbered.join(small(rows), numbered[ROW] == rows["_dropped_row"], "left_anti").drop(ROW)
+def _without(numbered: DataFrame, key: str, dropped: DataFrame) -> DataFrame:
+    """The rows of ``numbered`` whose key is not among ``row_id`` of ``dropped``, without the key."""
+    gone = _free("dropped_row", numbered.columns)
+    rows = keep(dropped.select(F.col("row_id").alias(gone)))
+    return numbered.join(small(rows), numbered[key] == rows[gone], "left_anti").drop(key)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that the quality classifier rejects."""
-    docs = _numbered(docs)
-    scores = quality_scores(docs, table(spark, sf_dir, "labels"), row_id=ROW)
-    return _without(docs, scores.where("predicted = 0"))
+    docs, key = _numbered(docs)
+    scores = quality_scores(docs, table(spark, sf_dir, "labels"), row_id=key)
+    return _without(docs, key, scores.where("predicted = 0"))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of equal texts."""
-    docs = _numbered(docs)
-    return _without(docs, exact_groups(docs, row_id=ROW).where("not kept"))
+    docs, key = _numbered(docs)
+    return _without(docs, key, exact_groups(docs, row_id=key).where("not kept"))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document that names its component, of each component of near-duplicates."""
-    docs = _numbered(docs)
-    return _without(docs, near_duplicates(docs, row_id=ROW).where("not kept"))
+    docs, key = _numbered(docs)
+    return _without(docs, key, near_duplicates(docs, row_id=key).where("not kept"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that contain too much of a benchmark."""
-    docs = _numbered(docs)
-    found = contamination(docs.withColumn("doc_id", F.col(ROW)), table(spark, sf_dir, "benchmark"))
-    return _without(docs, found.where("contaminated"), "doc_id")
+    docs, key = _numbered(docs)
+    found = contamination(docs, table(spark, sf_dir, "benchmark"), row_id=key)
+    return _without(docs, key, found.where("contaminated"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -97,11 +103,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in order; each result is written and read again as the next one's documents."""
+    """All stages in order; each result is written and read again as the next one's documents.
+
+    A stage's documents are removed when the next stage's are complete.
+    """
     folder = shared_folder(spark)
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for number, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{number}_{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            remove_folder(spark, before)
+        before = path
     return docs
