@@ -227,8 +227,18 @@ def last_by_group(
     out: str,
     hot: HotKeys = NO_HOT_KEYS,
     domain: str = "",
+    by_group: tuple[str, str] | None = None,
 ) -> DataFrame | Split:
-    """Add the ``value`` (never NULL) of the last row of each (key, boolean ``group``)."""
+    """Add the ``value`` (never NULL) of the last row of each (key, boolean ``group``).
+
+    by_group: columns that hold the value only where the group is true, and only where it is false, if there are such;
+    then rows of ordinary keys get no column before their window.
+    """
+    of_group = (
+        [F.col(c) for c in by_group]
+        if by_group
+        else [F.when(c, F.col(value)) for c in (F.col(group), ~F.col(group))]
+    )
 
     def plain(rows: DataFrame) -> DataFrame:
         # Both groups of a key are read off one window, so the sort is shared with other
@@ -239,15 +249,8 @@ def last_by_group(
             .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         )
 
-        def last_where(condition: Column) -> Column:
-            return F.last(F.when(condition, F.col(value)), ignorenulls=True).over(whole)
-
-        return rows.withColumn(
-            out,
-            F.when(F.col(group), last_where(F.col(group))).otherwise(
-                last_where(~F.col(group))
-            ),
-        )
+        last, last_of_others = (F.last(c, ignorenulls=True).over(whole) for c in of_group)
+        return rows.withColumn(out, F.when(F.col(group), last).otherwise(last_of_others))
 
     def spread(rows: DataFrame) -> DataFrame:
         lasts = rows.groupBy(key, group).agg(F.max_by(value, order_rank(order)).alias(out))

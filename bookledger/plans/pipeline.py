@@ -148,14 +148,18 @@ class BookingsPipeline:
         if stage == "fill_line_item_dimensions" or stage in _READ_BOOKINGS:
             self._keep_heavy("_combined_rows")
         if stage in _READ_BOOKINGS:
-            self._keep_shared("bookings", self._filled_bookings, by_invoice=True)
-            self._keep_shared("invoice_discounts", self._discounts_on_invoices, by_invoice=True)
+            # Unions keep the way in which rows lie only if no column is added to them on the way.
+            empty = volume.no_spread(self._filled_bookings)
+            self._keep_shared("bookings", self._filled_bookings.withColumns(empty), "line_item")
+            self._keep_shared("invoice_discounts", self._discounts_on_invoices, "invoice")
             self._find_large_products()
         if stage == "bookings_quality":
-            self._keep_shared("allocated", self._allocated.rows(), by_invoice=True)
+            self._keep_shared("allocated", self._allocated.rows(), "invoice")
         if stage in _VOLUMES or stage in _LEDGER:
-            self._keep_ledger()
-        if stage == "gross_order_volume" or stage in _LEDGER:
+            product = self.inputs["product_price_point"]
+            ledger = volume.with_ready_columns(self.bookings_grouped, product, self.config, self.hot)
+            self._keep_shared("ledger", ledger, "line_item")
+        if stage in _LEDGER:
             self._keep_heavy("_counted")
         return self
 
@@ -164,19 +168,15 @@ class BookingsPipeline:
         for name in [n for n in self.__dict__ if isinstance(getattr(type(self), n, None), cached_property)]:
             del self.__dict__[name]
 
-    def _keep_shared(self, name: str, df: DataFrame, by_invoice: bool = False) -> None:
-        """``by_invoice``: what reads it works by invoice. A hot invoice would be one bucket, so it has none then."""
-        if by_invoice and not self.hot.has("invoice"):
-            self._shared[name] = self.storage.keep_in_buckets(df, "invoice_id")
+    def _keep_shared(self, name: str, df: DataFrame, lies_by: str | None = None) -> None:
+        """``lies_by``: invoice or line item, by which ``df`` lies and is read. A hot one would be one bucket, so
+        there are no buckets then."""
+        if lies_by and not self.hot.has(lies_by):
+            self._shared[name] = self.storage.keep_in_buckets(df, f"{lies_by}_id")
         else:
             self._shared[name] = self.storage.keep(df)
         self._forget_plans()
 
-    def _keep_ledger(self) -> None:
-        numbered = self.bookings_by_key.withColumn(volume.ROW_NUMBER, F.monotonically_increasing_id())
-        self._shared["ledger"] = self.storage.keep_in_buckets(numbered, volume.ROW_KEY)
-        self._forget_plans()
-
     def _keep_heavy(self, name: str) -> None:
         """Stores rows of hot keys, and only those, where their plans will read them more than once."""
         key, domain = self.PARTED[name]
@@ -370,7 +370,7 @@ class BookingsPipeline:
     @property
     def _bookings(self) -> DataFrame:
         stored = self._shared.get("bookings")
-        return stored if stored is not None else self._filled_bookings
+        return self._filled_bookings if stored is None else stored.drop(*volume.SPREAD)
 
     # -- invoice discounts -----------------------------------------------------------------
 
@@ -378,7 +378,7 @@ class BookingsPipeline:
     def _items(self) -> Split:
         """Shares of line items, parted by invoice like all that is made of them."""
         items = allocation.item_sums(
-            self._by_invoice("bookings", self._bookings),
+            self._bookings,
             self._invoice_discounts,
             self.inputs["product_price_point"],
             self.hot,
@@ -429,96 +429,69 @@ class BookingsPipeline:
         )
         return volume.all_bookings(union)
 
-    @cached_property
-    def bookings_by_key(self) -> DataFrame:
-        """The grouped ledger with its row key, in two phases.
-
-        What lies by invoice already is summed where it is; the sums of all parts meet by row key.
-        """
-        own, spread = self._bookings, self._allocated
-        if "bookings" in self._shared and not self.hot.has("invoice"):
-            own = volume.combined(own.select(*volume.GROUP_KEYS, *volume.SUMMED))
-        parts = volume.union_of_bookings([own, self.store_credit_bookings], spread.rows())
-        return volume.bookings_grouped(parts)
-
     @cached_property
     def bookings_grouped(self) -> DataFrame:
-        return self.bookings_by_key.drop(volume.ROW_KEY)
-
-    @property
-    def _late(self) -> bool:
-        """Whether the ledger is stored, so that its counters need not carry it along."""
-        return "ledger" in self._shared
-
-    @property
-    def _order(self) -> list[str]:
-        return volume.NARROW_ORDER if self._late else volume.BOOKING_ORDER
-
-    def _with_bookings(self, rows: DataFrame, columns: list[str]) -> DataFrame:
-        """Whole bookings with ``columns`` of rows that are narrow, if the ledger is stored."""
-        if self._late:
-            return volume.with_bookings(rows, self._shared["ledger"], columns)
-        return rows
+        if "ledger" in self._shared:
+            return self._shared["ledger"].drop(*volume.READY)
+        own = self._shared.get("bookings")
+        if own is None:
+            own = self._bookings.withColumns(volume.no_spread(self._bookings))
+        columns = [*volume.GROUP_KEYS, *volume.SUMMED, *volume.SPREAD]
+        added = volume.union_of_bookings([self.store_credit_bookings], self._allocated.rows())
+        added = added.select(*columns)
+        if not self.hot.has("line_item"):
+            # Bookings lie by line item already. What is added goes there, and all is grouped in place.
+            added = added.repartition("line_item_id")
+        return volume.bookings_grouped(own.select(*columns).unionByName(added))
 
     @cached_property
     def _eligible(self) -> Split:
-        if self._late:
-            rows = volume.narrow(self._shared["ledger"])
-        else:
-            rows = volume.with_order_flag(self.bookings_grouped)
         return volume.volume_eligibility(
-            rows, self.inputs["product_price_point"], self.config, self.hot, self._order
+            self._shared.get("ledger", self.bookings_grouped),
+            self.inputs["product_price_point"],
+            self.config,
+            self.hot,
         )
 
     @cached_property
     def volume_eligibility(self) -> DataFrame:
-        return self._with_bookings(self._eligible.rows(), volume.ELIGIBILITY)
+        return self._eligible.rows()
 
     @cached_property
-    def _counted(self) -> DataFrame:
-        """Bookings, or their row keys, with the counters by line item."""
-        rows = volume.gross_order_item_volume(self._eligible, self.hot, self._order).rows()
-        if not self._late:
-            return rows
-        keys = (volume.ROW_KEY, volume.ROW_NUMBER, "invoice_id", "line_item_id")
-        return rows.select(*keys, *volume.ELIGIBILITY, *volume.COUNTED)
+    def _items_counted(self) -> Split:
+        return volume.gross_order_item_volume(self._eligible, self.hot)
 
     @cached_property
     def gross_order_item_volume(self) -> DataFrame:
-        rows = self._with_bookings(self._counted, [*volume.ELIGIBILITY, volume.COUNTED[0]])
-        return rows.drop(volume.COUNTED[1])
+        return self._items_counted.rows().drop("is_first_order_booking")
 
     @cached_property
-    def _orders(self) -> Split:
-        return volume.gross_order_volume(self._parted("_counted"), self.hot)
+    def _counted(self) -> DataFrame:
+        """Bookings with the counters of their line items, and lineage while they lie by line item."""
+        lineage = self.inputs["line_item"].select("line_item_id", *LINEAGE)
+        items = self._items_counted
+        ordinary = lookup(items.ordinary, lineage, ["line_item_id"])
+        if items.heavy is None:
+            return ordinary
+        heavy = lookup(items.heavy, lineage, ["line_item_id"], self.hot, "line_item")
+        return ordinary.unionByName(heavy)
 
     @cached_property
     def gross_order_volume(self) -> DataFrame:
-        columns = [*volume.ELIGIBILITY, volume.COUNTED[0], "gross_order_volume"]
-        return self._with_bookings(self._orders.rows(), columns)
+        return volume.gross_order_volume(self._items_counted.rows(), self.hot)
 
     @cached_property
     def line_item_bookings(self) -> DataFrame:
         """The result: one row per booking, with its id, counters and lineage."""
         third_party = "invoice_has_third_party_gateway_payment"
         gateways = self.third_party_payment_invoices.select("invoice_id", third_party)
-        orders = self._orders
+        orders = volume.gross_order_volume(self._parted("_counted"), self.hot)
         # Where rows lie by invoice, they meet the invoices' payments.
-        rows = Split(
-            lookup(orders.ordinary, gateways, ["invoice_id"]),
-            None
-            if orders.heavy is None
-            else lookup(orders.heavy, gateways, ["invoice_id"], self.hot, "invoice"),
-        ).rows()
-        rows = lookup(
-            rows,
-            self.inputs["line_item"].select("line_item_id", *LINEAGE),
-            ["line_item_id"],
-            self.hot,
-            "line_item",
-        )
-        added = ["gross_order_volume", "gross_order_item_volume", third_party, *LINEAGE]
-        rows = self._with_bookings(rows, added)
+        ordinary = lookup(orders.ordinary, gateways, ["invoice_id"])
+        heavy = orders.heavy
+        if heavy is not None:
+            heavy = lookup(heavy, gateways, ["invoice_id"], self.hot, "invoice")
+        rows = Split(ordinary, heavy).rows()
 
         def money(name: str):
             return F.col(name).cast("decimal(15,2)").alias(name)

@@ -144,12 +144,13 @@ class Storage:
     def keep_in_buckets(self, df: DataFrame, key: str) -> DataFrame:
         """As ``keep``, but the table is known to lie by ``key``: what works by it reads without a shuffle.
 
-        There are as many buckets as shuffles have partitions. The key must not be skewed.
+        What lies by the key already, as windows, joins or sums by it yield, is not moved. There are as many
+        buckets as shuffles have partitions. The key must not be skewed.
         """
         self._kept += 1
         name = f"bookledger_{uuid.uuid4().hex}"
         buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        writer = df.repartition(buckets, key).write.bucketBy(buckets, key)
+        writer = df.repartition(key).write.bucketBy(buckets, key)
         writer.option("path", f"{self.root}/{self._kept:03d}").saveAsTable(name)
         self._tables.append(name)
         return self.spark.table(name)

@@ -16,14 +16,14 @@ from bookledger.sources.sinks import Storage
 
 @pytest.fixture(scope="module")
 def prepared(spark, tmp_path_factory):
-    """Sort-merge joins instead of broadcasts, as for large tables."""
-    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
-    for key, value in settings.items():
-        spark.conf.set(key, value)
-    run = BookingsPipeline(driver_inputs(spark, SMALL), Storage(spark, str(tmp_path_factory.mktemp("run"))))
-    yield run.prepare("bookings_quality")
-    for key in settings:
-        spark.conf.unset(key)
+    """Runs that are prepared for stages before and after the ledger is stored; plans are final at once."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    runs = {}
+    for stage in ("bookings_grouped", "bookings_quality"):
+        folder = str(tmp_path_factory.mktemp(stage))
+        runs[stage] = BookingsPipeline(driver_inputs(spark, SMALL), Storage(spark, folder)).prepare(stage)
+    yield runs
+    spark.conf.unset("spark.sql.adaptive.enabled")
 
 
 def nodes(df):
@@ -45,41 +45,38 @@ def below(plan, at):
         yield text
 
 
-def test_whole_bookings_are_not_exchanged_after_grouping(prepared):
-    for stage in ("line_item_bookings", "gross_order_volume", "gross_order_item_volume", "volume_eligibility"):
-        plan = nodes(getattr(prepared, stage))
-        exchanges = [i for i, (_, text) in enumerate(plan) if text.startswith("Exchange")]
-        assert exchanges
-        for i in exchanges:
-            # Amounts that no counter needs stay in the stored ledger.
-            assert not any("filing_fee" in text and "Scan" in text for text in below(plan, i)), stage
-        # It is read where it lies: in buckets of the row key.
-        assert any("filing_fee" in text and "Bucketed: true" in text for _, text in plan)
-
-
-def test_two_phases_of_the_grouped_ledger(prepared):
-    """Bookings are summed by the eleven keys in their invoice's buckets; the sums go on by row key."""
-    plan = nodes(prepared.bookings_by_key)
-    by_key = next(i for i, (_, text) in enumerate(plan) if "hashpartitioning(_row_key" in text)
-    under = list(below(plan, by_key))
-    assert any(text.startswith("HashAggregate") and "partial_sum" in text for text in under)
-    scan = next(i for i, (_, text) in enumerate(plan) if "Scan parquet" in text and "Bucketed: true" in text)
-    path = [text for depth, text in plan[by_key:scan] if depth < plan[scan][0]]
-    first_branch = path[path.index(next(t for t in path if t.startswith("Union"))) :]
-    assert not any(t.startswith("Exchange") for t in first_branch)
-
-
-def test_allocation_reads_its_stored_inputs_without_a_shuffle(spark, prepared):
-    """Line items are summed, weighed and met by their invoice's discounts where both are stored."""
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")  # for the products
-    try:
-        items = prepared.item_allocation_percentages.select("*")
-        plan = [text for _, text in nodes(items)]
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    assert not any(text.startswith("Exchange hashpartitioning") for text in plan)
-    assert any(text.startswith("Window") for text in plan)
-    assert sum("Scan parquet" in text and "Bucketed: true" in text for text in plan) >= 1
+def exchanges(plan):
+    return [(i, text) for i, (_, text) in enumerate(plan) if text.startswith("Exchange hashpartitioning")]
+
+
+def test_bookings_are_grouped_where_they_lie(prepared):
+    """Stored bookings and what is added by line item are summed in one task each, without a shuffle of either's sums."""
+    plan = nodes(prepared["bookings_grouped"].bookings_grouped)
+    for i, _ in exchanges(plan):
+        assert not any("initial_gbnf" in text and "Bucketed: true" in text for text in below(plan, i))
+    assert any("initial_gbnf" in text and "Bucketed: true" in text for _, text in plan)
+
+
+def test_the_ledger_is_shuffled_once(prepared):
+    """Its line items' counters and lineage need no shuffle; the one by invoice at the end takes all."""
+    run = prepared["bookings_quality"]
+    for stage in ("volume_eligibility", "gross_order_item_volume"):
+        found = exchanges(nodes(getattr(run, stage)))
+        # Bookings of the free product go to their invoice and back.
+        assert not [text for _, text in found if "line_item_id" in text and "ENSURE" in text], stage
+    plan = nodes(run.line_item_bookings)
+    whole = [text for i, text in exchanges(plan) if any(t.startswith("Union") for t in below(plan, i))]
+    assert len(whole) == 1 and whole[0].startswith("Exchange hashpartitioning(invoice_id")
+
+
+def test_line_items_are_summed_before_they_go_to_their_invoice(prepared):
+    plan = nodes(prepared["bookings_quality"].item_allocation_percentages)
+    above = [i for i, _ in exchanges(plan) if any("Bucketed: true" in text for text in below(plan, i))]
+    assert above
+    for i in above:
+        assert any(text.startswith("HashAggregate") and "sum(" in text for text in below(plan, i))
+    # The discounts lie by invoice already.
+    assert sum("Bucketed: true" in text for _, text in plan) == 2 and len(above) == 1
 
 
 def shuffled_records(spark, df):
@@ -97,49 +94,32 @@ def shuffled_records(spark, df):
     return total
 
 
-def test_repeated_bookings_are_combined_before_the_shuffle(spark, tmp_path):
-    """2,000 rows of ten bookings in one task each: ten or few more rows are shuffled."""
+def test_repeated_bookings_are_combined_without_a_shuffle(spark, tmp_path):
+    """2,000 rows of ten bookings that lie by line item."""
     run = pipeline(spark, payment_hist=[payment_hist()], line_item_hist=[line(1, at(0))])
     own = run.fill_line_item_dimensions
     many = own.crossJoin(spark.range(2000)).withColumn("gb", F.lit("1.00").cast("decimal(18,2)"))
-    many = many.withColumn("invoice_id", F.col("id") % 10).drop("id")
-    stored = Storage(spark, str(tmp_path)).keep_in_buckets(many, "invoice_id")
+    many = many.withColumn("line_item_id", F.col("id") % 10).drop("id").withColumns(volume.no_spread(own))
+    columns = [*volume.GROUP_KEYS, *volume.SUMMED, *volume.SPREAD]
+    stored = Storage(spark, str(tmp_path)).keep_in_buckets(many.select(*columns), "line_item_id")
+    none = stored.limit(0).repartition("line_item_id")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        rows = stored.select(*volume.GROUP_KEYS, *volume.SUMMED)
-        # One part of the union is enough here; the other has no rows.
-        none = run._allocated.rows()
-        plain = volume.bookings_grouped(volume.union_of_bookings([rows], none.limit(0)))
-        combined = volume.bookings_grouped(volume.union_of_bookings([volume.combined(rows)], none.limit(0)))
-        assert shuffled_records(spark, combined) < 100 < 2000 <= shuffled_records(spark, plain)
+        lying = volume.bookings_grouped(stored.unionByName(none))
+        scattered = volume.bookings_grouped(many.select(*columns).repartition(3).unionByName(stored.limit(0)))
+        # One task's rows each are combined before they are shuffled, if they have to be.
+        assert shuffled_records(spark, lying) < 10 and 2000 <= shuffled_records(spark, scattered) < 2100
         as_set = lambda df: Counter(tuple(r) for r in df.select(*volume.GROUP_KEYS, "gb").collect())
-        assert as_set(combined) == as_set(plain) and combined.count() == 10
+        assert as_set(lying) == as_set(scattered) and lying.count() == 10
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
 
 
-def test_codes_sort_like_their_texts(spark):
-    for name, (column, texts) in volume.CODES.items():
-        rows = spark.createDataFrame([(t,) for t in [*texts, None]], f"{column} string")
-        code = F.array_position(F.array(*[F.lit(t) for t in sorted(texts)]), F.col(column)).alias(name)
-        listed = rows.select(column, code).orderBy(F.col(name).asc_nulls_last()).collect()
-        expected = rows.orderBy(F.col(column).asc_nulls_last()).collect()
-        assert [r[column] for r in listed] == [r[column] for r in expected]
-        assert all(r[name] for r in listed[:-1])
-
-
-def test_rows_that_share_a_hash_find_their_own_booking(spark):
-    ledger = spark.createDataFrame([(7, 1, "a"), (7, 2, "b"), (8, 3, "c")], "_row_key long, _row_number long, booking string")
-    found = spark.createDataFrame([(7, 1, 10), (7, 2, 20), (8, 3, 30), (8, 3, 31)], "_row_key long, _row_number long, n int")
-    got = volume.with_bookings(found, ledger, ["n"])
-    assert sorted(tuple(r) for r in got.collect()) == [("a", 10), ("b", 20), ("c", 30), ("c", 31)]
-
-
 def test_stored_and_computed_ledgers_give_the_same(spark, prepared):
-    """A run that stores nothing carries whole bookings through its windows."""
+    """A run that stores nothing takes the invoice's amounts from a window."""
     bare = BookingsPipeline(driver_inputs(spark, SMALL))
     for stage in ("volume_eligibility", "gross_order_item_volume", "gross_order_volume", "line_item_bookings"):
-        a, b = getattr(bare, stage), getattr(prepared, stage)
+        a, b = getattr(bare, stage), getattr(prepared["bookings_quality"], stage)
         assert set(a.columns) == set(b.columns)
         order = sorted(a.columns)
         assert Counter(map(tuple, a.select(order).collect())) == Counter(map(tuple, b.select(order).collect()))
