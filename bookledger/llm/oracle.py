@@ -56,34 +56,65 @@ select doc_id,
 from doc_words left join hits using (doc_id) left join named using (doc_id)
 """
 
-OP3 = r"""
-with pieces as (
-    select coalesce(doc_id, 9223372036854775807) as doc, unnest(list) as piece, generate_subscripts(list, 1) as k
-    from (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\n.,;:!?]+|[\n.,;:!?]+') as list from documents)
-), placed as (
-    select doc, piece, k, sum(length(piece)) over (partition by doc order by k) - length(piece) as place from pieces
-), units as (
+def _later_units(name: str, ends: str) -> str:
+    """Every unit between the characters ``ends``, with what it repeats."""
+    return rf"""
+{name}_pieces as (
+    select doc, unnest(list) as piece, generate_subscripts(list, 1) as k from (
+        select coalesce(doc_id, 9223372036854775807) as doc,
+               regexp_extract_all(coalesce(text, ''), '[^{ends}]+|[{ends}]+') as list
+        from documents)
+), {name}_placed as (
+    select doc, piece, k, sum(length(piece)) over (partition by doc order by k) - length(piece) as place from {name}_pieces
+), {name}_units as (
     select doc, k,
            array_to_string(list_filter(string_split_regex(lower(piece), '\s+'), lambda w: w <> ''), ' ') as unit,
            (place + length(piece) - length(regexp_replace(piece, '^\s+', '')))::bigint as start,
            (place + length(regexp_replace(piece, '\s+$', '')))::bigint as stop
-    from placed where regexp_matches(piece, '[^\s.,;:!?]')
-), numbered as (
-    select *, len(string_split(unit, ' ')) as words, row_number() over (partition by doc order by k) as nth,
-           row_number() over (partition by doc, unit order by k) as same,
-           min(doc) over (partition by unit) as first
-    from units
-), gone as (
-    select *, nth - row_number() over (partition by doc order by nth) as run
-    from numbered where first <> doc or same > 1
+    from {name}_placed where regexp_matches(piece, '[^\s{ends}]')
+), {name}_later as (
+    select *, first <> doc or same > 1 as gone from (
+        select *, len(string_split(unit, ' ')) as words, row_number() over (partition by doc order by k) as nth,
+               row_number() over (partition by doc, unit order by k) as same,
+               min(doc) over (partition by unit) as first
+        from {name}_units)
+)"""
+
+
+PASSAGES = r"""
+passages as (
+    select doc, min(start) as start, max(stop) as stop, sum(words)::bigint as n_words, count(*)::bigint as n_units,
+           nullif(arg_min(first, nth), 9223372036854775807) as first_doc_id
+    from (select *, nth - row_number() over (partition by doc order by nth) as run from clause_later where gone)
+    group by doc, run having sum(words) >= 20
+)"""
+
+OP3_PASSAGES = f"""
+with {_later_units("clause", r"\n.,;:!?")}, {PASSAGES}
+select nullif(doc, 9223372036854775807) as doc_id, start, stop as "end", n_words, n_units, first_doc_id from passages
+"""
+
+OP3 = f"""
+with {_later_units("line", r"\n")}, {_later_units("clause", r"\n.,;:!?")}, {PASSAGES},
+lines as (
+    select doc, count(*) as n_units, count(*) filter (gone) as n_removed,
+           string_agg(start || ':' || stop, ',' order by k) filter (gone) as removed,
+           string_agg(md5(unit), '' order by k) filter (not gone) as staying
+    from line_later group by doc
+), runs as (
+    select doc, string_agg(start || ':' || stop || ':' || coalesce(first_doc_id::varchar, '-'), ',' order by start) as passages
+    from passages group by doc
 )
-select nullif(doc, 9223372036854775807) as doc_id,
-       min(start) as start,
-       max(stop) as "end",
-       sum(words)::bigint as n_words,
-       count(*)::bigint as n_units,
-       nullif(arg_min(first, nth), 9223372036854775807) as first_doc_id
-from gone group by doc, run having sum(words) >= 20
+select d.doc_id,
+       coalesce(n_units, 0)::bigint as n_units,
+       coalesce(n_removed, 0)::bigint as n_removed,
+       coalesce(removed, '') as removed,
+       sha256(coalesce(staying, '')) as kept_sha256,
+       coalesce(passages, '') as passages,
+       passages is not null as repeats_passage
+from documents d
+left join lines on lines.doc = coalesce(d.doc_id, 9223372036854775807)
+left join runs on runs.doc = coalesce(d.doc_id, 9223372036854775807)
 """
 
 
@@ -306,6 +337,7 @@ SQL = {
     "op1_warc": OP1,
     "op2_benchmark_decontamination": OP2,
     "op3_substring_dedup": OP3,
+    "op3_passages": OP3_PASSAGES,
     "op4_secret_scan": OP4,
     "op5_exact_dedup": OP5,
     "op8_chat_format": OP8,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bookledger.llm.bpe import encode_decode, encoding_digests
@@ -18,7 +18,7 @@ from bookledger.llm.merkle import merkle_manifest, verified
 from bookledger.llm.quality import quality_scores
 from bookledger.llm.secrets import secret_scan
 from bookledger.llm.simhash import near_duplicates
-from bookledger.llm.unit_dedup import repeated_spans
+from bookledger.llm.unit_dedup import repeated_spans, unit_dedup
 from bookledger.llm.vector_codes import vector_codes
 from bookledger.llm.warc import archive_round_trip
 
@@ -54,6 +54,26 @@ def op2_proximity_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that occur earlier, of any length, by document; passages of 20 words or more beside them."""
+    found = unit_dedup(table(spark, sf_dir, "documents"))
+
+    def written(spans: str, *names: str) -> Column:
+        listed = F.transform(spans, lambda s: F.concat_ws(":", *(F.coalesce(s[n].cast("string"), F.lit("-")) for n in names)))
+        return F.array_join(listed, ",")
+
+    return found.select(
+        "doc_id",
+        "n_units",
+        F.size("removed").cast("long").alias("n_removed"),
+        written("removed", "start", "end").alias("removed"),
+        "kept_sha256",
+        written("passages", "start", "end", "first_doc_id").alias("passages"),
+        (F.size("passages") > 0).alias("repeats_passage"),
+    )
+
+
+def op3_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 20 words or more that occur earlier, one row each."""
     return repeated_spans(table(spark, sf_dir, "documents"))
 
 
@@ -110,6 +130,7 @@ QUERIES: dict[str, Query] = {
         op2_benchmark_decontamination,
         op2_proximity_matches,
         op3_substring_dedup,
+        op3_passages,
         op4_secret_scan,
         op5_exact_dedup,
         op6_quality_classifier,

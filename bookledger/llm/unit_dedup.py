@@ -1,13 +1,14 @@
-"""Substring deduplication: passages made of units that occur earlier in the corpus."""
+"""Substring deduplication: units, and passages made of units, that occur earlier in the corpus."""
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from hashlib import md5
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bookledger.llm.common import keep, spread_lookup
@@ -18,7 +19,7 @@ UNITS = {
     "line": re.compile(r"[^\n]+"),
     "clause": re.compile(r"[^\n.,;:!?]+"),
 }
-#: A run of repeated units is removed if it has so many words; shorter ones are common phrases.
+#: A run of repeated clauses is a passage if it has so many words; shorter ones are common phrases.
 MIN_WORDS = 20
 
 
@@ -32,50 +33,113 @@ def units(text: str, kind: str = "clause") -> Iterator[tuple[int, int, str, int]
             yield start, start + len(raw.strip()), " ".join(words), len(words)
 
 
-def _hashed(docs: DataFrame, text: str, doc_id: str, kind: str, offsets: bool) -> DataFrame:
-    """``doc, h1, h2, again`` of every unit, with ``nth, start, end, words`` if offsets are wanted.
+#: Stands for the place of a document that has no id: behind all others.
+LAST = 2**63 - 1
+PLACES = "nth int, start int, end int, words int"
 
-    h1 and h2 are a digest of 128 bits; ``again`` marks all but its first unit in the document.
+
+def _rows(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
+    """``own, doc, text``: what tells documents apart, their rank, and the text.
+
+    ``own`` is a digest of id and text, so every scan gives it again; rows that share an id, or have none, differ in it
+    unless their texts are equal too.
     """
-    names = ["doc", "h1", "h2", "again", *(("nth", "start", "end", "words") if offsets else ())]
+    number, content = F.col(doc_id).cast("long"), F.col(text).cast("string")
+    return docs.select(
+        F.xxhash64(number, content).alias("own"), F.coalesce(number, F.lit(LAST)).alias("doc"), content.alias("text")
+    )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from xxhash import xxh3_128_digest
 
+def _hashed(rows: DataFrame, kind: str, places: bool, owners: tuple[str, ...] = ("own", "doc"), empty: bool = False) -> DataFrame:
+    """``owners, h1, h2, again`` of every unit, with ``nth, start, end, words`` if places are wanted.
+
+    h1 and h2 are a digest of 128 bits; ``again`` marks all but its first unit in the document. With ``empty``, every
+    document also has a row of its own, whose nth is -1.
+    """
+    names = [*owners, "h1", "h2", "again", *(("nth", "start", "end", "words") if places else ())]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = batch.columns
-            doc, digests, again, places = [], [], [], []
+            *keys, texts = batch.columns
+            at, digests, again, placed = [], [], [], []
 
             def flush() -> pa.RecordBatch:
-                halves = np.frombuffer(b"".join(digests), dtype="<i8").reshape(-1, 2)
-                columns = [pa.array(doc, pa.int64()), pa.array(halves[:, 0]), pa.array(halves[:, 1]), pa.array(again, pa.bool_())]
-                if offsets:
-                    values = np.array(places, dtype=np.int32).reshape(-1, 4)
+                halves = np.frombuffer(b"".join(digests), dtype=">i8").astype("<i8").reshape(-1, 2)
+                taken = pa.array(at, pa.int64())
+                columns = [k.take(taken) for k in keys]
+                columns += [pa.array(halves[:, 0]), pa.array(halves[:, 1]), pa.array(again, pa.bool_())]
+                if places:
+                    values = np.array(placed, dtype=np.int32).reshape(-1, 4)
                     columns += [pa.array(values[:, i]) for i in range(4)]
-                for kept in (doc, digests, again, places):
+                for kept in (at, digests, again, placed):
                     kept.clear()
                 return pa.RecordBatch.from_arrays(columns, names=names)
 
-            for i in range(len(ids)):
-                number, known = ids[i].as_py(), set()
+            for i in range(len(texts)):
+                known = set()
+                if empty:
+                    at.append(i)
+                    digests.append(bytes(16))
+                    again.append(False)
+                    placed.append((-1, 0, 0, 0))
                 for nth, (start, end, normal, words) in enumerate(units(texts[i].as_py() or "", kind)):
-                    digest = xxh3_128_digest(normal.encode())
-                    doc.append(number)
+                    digest = md5(normal.encode("utf-8", "surrogatepass"), usedforsecurity=False).digest()
+                    at.append(i)
                     digests.append(digest)
                     again.append(digest in known)
                     known.add(digest)
-                    if offsets:
-                        places.append((nth, start, end, words))
-                if len(doc) > 100_000:
-                    yield flush()
-            if doc:
+                    if places:
+                        placed.append((nth, start, end, words))
+                    if len(at) > 100_000:
+                        yield flush()
+            if at:
                 yield flush()
 
-    rows = docs.select(
-        F.coalesce(F.col(doc_id).cast("long"), F.lit(2**63 - 1)).alias("doc"), F.col(text).cast("string").alias("text")
+    schema = ", ".join(f"{name} long" for name in (*owners, "h1", "h2")) + ", again boolean"
+    return rows.select(*owners, "text").mapInArrow(run, f"{schema}, {PLACES}" if places else schema)
+
+
+def _copied(hashed: DataFrame, owner: str) -> DataFrame:
+    """``unit, first, first_doc, n`` of the units that occur more than once; the first is in the smallest ``doc``."""
+    groups = hashed.groupBy("h1", "h2").agg(
+        F.min_by(owner, "doc").alias("first"), F.min("doc").alias("first_doc"), F.count(F.lit(1)).alias("n")
+    )
+    return keep(groups.where("n > 1").select(F.struct("h1", "h2").alias("unit"), "first", "first_doc", "n"))
+
+
+def _later(hashed: DataFrame, copied: DataFrame, owner: str) -> DataFrame:
+    """``hashed`` with ``gone``: whether the same unit occurs earlier."""
+    met = spread_lookup(hashed.withColumn("unit", F.struct("h1", "h2")), copied, "unit", "n").drop("unit")
+    return met.withColumn("gone", F.coalesce((F.col("first") != F.col(owner)) | F.col("again"), F.lit(False)))
+
+
+def _passages(docs: DataFrame, text: str, doc_id: str, kind: str, min_words: int) -> DataFrame:
+    """``own, doc, start, end, n_words, n_units, first_doc`` of runs of later units."""
+    rows = _rows(docs, text, doc_id)
+    copied = _copied(_hashed(rows, kind, places=False), "own")
+    gone = _later(_hashed(rows, kind, places=True), copied, "own").where("gone").select(
+        "own", "doc", "nth", "start", "end", "words", "first_doc"
+    )
+    in_order = Window.partitionBy("own").orderBy("nth")
+    # Neighbours share nth less their place among the document's repeated units.
+    return (
+        gone.dropDuplicates(["own", "nth"])
+        .withColumn("run", F.col("nth") - F.row_number().over(in_order))
+        .groupBy("own", "run")
+        .agg(
+            F.min("doc").alias("doc"),
+            F.min("start").cast("long").alias("start"),
+            F.max("end").cast("long").alias("end"),
+            F.sum("words").alias("n_words"),
+            F.count(F.lit(1)).alias("n_units"),
+            F.min_by("first_doc", "nth").alias("first_doc"),
+        )
+        .where(F.col("n_words") >= min_words)
     )
-    schema = "doc long, h1 long, h2 long, again boolean"
-    return rows.mapInArrow(run, schema + (", nth int, start int, end int, words int" if offsets else ""))
+
+
+def _known(name: str) -> Column:
+    return F.when(F.col(name) != LAST, F.col(name))
 
 
 def repeated_spans(
@@ -84,53 +148,82 @@ def repeated_spans(
     """``doc_id, start, end, n_words, n_units, first_doc_id``: passages that occur earlier, one row each.
 
     Units are normalised and grouped by digest over the corpus. Of equal units the one in the
-    document with the smallest id, and there the first, stays. Neighbouring units that don't stay
-    form a passage, which is reported from ``min_words`` words on. start and end are code points of
-    the original text, end exclusive; first_doc_id is where the passage's first unit stays. Documents
-    that repeat nothing don't appear.
+    document with the smallest id, and there the first, stays; among documents that share this id, or have none, it is
+    one of theirs. Neighbouring units that don't stay form a passage, which is reported from ``min_words`` words on.
+    start and end are code points of the original text, end exclusive; first_doc_id is where the passage's first unit
+    stays. Documents that repeat nothing don't appear.
 
-    Null texts have no units; a null id counts as the largest and is returned as null; rows with equal
-    ids are one document, whose repetition is not counted; an empty table gives no rows; other columns
-    are ignored.
+    Null texts have no units; a null id counts as the largest and is returned as null; rows equal in id and text are one
+    document, whose repetition is not counted; an empty table gives no rows; other columns are ignored.
 
     Digests are combined within tasks before the shuffle, and a common unit's occurrences are dealt
     over many tasks when they meet its group again.
     """
-    groups = _hashed(docs, text, doc_id, kind, offsets=False).groupBy("h1", "h2").agg(
-        F.min("doc").alias("first"), F.count(F.lit(1)).alias("n")
+    return _passages(docs, text, doc_id, kind, min_words).select(
+        _known("doc").alias("doc_id"), "start", "end", "n_words", "n_units", _known("first_doc").alias("first_doc_id")
     )
-    copied = keep(groups.where("n > 1").select(F.struct("h1", "h2").alias("unit"), "first", "n"))
-    every = _hashed(docs, text, doc_id, kind, offsets=True).withColumn("unit", F.struct("h1", "h2")).drop("h1", "h2")
-    met = spread_lookup(every, copied, "unit", "n")
-    gone = met.where(F.col("first").isNotNull() & ((F.col("first") != F.col("doc")) | F.col("again"))).select(
-        "doc", "nth", "start", "end", "words", "first"
-    )
-    in_order = Window.partitionBy("doc").orderBy("nth")
-    # Neighbours share nth less their place among the document's repeated units.
-    passages = (
-        gone.dropDuplicates(["doc", "nth"])
-        .withColumn("run", F.col("nth") - F.row_number().over(in_order))
-        .groupBy("doc", "run")
+
+
+def unit_dedup(
+    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", kind: str = "line", passage_words: int = MIN_WORDS
+) -> DataFrame:
+    """One row per input row: which of its units occur earlier in the corpus, and what remains without them.
+
+    ``doc_id, n_units, removed, kept_sha256, passages``. Of equal units the earliest stays, which is the first one of
+    the document with the smallest id; every other one is removed, however short. ``removed`` lists the removed units
+    as (start, end, n_words) in code points of the original text, end exclusive, in order; ``remove_spans`` cuts them
+    out. ``kept_sha256`` is the digest of the remaining units' MD5 digests in hexadecimal, in order. ``passages`` lists
+    (start, end, n_words, first_doc_id) of the runs of repeated clauses with at least ``passage_words`` words, which
+    also lie inside units; callers that want to leave common short units alone go by them.
+
+    Every row is a document: equal rows remove each other's units but one's. Null and empty texts have no units. A
+    null id counts as the largest and is returned as null. Among rows that share an id, one of those with the unit
+    keeps it. An empty table gives no rows; other columns are ignored.
+
+    The units are stored once with a key of their row, so all steps agree on it; texts are not shuffled. Digests are
+    combined before the shuffle and common units dealt over many tasks. A row's units meet in one task at the end.
+    """
+    rows = _rows(docs, text, doc_id).withColumn("row", F.monotonically_increasing_id())
+    index = keep(_hashed(rows, kind, places=True, owners=("row", "own", "doc"), empty=True))
+    found = index.where("nth >= 0")
+    later = _later(found, _copied(found, "row"), "row").drop("first", "first_doc", "n")
+    wide = [F.col(name).cast("long").alias(name) for name in ("start", "end", "words")]
+    unit = F.struct("nth", "gone", *wide, "h1", "h2")
+    per_row = (
+        index.where("nth < 0")
+        .withColumn("gone", F.lit(False))
+        .unionByName(later)
+        .groupBy("row")
         .agg(
-            F.min("start").alias("start"),
-            F.max("end").alias("end"),
-            F.sum("words").alias("n_words"),
-            F.count(F.lit(1)).alias("n_units"),
-            F.min(F.struct("nth", "first")).getField("first").alias("first"),
+            F.min("own").alias("own"),
+            F.min("doc").alias("doc"),
+            F.array_sort(F.collect_list(F.when(F.col("nth") >= 0, unit))).alias("units"),
         )
-        .where(F.col("n_words") >= min_words)
     )
-    known = lambda c: F.when(F.col(c) != 2**63 - 1, F.col(c))
-    return passages.select(
-        known("doc").alias("doc_id"), F.col("start").cast("long"), F.col("end").cast("long"), "n_words", "n_units",
-        known("first").alias("first_doc_id"),
+    runs = _passages(docs, text, doc_id, "clause", passage_words).groupBy("own").agg(
+        F.array_sort(F.collect_list(F.struct("start", "end", "n_words", _known("first_doc").alias("first_doc_id")))).alias("passages")
+    )
+    half = lambda h: F.lpad(F.lower(F.hex(h)), 16, "0")
+    staying = F.transform(F.filter("units", lambda u: ~u["gone"]), lambda u: F.concat(half(u["h1"]), half(u["h2"])))
+    leaving = F.transform(
+        F.filter("units", lambda u: u["gone"]),
+        lambda u: F.struct(u["start"].alias("start"), u["end"].alias("end"), u["words"].alias("n_words")),
+    )
+    none = F.array().cast("array<struct<start:bigint,end:bigint,n_words:bigint,first_doc_id:bigint>>")
+    return per_row.join(runs, "own", "left").select(
+        _known("doc").alias("doc_id"),
+        F.size("units").cast("long").alias("n_units"),
+        leaving.alias("removed"),
+        F.sha2(F.array_join(staying, ""), 256).alias("kept_sha256"),
+        F.coalesce("passages", none).alias("passages"),
     )
 
 
 def remove_spans(docs: DataFrame, spans: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """The documents without the spans' text; ``removed`` lists what went, in original offsets.
 
-    Spans don't overlap. The text between them stays as it is. Null texts stay null.
+    Spans don't overlap. The text between them stays as it is. Null texts stay null. Rows with equal ids lose the
+    same spans; a column ``removed`` of the input is replaced.
     """
     per_doc = spans.groupBy(F.col("doc_id").alias("_doc")).agg(
         F.array_sort(F.collect_list(F.struct("start", "end"))).alias("removed")

@@ -234,3 +234,23 @@ def base_quality(docs):
         failed = n < 20 or 100 * len(inside) > 30 * n
         out.append((doc_id, n, sum(map(len, listed)), symbols, len(lines) - len(set(lines)), len(inside), failed))
     return out
+
+
+def later_lines(docs):
+    """(doc_id, units, removed (start, end), text without them) of texts with ids of their own."""
+    known, rows = set(), []
+    for doc_id, text in sorted(docs, key=lambda d: d[0]):
+        place, units, removed, left = 0, 0, [], []
+        for line in (text or "").split("\n"):
+            core, normal = line.strip(), " ".join(line.lower().split())
+            if normal:
+                units += 1
+                if normal in known:
+                    start = place + line.index(core)
+                    removed.append((start, start + len(core)))
+                    line = line.replace(core, "", 1)
+                known.add(normal)
+            left.append(line)
+            place += len(line) + (removed[-1][1] - removed[-1][0] if removed and removed[-1][0] >= place else 0) + 1
+        rows.append((doc_id, units, tuple(removed), None if text is None else "\n".join(left)))
+    return rows

@@ -12,7 +12,7 @@ from bookledger.llm.decontaminate import contamination
 from bookledger.llm.exact_dedup import exact_groups
 from bookledger.llm.secrets import secret_scan
 from bookledger.llm.simhash import near_duplicates
-from bookledger.llm.unit_dedup import remove_spans, repeated_spans
+from bookledger.llm.unit_dedup import remove_spans, repeated_spans, unit_dedup
 
 from . import brute
 
@@ -354,6 +354,38 @@ def test_repeated_passages(documents):
     assert cleaned[4] == docs[3][1][: row["start"]] + docs[3][1][row["end"] :]
 
 
+def removed_of(df):
+    return Counter((r["doc_id"], r["n_units"], tuple((s["start"], s["end"]) for s in r["removed"])) for r in df.collect())
+
+
+def test_later_lines_of_every_length_go(documents):
+    line = "one line of ten words that many documents have alike"
+    got = removed_of(unit_dedup(documents([(i, f"own {i}\n{line}") for i in range(1000)])))
+    assert got == Counter((i, 2, ((len(f"own {i}") + 1, len(f"own {i}\n{line}")),) if i else ()) for i in range(1000))
+
+
+def test_rows_are_documents_whatever_their_ids(documents):
+    line = " ".join(f"w{i}" for i in range(30))
+    same = [(None, line)] * 3 + [(4, "short\nshort"), (4, "short"), (5, None), (6, ""), (7, "  Short \n\n SHORT")]
+    rows = unit_dedup(documents(same)).collect()
+    assert Counter((r["doc_id"], r["n_units"], len(r["removed"])) for r in rows if r["doc_id"] != 4) == Counter(
+        [(None, 1, 0), (None, 1, 1), (None, 1, 1), (5, 0, 0), (6, 0, 0), (7, 2, 2)]
+    )
+    # One of the three units of id 4 stays.
+    assert sum(r["n_units"] - len(r["removed"]) for r in rows if r["doc_id"] == 4) == 1
+    assert all(s["n_words"] == 1 for r in rows if r["doc_id"] == 7 for s in r["removed"])
+
+
+def test_lines_against_a_plain_version(documents, corpus):
+    docs = list({r[0]: r for r in corpus if r[0] is not None}.values())
+    plain = brute.later_lines(docs)
+    frame = documents(docs, 5)
+    found = unit_dedup(frame)
+    assert removed_of(found) == Counter(r[:3] for r in plain)
+    spans = found.selectExpr("doc_id", "inline(removed)")
+    assert rows_of(remove_spans(frame, spans), "doc_id", "text") == Counter((r[0], r[3]) for r in plain)
+
+
 def test_units_of_every_kind():
     from bookledger.llm.unit_dedup import units
 
@@ -371,8 +403,9 @@ def test_units_of_every_kind():
         lambda d, i: secret_scan(d),
         lambda d, i: near_duplicates(d),
         lambda d, i: repeated_spans(d),
+        lambda d, i: unit_dedup(d),
     ],
-    ids=["exact", "contamination", "secrets", "near", "passages"],
+    ids=["exact", "contamination", "secrets", "near", "passages", "lines"],
 )
 def test_empty_tables(spark, documents, run):
     nothing = documents([(1, "x")]).where("false")
