@@ -146,16 +146,17 @@ with texts as (
     union all {_kind(1, "'AKIA[A-Z0-9]{14,}'", 0, 18)}
     union all {_kind(2, "'[0-9a-f]{16,}'", 0, 16)}
 ), owned as (
-    select secret, count(distinct source) as owners from base group by secret
+    select secret, count(distinct source) as owners, count(distinct (source, doc_id)) as repositories from base group by secret
 ), added as (
-    select distinct doc_id, case when owners >= 3 then 4 else 3 end as kind, stop - length(secret) as start, stop
+    select distinct doc_id, case when owners >= 3 then 4 else 3 end as kind, stop - length(secret) as start, stop,
+           owners || ':' || repositories as ownership
     from base join owned using (secret)
     where owners >= 3
        or len(list_distinct(string_split(secret, ''))) >= 6
           and not regexp_matches(secret, '(?i)example|sample|dummy|changeme|placeholder|xxxx|your_|your-')
 ), named as (
-    select doc_id, kind, start, ['assign', 'access', 'hex', 'live', 'copied'][kind + 1] || ':' || start || ':' || stop as span
-    from (select doc_id, kind, start, stop from base union all select doc_id, kind, start, stop from added)
+    select doc_id, kind, start, ['assign', 'access', 'hex', 'live', 'copied'][kind + 1] || ':' || start || ':' || stop as span, ownership
+    from (select doc_id, kind, start, stop, null as ownership from base union all select * from added)
 ), per_doc as (
     select doc_id,
            count(*) filter (kind = 0) as n_assign,
@@ -164,7 +165,8 @@ with texts as (
            string_agg(span, ',' order by start, kind) filter (kind < 3) as base,
            string_agg(span, ',' order by start, kind) as spans,
            count(*) filter (kind = 3) as n_live,
-           count(*) filter (kind = 4) as n_copied
+           count(*) filter (kind = 4) as n_copied,
+           string_agg(ownership, ',' order by start, kind) filter (kind = 3) as live_ownership
     from named group by doc_id
 )
 select doc_id,
@@ -174,7 +176,8 @@ select doc_id,
        sha256(coalesce(base, '')) as base_sha256,
        coalesce(spans, '') as spans,
        coalesce(n_live, 0)::bigint as n_live,
-       coalesce(n_copied, 0)::bigint as n_copied
+       coalesce(n_copied, 0)::bigint as n_copied,
+       coalesce(live_ownership, '') as live_ownership
 from documents left join per_doc using (doc_id)
 """
 

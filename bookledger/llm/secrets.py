@@ -116,7 +116,8 @@ def secret_scan(
     A value that ``COPIED_OWNERS`` or more owners have is a copied example and gets a ``copied`` span;
     one of fewer owners that looks real gets a ``live`` span. These spans cover the secret
     itself, the base spans the whole match; base spans stay as they are. ``n_live`` and
-    ``n_copied`` count them.
+    ``n_copied`` count them. ``live_ownership`` has ``owners:repositories`` for every live span in order, so that a value
+    that one owner has in many repositories can be told from one that occurs once.
 
     Null texts have no secrets; a null owner or repository is one of its own; a null id is
     returned as null; repeated rows give repeated results; an empty table gives no rows; other
@@ -136,18 +137,25 @@ def secret_scan(
         .cast("int")
     )
     rated = spread_lookup(secrets.drop("owner", "repository"), owned, "secret_hash", "n_spans").withColumn("added", added)
-    column = lambda kind, start: F.struct(start.alias("start"), kind.alias("kind"), F.col("end").alias("end"))
+    column = lambda kind, start, *more: F.struct(start.alias("start"), kind.alias("kind"), F.col("end").alias("end"), *more)
     per_row = rated.groupBy("row_id").agg(
         F.collect_list(column(F.col("kind"), F.col("start"))).alias("base"),
         F.collect_set(
-            F.when(F.col("added").isNotNull(), column(F.col("added"), F.col("end") - F.length("secret")))
+            F.when(
+                F.col("added").isNotNull(),
+                column(F.col("added"), F.col("end") - F.length("secret"), F.col("n_owners"), F.col("n_repositories")),
+            )
         ).alias("more"),
         *(F.count_if(F.col("kind") == i).alias(f"n_{kind[0]}") for i, kind in enumerate(BASE_KINDS)),
     )
     rows = spans.where(F.col("kind") < 0).select("row_id", "doc_id")
     no_spans = F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>")
-    base, more = F.coalesce("base", no_spans), F.coalesce("more", no_spans)
+    no_added = F.array().cast("array<struct<start:bigint,kind:int,end:bigint,n_owners:bigint,n_repositories:bigint>>")
+    base, owned_spans = F.coalesce("base", no_spans), F.array_sort(F.coalesce("more", no_added))
+    more = F.transform(owned_spans, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
     of_kind = lambda kind: F.size(F.filter(more, lambda s: s["kind"] == kind)).cast("long")
+    live = F.filter(owned_spans, lambda s: s["kind"] == len(BASE_KINDS))
+    ownership_of = lambda s: F.concat_ws(":", s["n_owners"].cast("string"), s["n_repositories"].cast("string"))
     return rows.join(per_row, "row_id", "left").select(
         "doc_id",
         *(F.coalesce(f"n_{kind[0]}", F.lit(0)).cast("long").alias(f"n_{kind[0]}") for kind in BASE_KINDS),
@@ -155,4 +163,5 @@ def secret_scan(
         _written(F.concat(base, more)).alias("spans"),
         of_kind(len(BASE_KINDS)).alias("n_live"),
         of_kind(len(BASE_KINDS) + 1).alias("n_copied"),
+        F.array_join(F.transform(live, ownership_of), ",").alias("live_ownership"),
     )
