@@ -35,7 +35,24 @@ def units(text: str, kind: str = "clause") -> Iterator[tuple[int, int, str, int]
 
 #: Stands for the place of a document that has no id: behind all others.
 LAST = 2**63 - 1
-PLACES = "nth int, start int, end int, words int"
+PLACES = ("place", "span")
+
+
+def _packed(high: int, low: int) -> int:
+    """Two numbers of 31 bits as one long: rows of units are shuffled, and each field takes eight bytes."""
+    return high << 32 | low
+
+
+def _high(packed: Column) -> Column:
+    return F.shiftright(packed, 32)
+
+
+def _low(packed: Column) -> Column:
+    return packed.bitwiseAND(F.lit(2**32 - 1))
+
+
+def _words(place: Column) -> Column:
+    return F.shiftright(_low(place), 1)
 
 
 def _rows(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
@@ -51,27 +68,28 @@ def _rows(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
 
 
 def _hashed(rows: DataFrame, kind: str, places: bool, owners: tuple[str, ...] = ("own", "doc"), empty: bool = False) -> DataFrame:
-    """``owners, h1, h2, again`` of every unit, with ``nth, start, end, words`` if places are wanted.
+    """``owners, h1, h2`` of every unit, with ``place, span`` if places are wanted.
 
-    h1 and h2 are a digest of 128 bits; ``again`` marks all but its first unit in the document. With ``empty``, every
-    document also has a row of its own, whose nth is -1.
+    h1 and h2 are a digest of 128 bits. ``place`` packs the unit's number in the document over twice its words; the
+    last bit marks all but the first of the document's equal units. ``span`` packs start over end. With ``empty``,
+    every document also has a row of its own, whose number is -1.
     """
-    names = [*owners, "h1", "h2", "again", *(("nth", "start", "end", "words") if places else ())]
+    names = [*owners, "h1", "h2", *(PLACES if places else ())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             *keys, texts = batch.columns
-            at, digests, again, placed = [], [], [], []
+            at, digests, placed = [], [], []
 
             def flush() -> pa.RecordBatch:
                 halves = np.frombuffer(b"".join(digests), dtype=">i8").astype("<i8").reshape(-1, 2)
                 taken = pa.array(at, pa.int64())
                 columns = [k.take(taken) for k in keys]
-                columns += [pa.array(halves[:, 0]), pa.array(halves[:, 1]), pa.array(again, pa.bool_())]
+                columns += [pa.array(halves[:, 0]), pa.array(halves[:, 1])]
                 if places:
-                    values = np.array(placed, dtype=np.int32).reshape(-1, 4)
-                    columns += [pa.array(values[:, i]) for i in range(4)]
-                for kept in (at, digests, again, placed):
+                    values = np.array(placed, dtype=np.int64).reshape(-1, 2)
+                    columns += [pa.array(values[:, 0]), pa.array(values[:, 1])]
+                for kept in (at, digests, placed):
                     kept.clear()
                 return pa.RecordBatch.from_arrays(columns, names=names)
 
@@ -80,23 +98,20 @@ def _hashed(rows: DataFrame, kind: str, places: bool, owners: tuple[str, ...] =
                 if empty:
                     at.append(i)
                     digests.append(bytes(16))
-                    again.append(False)
-                    placed.append((-1, 0, 0, 0))
+                    placed.append((_packed(-1, 0), 0))
                 for nth, (start, end, normal, words) in enumerate(units(texts[i].as_py() or "", kind)):
                     digest = md5(normal.encode("utf-8", "surrogatepass"), usedforsecurity=False).digest()
                     at.append(i)
                     digests.append(digest)
-                    again.append(digest in known)
-                    known.add(digest)
                     if places:
-                        placed.append((nth, start, end, words))
+                        placed.append((_packed(nth, words << 1 | (digest in known)), _packed(start, end)))
+                        known.add(digest)
                     if len(at) > 100_000:
                         yield flush()
             if at:
                 yield flush()
 
-    schema = ", ".join(f"{name} long" for name in (*owners, "h1", "h2")) + ", again boolean"
-    return rows.select(*owners, "text").mapInArrow(run, f"{schema}, {PLACES}" if places else schema)
+    return rows.select(*owners, "text").mapInArrow(run, ", ".join(f"{name} long" for name in names))
 
 
 def _copied(hashed: DataFrame, owner: str) -> DataFrame:
@@ -110,7 +125,8 @@ def _copied(hashed: DataFrame, owner: str) -> DataFrame:
 def _later(hashed: DataFrame, copied: DataFrame, owner: str) -> DataFrame:
     """``hashed`` with ``gone``: whether the same unit occurs earlier."""
     met = spread_lookup(hashed.withColumn("unit", F.struct("h1", "h2")), copied, "unit", "n").drop("unit")
-    return met.withColumn("gone", F.coalesce((F.col("first") != F.col(owner)) | F.col("again"), F.lit(False)))
+    again = F.col("place").bitwiseAND(F.lit(1)) == 1
+    return met.withColumn("gone", F.coalesce((F.col("first") != F.col(owner)) | again, F.lit(False)))
 
 
 def _passages(docs: DataFrame, text: str, doc_id: str, kind: str, min_words: int) -> DataFrame:
@@ -118,21 +134,23 @@ def _passages(docs: DataFrame, text: str, doc_id: str, kind: str, min_words: int
     rows = _rows(docs, text, doc_id)
     copied = _copied(_hashed(rows, kind, places=False), "own")
     gone = _later(_hashed(rows, kind, places=True), copied, "own").where("gone").select(
-        "own", "doc", "nth", "start", "end", "words", "first_doc"
+        "own", "doc", "place", "span", "first_doc"
     )
-    in_order = Window.partitionBy("own").orderBy("nth")
+    in_order = Window.partitionBy("own").orderBy("place")
     # Neighbours share nth less their place among the document's repeated units.
     return (
-        gone.dropDuplicates(["own", "nth"])
-        .withColumn("run", F.col("nth") - F.row_number().over(in_order))
+        # One exchange serves the copies of a row, the window and the runs.
+        gone.repartition("own")
+        .dropDuplicates(["own", "place"])
+        .withColumn("run", _high(F.col("place")) - F.row_number().over(in_order))
         .groupBy("own", "run")
         .agg(
             F.min("doc").alias("doc"),
-            F.min("start").cast("long").alias("start"),
-            F.max("end").cast("long").alias("end"),
-            F.sum("words").alias("n_words"),
+            F.min(_high(F.col("span"))).alias("start"),
+            F.max(_low(F.col("span"))).alias("end"),
+            F.sum(_words(F.col("place"))).alias("n_words"),
             F.count(F.lit(1)).alias("n_units"),
-            F.min_by("first_doc", "nth").alias("first_doc"),
+            F.min_by("first_doc", "place").alias("first_doc"),
         )
         .where(F.col("n_words") >= min_words)
     )
@@ -185,19 +203,17 @@ def unit_dedup(
     """
     rows = _rows(docs, text, doc_id).withColumn("row", F.monotonically_increasing_id())
     index = keep(_hashed(rows, kind, places=True, owners=("row", "own", "doc"), empty=True))
-    found = index.where("nth >= 0")
+    found = index.where("place >= 0")
     later = _later(found, _copied(found, "row"), "row").drop("first", "first_doc", "n")
-    wide = [F.col(name).cast("long").alias(name) for name in ("start", "end", "words")]
-    unit = F.struct("nth", "gone", *wide, "h1", "h2")
     per_row = (
-        index.where("nth < 0")
+        index.where("place < 0")
         .withColumn("gone", F.lit(False))
         .unionByName(later)
         .groupBy("row")
         .agg(
             F.min("own").alias("own"),
             F.min("doc").alias("doc"),
-            F.array_sort(F.collect_list(F.when(F.col("nth") >= 0, unit))).alias("units"),
+            F.array_sort(F.collect_list(F.when(F.col("place") >= 0, F.struct("place", "gone", "span", "h1", "h2")))).alias("units"),
         )
     )
     runs = _passages(docs, text, doc_id, "clause", passage_words).groupBy("own").agg(
@@ -207,7 +223,11 @@ def unit_dedup(
     staying = F.transform(F.filter("units", lambda u: ~u["gone"]), lambda u: F.concat(half(u["h1"]), half(u["h2"])))
     leaving = F.transform(
         F.filter("units", lambda u: u["gone"]),
-        lambda u: F.struct(u["start"].alias("start"), u["end"].alias("end"), u["words"].alias("n_words")),
+        lambda u: F.struct(
+            _high(u["span"]).alias("start"),
+            _low(u["span"]).alias("end"),
+            _words(u["place"]).alias("n_words"),
+        ),
     )
     none = F.array().cast("array<struct<start:bigint,end:bigint,n_words:bigint,first_doc_id:bigint>>")
     return per_row.join(runs, "own", "left").select(
