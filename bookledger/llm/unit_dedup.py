@@ -122,9 +122,10 @@ def _copied(hashed: DataFrame, owner: str) -> DataFrame:
     return keep(groups.where("n > 1").select(F.struct("h1", "h2").alias("unit"), "first", "first_doc", "n"))
 
 
-def _later(hashed: DataFrame, copied: DataFrame, owner: str) -> DataFrame:
-    """``hashed`` with ``gone``: whether the same unit occurs earlier."""
-    met = spread_lookup(hashed.withColumn("unit", F.struct("h1", "h2")), copied, "unit", "n").drop("unit")
+def _later(hashed: DataFrame, copied: DataFrame, owner: str, kind: str) -> DataFrame:
+    """``hashed`` with ``gone``: whether the same unit occurs earlier. The key is named after the kind, as plans show it."""
+    keyed = hashed.withColumn(kind, F.struct("h1", "h2"))
+    met = spread_lookup(keyed, copied.withColumnRenamed("unit", kind), kind, "n").drop(kind)
     again = F.col("place").bitwiseAND(F.lit(1)) == 1
     return met.withColumn("gone", F.coalesce((F.col("first") != F.col(owner)) | again, F.lit(False)))
 
@@ -133,7 +134,7 @@ def _passages(docs: DataFrame, text: str, doc_id: str, kind: str, min_words: int
     """``own, doc, start, end, n_words, n_units, first_doc`` of runs of later units."""
     rows = _rows(docs, text, doc_id)
     copied = _copied(_hashed(rows, kind, places=False), "own")
-    gone = _later(_hashed(rows, kind, places=True), copied, "own").where("gone").select(
+    gone = _later(_hashed(rows, kind, places=True), copied, "own", kind).where("gone").select(
         "own", "doc", "place", "span", "first_doc"
     )
     in_order = Window.partitionBy("own").orderBy("place")
@@ -204,7 +205,7 @@ def unit_dedup(
     rows = _rows(docs, text, doc_id).withColumn("row", F.monotonically_increasing_id())
     index = keep(_hashed(rows, kind, places=True, owners=("row", "own", "doc"), empty=True))
     found = index.where("place >= 0")
-    later = _later(found, _copied(found, "row"), "row").drop("first", "first_doc", "n")
+    later = _later(found, _copied(found, "row"), "row", kind).drop("first", "first_doc", "n")
     per_row = (
         index.where("place < 0")
         .withColumn("gone", F.lit(False))
