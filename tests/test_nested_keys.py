@@ -1,5 +1,7 @@
 """Where each line item has one invoice, all is done by invoice; results stay the same."""
 
+import itertools
+import re
 from collections import Counter
 
 import pytest
@@ -97,7 +99,7 @@ def test_same_rows_by_invoice_and_by_line(spark, tmp_path, stage):
 def test_a_line_item_of_two_invoices_keeps_its_history(spark, tmp_path):
     made = pipeline(
         spark,
-        line_item_hist=[line("a", at(1), invoice_id=1), line("b", at(3), amount=70, invoice_id=2)],
+        line_item_hist=[line(1, at(1), invoice_id=1), line(2, at(3), amount=70, invoice_id=2)],
         payment_hist=[payment_hist(settled=at(2))],
     )
     made.inputs._given_hot_keys = None
@@ -105,3 +107,19 @@ def test_a_line_item_of_two_invoices_keeps_its_history(spark, tmp_path):
     made = BookingsPipeline(made.inputs, Storage(spark, str(tmp_path))).prepare("classify_line_items")
     assert made.hot.within("line_item") is None
     assert rows_of(made.classify_line_items) == plain
+
+
+def test_credits_and_allocated_discounts_are_grouped_where_they_lie(spark, tmp_path):
+    """Whole bookings are not shuffled on the way to the counters, only ids that ask for something."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        made = prepared(spark, tmp_path, "gross_order_item_volume")
+        rows = plan_of(made.gross_order_item_volume).split("\n")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    depth = [len(re.match(r"^[\s:|+\-]*", row)[0]) for row in rows]
+    assert any("AS booking_category_detail" in row for row in rows)
+    for i, row in enumerate(rows):
+        if "Exchange hashpartitioning" in row:
+            below = itertools.takewhile(lambda j: depth[j] > depth[i], range(i + 1, len(rows)))
+            assert not [rows[j] for j in below if "booking_category_detail" in rows[j]]
