@@ -123,3 +123,18 @@ def test_credits_and_allocated_discounts_are_grouped_where_they_lie(spark, tmp_p
         if "Exchange hashpartitioning" in row:
             below = itertools.takewhile(lambda j: depth[j] > depth[i], range(i + 1, len(rows)))
             assert not [rows[j] for j in below if "booking_category_detail" in rows[j]]
+
+
+def test_lineitem_is_shuffled_once(spark, tmp_path):
+    """What derives from it reads the stored table, by invoice."""
+    made = prepared(spark, tmp_path, "fill_line_item_dimensions")
+    for stage in ("fill_line_item_dimensions", "classify_discounts", "store_credit_bookings"):
+        assert "lineitem.parquet" not in plan_of(getattr(made, stage)), stage
+    alone = prepared(spark, tmp_path / "alone", "line_item_changes")
+    assert "lineitem.parquet" in plan_of(alone.line_item_changes)
+
+
+def test_stored_lines_make_the_same_inputs(spark, tmp_path):
+    plain, made = driver_inputs(spark, SMALL), prepared(spark, tmp_path, "bookings_grouped")
+    for name in ("line_item_hist", "discount_hist", "line_item_hierarchy", "line_item", "store_credits"):
+        assert rows_of(made.inputs[name]) == rows_of(plain[name]), name
