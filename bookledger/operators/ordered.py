@@ -45,7 +45,7 @@ def neighbours(
     previous, following = dict(previous or {}), dict(following or {})
 
     def plain(rows: DataFrame) -> DataFrame:
-        w = Window.partitionBy(*hot.grouping(key, domain)).orderBy(*_asc(order))
+        w = Window.partitionBy(*hot.grouping(key, domain, rows.columns)).orderBy(*_asc(order))
         values = {out: F.lag(c).over(w) for out, c in previous.items()}
         values |= {out: F.lead(c).over(w) for out, c in following.items()}
         return rows.withColumns(values)
@@ -86,7 +86,7 @@ def fill_nearest(
     def plain(rows: DataFrame) -> DataFrame:
         # Offset functions walk each partition once; a frame "current row to the end" would
         # be re-read for every row.
-        keys = hot.grouping(key, domain)
+        keys = hot.grouping(key, domain, rows.columns)
         return filled(
             rows,
             {c: _skipping_nulls("lag", c, keys, order) for c in columns},
@@ -182,7 +182,7 @@ def first_where(
 
     def plain(rows: DataFrame) -> DataFrame:
         so_far = (
-            Window.partitionBy(*hot.grouping(key, domain))
+            Window.partitionBy(*hot.grouping(key, domain, rows.columns))
             .orderBy(*_asc(order))
             .rowsBetween(Window.unboundedPreceding, Window.currentRow)
         )
@@ -245,7 +245,7 @@ def last_by_group(
         # Both groups of a key are read off one window, so the sort is shared with other
         # operators on the same key and order.
         whole = (
-            Window.partitionBy(*hot.grouping(key, domain))
+            Window.partitionBy(*hot.grouping(key, domain, rows.columns))
             .orderBy(*_asc(order))
             .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         )

@@ -74,10 +74,14 @@ class HotKeys:
         column, outer = self.nested.get(domain, (None, ""))
         return None if self.has(outer) or self.has(domain) else column
 
-    def grouping(self, key: str, domain: str) -> list[str]:
-        """Columns that make the same groups as ``key``; rows that lie by the first need no shuffle."""
+    def grouping(self, key: str, domain: str, columns: list[str] | None = None) -> list[str]:
+        """Columns that make the same groups as ``key``; rows that lie by the first need no shuffle.
+
+        columns: those of the rows, which may not have the outer one.
+        """
         outer = self.within(domain)
-        return [key] if outer is None or outer == key else [outer, key]
+        known = outer is not None and outer != key and (columns is None or outer in columns)
+        return [outer, key] if known else [key]
 
     def with_nested(self, nested: Mapping[str, tuple[str, str]]) -> HotKeys:
         return HotKeys(self.tables, self.rows_per_piece, self._pieces_known, self.nested | dict(nested))

@@ -8,7 +8,9 @@ import pytest
 from builders import at, line, payment_hist, pipeline
 from conftest import SMALL
 
+from bookledger.operators import history
 from bookledger.operators.skew import HotKeys, lies_within, lookup_within, measure_hot_keys
+from bookledger.plans import table_operators
 from bookledger.plans.pipeline import BookingsPipeline
 from bookledger.sources.driver_tables import driver_inputs
 from bookledger.sources.sinks import Storage
@@ -138,3 +140,47 @@ def test_stored_lines_make_the_same_inputs(spark, tmp_path):
     plain, made = driver_inputs(spark, SMALL), prepared(spark, tmp_path, "bookings_grouped")
     for name in ("line_item_hist", "discount_hist", "line_item_hierarchy", "line_item", "store_credits"):
         assert rows_of(made.inputs[name]) == rows_of(plain[name]), name
+
+
+LINEITEM = (
+    "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_extendedprice double, l_discount double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+)
+
+
+@pytest.fixture
+def line_versions(spark, tmp_path):
+    """Two versions each of line 1 of order 5, which changes its flag, and line 2, which doesn't."""
+    rows = [
+        (5, 1, 1, n, 10.0, 0.0, flag, "F", at(day))
+        for n, day, flag in ((1, 0, "N"), (1, 3, "R"), (2, 0, "A"), (2, 4, "A"))
+    ]
+    spark.createDataFrame(rows, LINEITEM).write.parquet(f"{tmp_path}/lineitem.parquet")
+    return str(tmp_path)
+
+
+def test_changes_of_rows_without_their_invoice(spark, line_versions):
+    """Each line lies within an order here, but the rows don't have it."""
+    found = table_operators.keep_changes(spark, line_versions)
+    assert Counter((r.line_item_id, r.previous_flag, r.l_returnflag) for r in found.collect()) == Counter(
+        [(51, None, "N"), (51, "N", "R"), (52, None, "A")]
+    )
+
+
+def test_validity_of_rows_without_their_invoice(spark, line_versions):
+    found = table_operators.validity_intervals(spark, line_versions).collect()
+    assert Counter(r.line_item_id for r in found if r.expires_at is None) == Counter([51, 52])
+    started = {(r.line_item_id, r.started_at): r for r in found}
+    for r in found:
+        assert r.expires_at is None or (r.line_item_id, r.expires_at) in started
+    assert len(found) == 4
+
+
+def test_rows_with_their_outer_key_stay_where_they_lie(spark):
+    hot = HotKeys(nested={"line_item": ("invoice_id", "invoice")})
+    rows = spark.createDataFrame([(1, 11, 0), (1, 11, 1)], "invoice_id long, line_item_id long, n long")
+    for with_invoice in (True, False):
+        given = rows.repartition("invoice_id") if with_invoice else rows.drop("invoice_id")
+        found = history.add_validity(given, "line_item_id", "n", [], "started", "expires", hot, "line_item")
+        assert ("windowspecdefinition(invoice_id" in plan_of(found)) is with_invoice
+        assert Counter((r.started, r.expires) for r in found.collect()) == Counter([(0, 1), (1, None)])
