@@ -22,6 +22,7 @@ from bookledger.operators.skew import (
     NO_HOT_KEYS,
     HotKeys,
     Split,
+    by_row,
     join_where_rows_lie,
     listed_hot_keys,
     lookup,
@@ -473,7 +474,11 @@ class BookingsPipeline:
         if not self.hot.has("line_item"):
             # Bookings lie by invoice or line item already. What is added goes there, and all is grouped in place.
             added = added.repartition(f"{self._lies_by}_id")
-        return volume.bookings_grouped(own.select(*columns).unionByName(added))
+        union = own.select(*columns).unionByName(added)
+        if credited is not None:
+            # All may be columns of stored tables; rows lie by invoice, which none lacks.
+            union = by_row(union, "invoice_id", "line_item_id")
+        return volume.bookings_grouped(union)
 
     @cached_property
     def _eligible(self) -> Split:

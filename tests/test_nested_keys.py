@@ -5,11 +5,11 @@ import re
 from collections import Counter
 
 import pytest
-from builders import at, line, payment_hist, pipeline
+from builders import at, credit, discount, line, payment_hist, pipeline
 from conftest import SMALL
 
 from bookledger.operators import history
-from bookledger.operators.skew import HotKeys, lies_within, lookup_within, measure_hot_keys
+from bookledger.operators.skew import HotKeys, by_row, lies_within, lookup_within, measure_hot_keys
 from bookledger.plans import table_operators
 from bookledger.plans.pipeline import BookingsPipeline
 from bookledger.sources.driver_tables import driver_inputs
@@ -184,3 +184,34 @@ def test_rows_with_their_outer_key_stay_where_they_lie(spark):
         found = history.add_validity(given, "line_item_id", "n", [], "started", "expires", hot, "line_item")
         assert ("windowspecdefinition(invoice_id" in plan_of(found)) is with_invoice
         assert Counter((r.started, r.expires) for r in found.collect()) == Counter([(0, 1), (1, None)])
+
+
+def test_stored_tables_of_equal_keys_are_grouped_together(spark, tmp_path):
+    """Only columns of stored tables are read here."""
+    storage = Storage(spark, str(tmp_path))
+    rows = spark.createDataFrame([(k, 10 * k, k) for k in range(20)] * 2, "k long, l long, v long")
+    one, other = (storage.keep_in_buckets(rows, "k").select("k", "l") for _ in range(2))
+    grouped = by_row(one.unionByName(other), "k", "l").groupBy("k", "l").count()
+    assert "Exchange" not in plan_of(grouped)
+    assert rows_of(grouped) == Counter({(4, k, 10 * k): 1 for k in range(20)})
+
+
+def test_quality_of_stored_parts_that_are_joined_by_sorting(spark, tmp_path):
+    """Bookings, credits and allocated discounts are stored; the checks read their keys only."""
+    made = pipeline(
+        spark,
+        payment_hist=[payment_hist(i, settled=at(2)) for i in range(1, 6)],
+        line_item_hist=[line(10 * i + n, at(n), 10 * i, i) for i in range(1, 6) for n in (1, 3)],
+        discount_hist=[discount(i, at(1), invoice_id=i) for i in range(1, 6)],
+        store_credits=[credit(at(4), invoice_id=i, line_item_id=10 * i) for i in range(1, 6)],
+    )
+    made.inputs._given_hot_keys = None
+    made.storage = Storage(spark, str(tmp_path))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        made.prepare("bookings_quality")
+        assert made.hot.within("line_item") and "allocated" in made._shared
+        found = {r.check_name: r.failures for r in made.bookings_quality.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(found) == 9 and not any(found.values())
