@@ -8,8 +8,9 @@ import pytest
 from builders import at, credit, discount, line, payment_hist, pipeline
 from conftest import SMALL
 
+from bookledger.config import BookingsConfig
 from bookledger.operators import history
-from bookledger.operators.skew import HotKeys, by_row, lies_within, lookup_within, measure_hot_keys
+from bookledger.operators.skew import HotKeys, by_row, deal_out, lies_within, lookup_within, measure_hot_keys
 from bookledger.plans import table_operators
 from bookledger.plans.pipeline import BookingsPipeline
 from bookledger.sources.driver_tables import driver_inputs
@@ -215,3 +216,30 @@ def test_quality_of_stored_parts_that_are_joined_by_sorting(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert len(found) == 9 and not any(found.values())
+
+
+def test_partitions_follow_the_rows(spark, tmp_path):
+    """40 versions and credits of invoices; the session asks for four partitions."""
+    rows = dict(
+        payment_hist=[payment_hist(i, settled=at(2)) for i in range(10)],
+        line_item_hist=[line(10 * i + n, at(n), 10 * i, i) for i in range(10) for n in (1, 3, 5)],
+        store_credits=[credit(at(4), invoice_id=i, line_item_id=10 * i) for i in range(10)],
+    )
+    expected = rows_of(pipeline(spark, **rows).line_item_bookings)
+    made = pipeline(spark, BookingsConfig(rows_per_partition=7), **rows)
+    made.inputs._given_hot_keys = None
+    made.storage = Storage(spark, str(tmp_path))
+    try:
+        made.prepare("line_item_bookings")
+        assert made.hot.rows == 40 and made.hot.within("line_item")
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "6"
+        buckets = {spark.sql(f"DESC EXTENDED {t}").filter("col_name = 'Num Buckets'").first().data_type for t in made.storage._tables}
+        assert buckets == {"6"}
+        assert rows_of(made.line_item_bookings) == expected
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_no_fewer_partitions_than_the_session_asks_for(spark):
+    deal_out(spark, 40, 40)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
